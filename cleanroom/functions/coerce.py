@@ -8,7 +8,7 @@ from functools import lru_cache
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from cleanroom.functions.text import clean_text, is_ascii, strip
+from cleanroom.functions.text import clean_text, first_match, strip
 
 # Fixed values -------------------------------------------------------------
 LOAN_STATUS = {
@@ -24,8 +24,6 @@ RATING_RANGE = (1, 5)
 FINE_GRACE_DAYS = 15
 FINE_PER_DAY = 1500
 INT4_MAX = 2147483647
-# Two-digit years up to this one belong to the 2000s.
-YEAR_PIVOT = 68
 # Longest digit string that Python turns into an integer.
 MAX_INT_DIGITS = 4300
 # --------------------------------------------------------------------------
@@ -61,47 +59,33 @@ def parse_int(c: Column) -> Column:
     Surrounding white space, a sign and single ``_`` between digits are fine;
     anything else is null.  Values beyond 38 digits saturate.
     """
-    text = strip(c)
-    source, target = _digit_table()
-    text = F.when(is_ascii(text), text).otherwise(F.translate(text, source, target))
-    digits = F.regexp_replace(text, "[+_-]", "")
-    short = F.regexp_replace(digits, r"^0+(?=[0-9])", "")
-    signed = F.concat(
-        F.when(text.startswith("-"), "-").otherwise(""),
-        F.when(F.char_length(short) <= 38, short).otherwise("9" * 38),
+    number = first_match(
+        F.translate(strip(c), *_digit_table()), r"^[+-]?[0-9]+(?:_[0-9]+)*\z"
     )
-    whole = text.rlike(r"^[+-]?[0-9]+(?:_[0-9]+)*\z") & (
-        F.char_length(digits) <= MAX_INT_DIGITS
-    )
-    return F.when(whole, signed.try_cast("decimal(38,0)"))
-
-
-def _as_date(year: Column, month: Column, day: Column) -> Column:
-    two = lambda part: F.lpad(F.trim(part), 2, "0")
-    return F.concat_ws("-", year, two(month), two(day)).try_cast("date")
+    plain = F.regexp_replace(number, "[+_]+", "")
+    readable = first_match(plain, rf"^-?[0-9]{{1,{MAX_INT_DIGITS}}}\z")
+    short = F.regexp_replace(readable, r"^(-?)0+(?=[0-9])", "$1")
+    capped = F.regexp_replace(short, r"^(?<sign>-?)[0-9]{39,}\z", "${sign}" + "9" * 38)
+    return capped.try_cast("decimal(38,0)")
 
 
 def parse_date(c: Column) -> Column:
-    """First of Y-m-d, d/m/Y, m/d/Y, d/m/y that gives a real calendar day."""
+    """First of Y-m-d, d/m/Y, m/d/Y, d/m/y that gives a real calendar day.
+
+    The slashed forms are rewritten in that order; a text that one of them took
+    no longer has slashes.  d/m/Y on an impossible day never fits m/d/Y, since
+    only days above 28 are impossible.
+    """
     text = clean_text(c)
-    dash = [F.split_part(text, F.lit("-"), F.lit(i)) for i in (1, 2, 3)]
-    slash = [F.split_part(text, F.lit("/"), F.lit(i)) for i in (1, 2, 3)]
-    century = F.when(slash[2].try_cast("int") <= YEAR_PIVOT, "20").otherwise("19")
-    return F.coalesce(
-        F.when(text.rlike(rf"^{_YEAR}-{_MONTH}-{_DAY}\z"), _as_date(*dash)),
-        F.when(
-            text.rlike(rf"^{_DAY}/{_MONTH}/{_YEAR}\z"),
-            _as_date(slash[2], slash[1], slash[0]),
-        ),
-        F.when(
-            text.rlike(rf"^{_MONTH}/{_DAY}/{_YEAR}\z"),
-            _as_date(slash[2], slash[0], slash[1]),
-        ),
-        F.when(
-            text.rlike(rf"^{_DAY}/{_MONTH}/[0-9]{{2}}\z"),
-            _as_date(F.concat(century, slash[2]), slash[1], slash[0]),
-        ),
-    )
+    for pattern, iso in (
+        (rf"^({_DAY})/({_MONTH})/({_YEAR})\z", "$3-$2-$1"),
+        (rf"^({_MONTH})/({_DAY})/({_YEAR})\z", "$3-$1-$2"),
+        (rf"^({_DAY})/({_MONTH})/([0-5][0-9]|6[0-8])\z", "20$3-$2-$1"),
+        (rf"^({_DAY})/({_MONTH})/([0-9]{{2}})\z", "19$3-$2-$1"),
+    ):
+        text = F.regexp_replace(text, pattern, iso)
+    dashed = first_match(text, rf"^{_YEAR}-{_MONTH}-{_DAY}\z")
+    return F.regexp_replace(dashed, "- ?([1-9])(?![0-9])", "-0$1").try_cast("date")
 
 
 def is_iso_date(c: Column) -> Column:

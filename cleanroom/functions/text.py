@@ -25,6 +25,8 @@ EMPTY_BLOCK = "__empty__"
 # Characters with a case, and the seam before a letter that starts a new word.
 _CASED = r"\p{IsUppercase}\p{IsLowercase}\p{Lt}"
 _SEAM = chr(0xFFFE)
+# Anything but a blank or a null word.
+_FILLED = r"(?s)^(?!(?i:" + "|".join(NULL_WORDS) + r")\z).+\z"
 
 
 @lru_cache(maxsize=1)
@@ -53,10 +55,6 @@ def collapse_spaces(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, WHITESPACE_CLASS + "+", " "))
 
 
-def is_ascii(c: Column) -> Column:
-    return F.octet_length(c) == F.char_length(c)
-
-
 def title_case(c: Column) -> Column:
     """Capital after every character that is not a cased letter.
 
@@ -68,28 +66,39 @@ def title_case(c: Column) -> Column:
     return F.replace(F.initcap(seamed), F.lit(f"{_SEAM} "), F.lit(""))
 
 
+def first_match(c: Column, pattern: str, group: int = 0) -> Column:
+    """Text of the first match, or null.
+
+    Unlike ``when(c.rlike(p), c)`` this mentions ``c`` once: chained cleaners would
+    otherwise repeat their input expression many times over.
+    """
+    return F.try_element_at(F.regexp_extract_all(c, F.lit(pattern), F.lit(group)), F.lit(1))
+
+
+def if_empty(c: Column, default: str) -> Column:
+    return F.regexp_replace(c, r"^\z", default)
+
+
 def clean_text(c: Column, default: str | None = None, title: bool = False) -> Column:
     """Collapse white space; blanks and null words become ``default``."""
-    value = collapse_spaces(c)
-    blank = c.isNull() | (value == "") | F.upper(value).isin(*NULL_WORDS)
+    value = first_match(collapse_spaces(c), _FILLED)
     kept = title_case(value) if title else value
-    return F.when(blank, F.lit(default).cast("string")).otherwise(kept)
+    return kept if default is None else F.coalesce(kept, F.lit(default))
 
 
 def split_category(c: Column) -> tuple[Column, Column]:
     """``category|description`` at the first pipe, both stripped."""
-    bar = F.instr(c, "|")
-    whole = F.when(c.isNull() | (c == ""), F.lit(NO_CATEGORY)).otherwise(strip(c))
-    name = F.when(bar > 0, strip(F.substring_index(c, "|", 1))).otherwise(whole)
-    rest = F.when(bar > 0, strip(F.substr(c, bar + 1))).otherwise(F.lit(NO_DESCRIPTION))
-    return name, rest
+    named = if_empty(F.coalesce(c, F.lit("")), NO_CATEGORY)
+    rest = first_match(c, r"(?s)^[^|]*\|(.*)\z", 1)
+    return (
+        strip(F.substring_index(named, "|", 1)),
+        F.coalesce(strip(rest), F.lit(NO_DESCRIPTION)),
+    )
 
 
 def to_ascii(c: Column) -> Column:
     """Drop accents, then every character that is still not ASCII."""
-    source, target = accent_table()
-    folded = F.regexp_replace(F.translate(c, source, target), r"[^\x00-\x7f]", "")
-    return F.when(is_ascii(c), c).otherwise(folded)
+    return F.regexp_replace(F.translate(c, *accent_table()), r"[^\x00-\x7f]+", "")
 
 
 def fold(c: Column) -> Column:
@@ -99,26 +108,22 @@ def fold(c: Column) -> Column:
 
 def block_key(title: Column) -> Column:
     """First word of the folded title."""
-    first = F.split_part(fold(title), F.lit(" "), F.lit(1))
-    return F.when(first == "", F.lit(EMPTY_BLOCK)).otherwise(first)
+    return if_empty(F.substring_index(fold(title), " ", 1), EMPTY_BLOCK)
 
 
 def slug(c: Column) -> Column:
     """Dotted ASCII key for a name."""
     dotted = F.regexp_replace(F.lower(to_ascii(c)), "[^a-z0-9]+", ".")
-    trimmed = F.trim(dotted, F.lit("."))
-    return F.when(trimmed == "", F.lit(DEFAULT_SLUG)).otherwise(trimmed)
+    return if_empty(F.trim(dotted, F.lit(".")), DEFAULT_SLUG)
 
 
 def normalize_email(raw: Column, user_name: Column) -> Column:
     """Repair ``_at_`` noise; an address that stays invalid is made from the name."""
-    lowered = F.lower(clean_text(raw))
-    at_signs = F.replace(
-        F.replace(lowered, F.lit("_at_"), F.lit("@")), F.lit(" at "), F.lit("@")
-    )
+    at_signs = F.regexp_replace(F.lower(clean_text(raw)), "_at_", "@")
+    at_signs = F.regexp_replace(at_signs, " at ", "@")
     email = F.regexp_replace(at_signs, WHITESPACE_CLASS + "+", "")
     fallback = F.concat(slug(user_name), F.lit(FALLBACK_DOMAIN))
-    return F.when(email.rlike(ACCEPTED_EMAIL), email).otherwise(fallback)
+    return F.coalesce(first_match(email, ACCEPTED_EMAIL), fallback)
 
 
 def storable_email(c: Column) -> Column:
@@ -139,7 +144,5 @@ def _casefold_table() -> tuple[str, str]:
 
 def caseless(c: Column) -> Column:
     """Key for comparing names without regard to case."""
-    lowered = F.lower(c)
-    source, target = _casefold_table()
-    folded = F.replace(F.translate(lowered, source, target), F.lit("ß"), F.lit("ss"))
-    return F.when(is_ascii(c), lowered).otherwise(folded)
+    folded = F.translate(F.lower(c), *_casefold_table())
+    return F.replace(folded, F.lit("ß"), F.lit("ss"))

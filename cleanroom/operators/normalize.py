@@ -7,12 +7,15 @@ wins" is ``min_by``, a rejected row is a row whose predicate fails.
 
 from __future__ import annotations
 
+from functools import cached_property, reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cleanroom.functions import coerce, text
 from cleanroom.operators.constraints import MAX_LENGTH, fits, fits_int, not_after
 from cleanroom.operators.ids import dense_ids
+from cleanroom.session import settle
 
 # Fixed values -------------------------------------------------------------
 UNKNOWN_AUTHOR = "Autor Desconocido"
@@ -22,6 +25,7 @@ UNKNOWN_BRANCH = "Sede Desconocida"
 NO_LOCATION = "Sin ubicacion"
 NO_COMMENT = "Sin comentario"
 LOAN_DAYS = 10
+RETURNED = "DEVUELTO"
 # --------------------------------------------------------------------------
 
 
@@ -92,38 +96,13 @@ def last_value(rows: DataFrame, key: str, value: str) -> DataFrame:
     )
 
 
-def catalog_tables(rows: DataFrame) -> dict[str, DataFrame]:
-    """Categories, publishers, authors, items and their authors from accepted rows."""
-    categories = dense_ids(
-        last_value(rows, "category", "description").withColumnRenamed("category", "name"),
-        "category_id",
-    )
-    publishers = dense_ids(first_seen(rows, "publisher"), "publisher_id")
-    authors = dense_ids(first_seen(rows, "author"), "author_id")
+def build_items(rows: DataFrame) -> DataFrame:
+    """``(item_id, title, published, category, publisher)``: the last row of a title wins."""
     latest = rows.groupBy("title").agg(
         F.max_by(F.struct("published", "category", "publisher"), "ordinal").alias("last"),
         F.min("ordinal").alias("ordinal"),
     )
-    items = (
-        dense_ids(latest, "item_id")
-        .select("item_id", "title", "last.*")
-        .join(categories.select("category_id", F.col("name").alias("category")), "category")
-        .join(publishers.select("publisher_id", F.col("name").alias("publisher")), "publisher")
-        .select("item_id", "title", "published", "category_id", "publisher_id")
-    )
-    item_authors = (
-        rows.select("title", "author").distinct()
-        .join(items.select("item_id", "title"), "title")
-        .join(authors.select("author_id", F.col("name").alias("author")), "author")
-        .select("item_id", "author_id")
-    )
-    return {
-        "categories": categories.select("category_id", "name", "description"),
-        "publishers": publishers.select("publisher_id", "name"),
-        "authors": authors.select("author_id", "name"),
-        "items": items,
-        "item_authors": item_authors,
-    }
+    return latest.select("ordinal", "title", "last.*")
 
 
 # -- users and loans -----------------------------------------------------------
@@ -163,10 +142,9 @@ def bind_names(loans: DataFrame) -> DataFrame:
 
 def users_of(bound: DataFrame) -> DataFrame:
     """One user per e-mail, named by the first name bound to it."""
-    by_email = bound.groupBy("email").agg(
+    return bound.groupBy("email").agg(
         F.min_by("name", "ordinal").alias("name"), F.min("ordinal").alias("ordinal")
     )
-    return dense_ids(by_email, "user_id").select("user_id", "name", "email")
 
 
 def explode_borrowed(loans: DataFrame, column: str = "borrowed") -> DataFrame:
@@ -183,7 +161,10 @@ def explode_borrowed(loans: DataFrame, column: str = "borrowed") -> DataFrame:
 
 
 def build_loans(loans: DataFrame, bound: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """Loans of known titles by bound users, one per (user, item, checkout, status)."""
+    """Loans of known titles by bound users, one per (user, item, checkout, status).
+
+    ``(ordinal, position)`` is where each of them first appears.
+    """
     people = bound.join(users.select("user_id", "email"), "email").select(
         "name_key", "user_id", F.col("ordinal").alias("bound_at")
     )
@@ -196,11 +177,8 @@ def build_loans(loans: DataFrame, bound: DataFrame, users: DataFrame, items: Dat
     unique = rows.groupBy("user_id", "item_id", "checkout", "status").agg(
         F.min_by("position", "ordinal").alias("position"), F.min("ordinal").alias("ordinal")
     )
-    returned = F.when(F.col("status") == "DEVUELTO", F.date_add("checkout", LOAN_DAYS))
-    return (
-        dense_ids(unique, "loan_id", then_by=("position",))
-        .select("loan_id", "user_id", "item_id", "checkout", returned.alias("returned"), "status")
-    )
+    returned = F.when(F.col("status") == RETURNED, F.date_add("checkout", LOAN_DAYS))
+    return unique.withColumn("returned", returned)
 
 
 # -- branches and stock --------------------------------------------------------
@@ -218,13 +196,6 @@ def clean_stock(raw: DataFrame) -> DataFrame:
     ).filter(fits(F.col("branch"), limits["name"]) & fits(F.col("location"), limits["location"]))
 
 
-def build_branches(stock_rows: DataFrame) -> DataFrame:
-    latest = last_value(stock_rows, "branch", "location")
-    return dense_ids(latest, "branch_id").select(
-        "branch_id", F.col("branch").alias("name"), "location"
-    )
-
-
 def storable_stock(stock_rows: DataFrame, items: DataFrame) -> DataFrame:
     """Rows that reach the stock table: known title, quantity within an INT."""
     return stock_rows.filter(fits_int(F.col("quantity"))).join(
@@ -267,8 +238,9 @@ def storable_reviews(review_rows: DataFrame, users: DataFrame, items: DataFrame)
     )
 
 
-def build_reviews(review_rows: DataFrame, users: DataFrame, items: DataFrame, as_of) -> DataFrame:
-    first = (
+def build_reviews(review_rows: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+    """First storable review of each (user, item)."""
+    return (
         storable_reviews(review_rows, users, items)
         .groupBy("user_id", "item_id")
         .agg(
@@ -277,56 +249,148 @@ def build_reviews(review_rows: DataFrame, users: DataFrame, items: DataFrame, as
         )
         .select("user_id", "item_id", "first.*", "ordinal")
     )
-    return dense_ids(first, "review_id").select(
-        "review_id", "user_id", "item_id", "comment", "rating",
-        day(as_of).cast("timestamp").alias("created"),
-    )
 
 
 # -- the whole -----------------------------------------------------------------
 
+TABLES = (
+    "categories", "publishers", "authors", "items", "item_authors", "users", "loans",
+    "branches", "stock", "reviews",
+)
+
 
-def normalize(raw: dict[str, DataFrame], as_of, keep=lambda df, name: df) -> dict[str, DataFrame]:
-    """All ten normalized tables from ``catalog``, ``loans``, ``stock`` and ``reviews``.
+class Normalizer:
+    """The ten normalized tables of four raw ones, each built when it is asked for.
 
-    ``keep(df, name)`` is called on tables that several others read; pass
-    ``session.settle`` to write them once, or a function that persists them.
+    ``raw`` holds ``catalog``, ``loans``, ``stock`` and ``reviews``.  ``keep(df,
+    label)`` materializes what several tables read: by default a table in the
+    checkpoint folder, so that cleaning runs once and a lost executor costs a
+    re-read.
     """
-    rows = keep(accepted(clean_catalog(raw["catalog"], as_of)), "catalog_rows")
-    tables = catalog_tables(rows)
-    tables["items"] = keep(tables["items"], "items")
-    loans = clean_loans(raw["loans"], as_of)
-    bound = keep(bind_names(loans), "bound_names")
-    tables["users"] = keep(users_of(bound), "users")
-    tables["loans"] = keep(build_loans(loans, bound, tables["users"], tables["items"]), "loans")
-    stock_rows = clean_stock(raw["stock"])
-    tables["branches"] = build_branches(stock_rows)
-    tables["stock"] = build_stock(stock_rows, tables["branches"], tables["items"])
-    reviews = clean_reviews(raw["reviews"])
-    tables["reviews"] = build_reviews(reviews, tables["users"], tables["items"], as_of)
-    return tables
-
-
-def counters(raw: dict[str, DataFrame], as_of) -> DataFrame:
-    """``(entity, rows)``: accepted attempts, counted before upserts collapse them."""
-    rows = accepted(clean_catalog(raw["catalog"], as_of))
-    items = rows.select("title").distinct().withColumn("item_id", F.lit(0))
-    loans = clean_loans(raw["loans"], as_of)
-    bound = bind_names(loans)
-    users = users_of(bound)
-    numbered = catalog_tables(rows)["items"]
-    found = {
-        "books": rows,
-        "users": bound,
-        "loans": build_loans(loans, bound, users, numbered),
-        "inventory": storable_stock(clean_stock(raw["stock"]), items),
-        "reviews": storable_reviews(clean_reviews(raw["reviews"]), users, items),
-    }
-    parts = [
-        df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("entity"), "rows")
-        for name, df in found.items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+
+    def __init__(self, raw: dict[str, DataFrame], as_of, keep=settle):
+        self.raw, self.as_of, self.keep = raw, as_of, keep
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in TABLES:
+            raise KeyError(name)
+        return getattr(self, name)
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {name: self[name] for name in TABLES}
+
+    @cached_property
+    def catalog_cleaned(self) -> DataFrame:
+        return self.keep(clean_catalog(self.raw["catalog"], self.as_of), "catalog")
+
+    @cached_property
+    def catalog_rows(self) -> DataFrame:
+        return accepted(self.catalog_cleaned)
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        named = last_value(self.catalog_rows, "category", "description")
+        return dense_ids(named, "category_id").select(
+            "category_id", F.col("category").alias("name"), "description"
+        )
+
+    @cached_property
+    def publishers(self) -> DataFrame:
+        named = first_seen(self.catalog_rows, "publisher")
+        return dense_ids(named, "publisher_id").select("publisher_id", "name")
+
+    @cached_property
+    def authors(self) -> DataFrame:
+        named = first_seen(self.catalog_rows, "author")
+        return dense_ids(named, "author_id").select("author_id", "name")
+
+    @cached_property
+    def titles(self) -> DataFrame:
+        """Items before their category and publisher are looked up."""
+        return self.keep(dense_ids(build_items(self.catalog_rows), "item_id"), "titles")
+
+    @cached_property
+    def items(self) -> DataFrame:
+        categories = self.categories.select("category_id", F.col("name").alias("category"))
+        publishers = self.publishers.select("publisher_id", F.col("name").alias("publisher"))
+        return (
+            self.titles.join(categories, "category")
+            .join(publishers, "publisher")
+            .select("item_id", "title", "published", "category_id", "publisher_id")
+        )
+
+    @cached_property
+    def item_authors(self) -> DataFrame:
+        authors = self.authors.select("author_id", F.col("name").alias("author"))
+        return (
+            self.catalog_rows.select("title", "author").distinct()
+            .join(self.titles.select("item_id", "title"), "title")
+            .join(authors, "author")
+            .select("item_id", "author_id")
+        )
+
+    @cached_property
+    def loan_rows(self) -> DataFrame:
+        return clean_loans(self.raw["loans"], self.as_of)
+
+    @cached_property
+    def bound_names(self) -> DataFrame:
+        return self.keep(bind_names(self.loan_rows), "names")
+
+    @cached_property
+    def users(self) -> DataFrame:
+        numbered = dense_ids(users_of(self.bound_names), "user_id")
+        return self.keep(numbered.select("user_id", "name", "email"), "users")
+
+    @cached_property
+    def unique_loans(self) -> DataFrame:
+        built = build_loans(self.loan_rows, self.bound_names, self.users, self.titles)
+        return self.keep(built, "loans")
+
+    @cached_property
+    def loans(self) -> DataFrame:
+        return dense_ids(self.unique_loans, "loan_id", then_by=("position",)).select(
+            "loan_id", "user_id", "item_id", "checkout", "returned", "status"
+        )
+
+    @cached_property
+    def stock_rows(self) -> DataFrame:
+        return clean_stock(self.raw["stock"])
+
+    @cached_property
+    def branches(self) -> DataFrame:
+        latest = self.keep(last_value(self.stock_rows, "branch", "location"), "branches")
+        return dense_ids(latest, "branch_id").select(
+            "branch_id", F.col("branch").alias("name"), "location"
+        )
+
+    @cached_property
+    def stock(self) -> DataFrame:
+        return build_stock(self.stock_rows, self.branches, self.titles)
+
+    @cached_property
+    def review_rows(self) -> DataFrame:
+        return clean_reviews(self.raw["reviews"])
+
+    @cached_property
+    def reviews(self) -> DataFrame:
+        first = self.keep(build_reviews(self.review_rows, self.users, self.titles), "reviews")
+        return dense_ids(first, "review_id").select(
+            "review_id", "user_id", "item_id", "comment", "rating",
+            day(self.as_of).cast("timestamp").alias("created"),
+        )
+
+    def counters(self) -> DataFrame:
+        """``(entity, rows)``: accepted attempts, counted before upserts collapse them."""
+        found = {
+            "books": self.catalog_rows,
+            "users": self.bound_names,
+            "loans": self.unique_loans,
+            "inventory": storable_stock(self.stock_rows, self.titles),
+            "reviews": storable_reviews(self.review_rows, self.users, self.titles),
+        }
+        parts = [
+            df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("entity"), "rows")
+            for name, df in found.items()
+        ]
+        return reduce(DataFrame.unionByName, parts)

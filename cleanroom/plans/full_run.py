@@ -36,7 +36,7 @@ def run(
     """
     audit = rules.audit_counts(raw, column_rules or RULES)
     unique = dedup.deduplicate(raw["catalog"], threshold=threshold)
-    tables = normalize.normalize(raw | {"catalog": unique.survivors}, as_of, keep)
+    tables = normalize.Normalizer(raw | {"catalog": unique.survivors}, as_of, keep).tables()
     tables["loan_audit"] = reports.audit_active_loans(tables["loans"], as_of)
     return Run(
         audit=audit,

@@ -292,8 +292,8 @@ def ingest_rejects(spark, sf_dir):
 # -- normalization --------------------------------------------------------------
 
 
-def _catalog_rows(spark, sf_dir):
-    return normalize.accepted(normalize.clean_catalog(raw(spark, sf_dir, "catalog"), AS_OF))
+def _normalized(spark, sf_dir):
+    return normalize.Normalizer(raw_tables(spark, sf_dir), AS_OF)
 
 
 @query
@@ -304,66 +304,57 @@ def catalog_rejects(spark, sf_dir):
 
 @query
 def dim_categories(spark, sf_dir):
-    return normalize.catalog_tables(_catalog_rows(spark, sf_dir))["categories"]
+    return _normalized(spark, sf_dir).categories
 
 
 @query
 def dim_publishers(spark, sf_dir):
-    return normalize.catalog_tables(_catalog_rows(spark, sf_dir))["publishers"]
+    return _normalized(spark, sf_dir).publishers
 
 
 @query
 def dim_authors(spark, sf_dir):
-    return normalize.catalog_tables(_catalog_rows(spark, sf_dir))["authors"]
+    return _normalized(spark, sf_dir).authors
 
 
 @query
 def dim_items(spark, sf_dir):
-    return normalize.catalog_tables(_catalog_rows(spark, sf_dir))["items"]
+    return _normalized(spark, sf_dir).items
 
 
 @query
 def item_authors(spark, sf_dir):
-    return normalize.catalog_tables(_catalog_rows(spark, sf_dir))["item_authors"]
-
-
-def _users(spark, sf_dir):
-    loans = normalize.clean_loans(raw(spark, sf_dir, "loans"), AS_OF)
-    return normalize.users_of(normalize.bind_names(loans))
+    return _normalized(spark, sf_dir).item_authors
 
 
 @query
 def dim_users(spark, sf_dir):
-    return _users(spark, sf_dir)
-
-
-def _normalized(spark, sf_dir):
-    return normalize.normalize(raw_tables(spark, sf_dir), AS_OF)
+    return _normalized(spark, sf_dir).users
 
 
 @query
 def fact_loans(spark, sf_dir):
-    return _normalized(spark, sf_dir)["loans"]
+    return _normalized(spark, sf_dir).loans
 
 
 @query
 def dim_branches(spark, sf_dir):
-    return normalize.build_branches(normalize.clean_stock(raw(spark, sf_dir, "stock")))
+    return _normalized(spark, sf_dir).branches
 
 
 @query
 def fact_stock(spark, sf_dir):
-    return _normalized(spark, sf_dir)["stock"]
+    return _normalized(spark, sf_dir).stock
 
 
 @query
 def fact_reviews(spark, sf_dir):
-    return _normalized(spark, sf_dir)["reviews"].drop("created")
+    return _normalized(spark, sf_dir).reviews.drop("created")
 
 
 @query
 def normalize_counters(spark, sf_dir):
-    return normalize.counters(raw_tables(spark, sf_dir), AS_OF)
+    return _normalized(spark, sf_dir).counters()
 
 
 @query
@@ -434,7 +425,7 @@ def most_borrowed_parts(spark, sf_dir):
 
 @query
 def loan_fines(spark, sf_dir):
-    return reports.fines(_normalized(spark, sf_dir)["loans"], AS_OF)
+    return reports.fines(_normalized(spark, sf_dir).loans, AS_OF)
 
 
 @query
@@ -451,12 +442,12 @@ def fine_totals(spark, sf_dir):
 
 @query
 def first_loan_fine(spark, sf_dir):
-    return reports.first_loan_fine(_normalized(spark, sf_dir)["loans"], AS_OF)
+    return reports.first_loan_fine(_normalized(spark, sf_dir).loans, AS_OF)
 
 
 @query
 def loan_audit(spark, sf_dir):
-    lines = reports.audit_active_loans(_normalized(spark, sf_dir)["loans"], AS_OF)
+    lines = reports.audit_active_loans(_normalized(spark, sf_dir).loans, AS_OF)
     return lines.drop("audited")
 
 
@@ -475,8 +466,7 @@ def order_audit(spark, sf_dir):
 
 @query
 def catalog_documents(spark, sf_dir):
-    tables = normalize.catalog_tables(_catalog_rows(spark, sf_dir))
-    docs = documents.documents("books", tables)
+    docs = documents.documents("books", _normalized(spark, sf_dir))
     return docs.select(
         "book_id", "title", "published_at",
         F.col("category.name").alias("category_name"),
@@ -489,7 +479,7 @@ def catalog_documents(spark, sf_dir):
 
 @query
 def user_documents(spark, sf_dir):
-    return documents.documents("users", {"users": _users(spark, sf_dir)})
+    return documents.documents("users", _normalized(spark, sf_dir))
 
 
 @query
@@ -504,12 +494,12 @@ def stock_documents(spark, sf_dir):
 
 @query
 def export_users(spark, sf_dir):
-    return masking.export_frame(_users(spark, sf_dir), EXPORT_HEADERS["users"])
+    return masking.export_frame(_normalized(spark, sf_dir).users, EXPORT_HEADERS["users"])
 
 
 @query
 def export_loans(spark, sf_dir):
-    return masking.export_frame(_normalized(spark, sf_dir)["loans"], EXPORT_HEADERS["loans"])
+    return masking.export_frame(_normalized(spark, sf_dir).loans, EXPORT_HEADERS["loans"])
 
 
 @query
@@ -578,7 +568,7 @@ def dedup_report(spark, sf_dir):
 @query
 def orphan_counts(spark, sf_dir):
     """Foreign keys of the given tables, and of the normalized ones."""
-    normal = constraints.orphan_counts(_normalized(spark, sf_dir))
+    normal = constraints.orphan_counts(_normalized(spark, sf_dir).tables())
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     given = [
@@ -600,7 +590,7 @@ def orphan_counts(spark, sf_dir):
 @query
 def item_update(spark, sf_dir):
     """Every item gets a new date; one in five a new title, some of them taken."""
-    items = normalize.catalog_tables(_catalog_rows(spark, sf_dir))["items"]
+    items = _normalized(spark, sf_dir).items
     n = F.col("item_id")
     neighbour = items.select((n + 1).alias("item_id"), F.col("title").alias("neighbour"))
     changes = items.join(neighbour, "item_id", "left").select(
