@@ -137,10 +137,10 @@ def rating(c: Column) -> Column:
 
 def user_position(c: Column) -> Column:
     """1-based position of the reviewer; unreadable references mean the first."""
-    big = F.lit(2**62)
-    limit = big.cast("decimal(38,0)")
-    n = F.greatest(F.least(parse_int(c), limit), -limit).cast("bigint")
-    return F.greatest(F.coalesce(n, F.lit(1)), F.lit(1)).cast("bigint")
+    # ``least`` and ``greatest`` skip nulls, so the default comes first.
+    n = F.coalesce(parse_int(c), F.lit(1).cast("decimal(38,0)"))
+    bounded = F.least(F.greatest(n, F.lit(1)), F.lit(2**62).cast("decimal(38,0)"))
+    return bounded.cast("bigint")
 
 
 def loan_fine(checkout: Column, returned: Column, as_of: Column) -> Column:
