@@ -90,24 +90,16 @@ def parse_date(c: Column) -> Column:
 
 def is_iso_date(c: Column) -> Column:
     """Whether text is an ISO 8601 date or date-time as Python reads it."""
-    year = F.substring(c, 1, 4)
-    packed = F.concat_ws("-", year, F.substring(c, 5, 2), F.substring(c, 7, 2))
-    first = F.concat(year, F.lit("-01-01")).try_cast("date")
-    leap = F.dayofyear(F.concat(year, F.lit("-12-31")).try_cast("date")) == 366
-    weekday = F.weekday(first)
-    long_year = (weekday == 3) | (leap & (weekday == 2))
-    week53 = c.rlike(r"^[0-9]{4}-?W53")
-    calendar = (
-        F.when(c.rlike(rf"^{_YEAR}-[0-9]{{2}}-[0-9]{{2}}{_TIME}\z"),
-               F.substring(c, 1, 10).try_cast("date").isNotNull())
-        .when(c.rlike(rf"^{_YEAR}[0-9]{{4}}{_TIME}\z"),
-              packed.try_cast("date").isNotNull())
+    calendar = F.regexp_replace(
+        c, rf"^({_YEAR})(?:-([0-9]{{2}})-([0-9]{{2}})|([0-9]{{2}})([0-9]{{2}})){_TIME}\z", "$1-$2$4-$3$5"
     )
-    week = r"W(?:0[1-9]|[1-4][0-9]|5[0-3])"
-    by_week = c.rlike(rf"^{_YEAR}(?:-{week}(?:-[1-7])?|{week}[1-7]?){_TIME}\z") & (
-        ~week53 | F.coalesce(long_year, F.lit(False))
-    )
-    return F.coalesce(calendar, by_week, F.lit(False))
+    day = first_match(calendar, r"^(?!0000)[0-9]{4}-[0-9]{2}-[0-9]{2}\z").try_cast("date")
+    week = r"W(?:0[1-9]|[1-4][0-9]|5[0-2])"
+    by_week = c.rlike(rf"^{_YEAR}(?:-{week}(?:-[1-7])?|{week}[1-7]?){_TIME}\z")
+    # 28 December lies in the last week of its year.
+    long_year = first_match(c, rf"^({_YEAR})(?:-W53(?:-[1-7])?|W53[1-7]?){_TIME}\z", 1)
+    last_week = F.weekofyear(F.concat(long_year, F.lit("-12-28")).try_cast("date"))
+    return F.coalesce(day.isNotNull() | by_week | F.coalesce(last_week == 53, F.lit(False)), F.lit(False))
 
 
 def loan_status(c: Column) -> Column:

@@ -23,8 +23,10 @@ EMPTY_BLOCK = "__empty__"
 # --------------------------------------------------------------------------
 
 # Characters with a case, and the seam before a letter that starts a new word.
-_CASED = r"\p{IsUppercase}\p{IsLowercase}\p{Lt}"
-_SEAM = chr(0xFFFE)
+_CASED = r"a-zA-Z\p{IsUppercase}\p{IsLowercase}\p{Lt}"
+_SEAM = "\x01\x02 "
+# The look-ahead settles ordinary characters with one range test.
+_SPACES = r"(?![!-~])" + WHITESPACE_CLASS + "+"
 # Anything but a blank or a null word.
 _FILLED = r"(?s)^(?!(?i:" + "|".join(NULL_WORDS) + r")\z).+\z"
 
@@ -52,18 +54,17 @@ def strip(c: Column) -> Column:
 
 def collapse_spaces(c: Column) -> Column:
     """Turn each run of white space into one space and trim the ends."""
-    return F.trim(F.regexp_replace(c, WHITESPACE_CLASS + "+", " "))
+    return F.trim(F.regexp_replace(c, _SPACES, " "))
 
 
 def title_case(c: Column) -> Column:
     """Capital after every character that is not a cased letter.
 
-    ``initcap`` only starts words after spaces, so a seam plus a space is put
-    before every other word start and taken out again.
+    ``initcap`` only starts words after spaces, so a seam that ends in a space is
+    put before every other word start and taken out again.
     """
-    plain = F.regexp_replace(c, _SEAM, "")
-    seamed = F.regexp_replace(plain, f"([^{_CASED} ])(?=[{_CASED}])", f"$1{_SEAM} ")
-    return F.replace(F.initcap(seamed), F.lit(f"{_SEAM} "), F.lit(""))
+    seamed = F.regexp_replace(c, f"([^{_CASED} ])(?=[{_CASED}])", f"$1{_SEAM}")
+    return F.regexp_replace(F.initcap(seamed), _SEAM, "")
 
 
 def first_match(c: Column, pattern: str, group: int = 0) -> Column:
@@ -121,7 +122,7 @@ def normalize_email(raw: Column, user_name: Column) -> Column:
     """Repair ``_at_`` noise; an address that stays invalid is made from the name."""
     at_signs = F.regexp_replace(F.lower(clean_text(raw)), "_at_", "@")
     at_signs = F.regexp_replace(at_signs, " at ", "@")
-    email = F.regexp_replace(at_signs, WHITESPACE_CLASS + "+", "")
+    email = F.regexp_replace(at_signs, _SPACES, "")
     fallback = F.concat(slug(user_name), F.lit(FALLBACK_DOMAIN))
     return F.coalesce(first_match(email, ACCEPTED_EMAIL), fallback)
 

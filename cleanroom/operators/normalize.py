@@ -109,12 +109,12 @@ def build_items(rows: DataFrame) -> DataFrame:
 
 
 def clean_loans(raw: DataFrame, as_of) -> DataFrame:
-    name = text.clean_text(F.col("user_name"), UNKNOWN_USER, title=True)
-    return raw.select(
+    named = raw.withColumn("name", text.clean_text(F.col("user_name"), UNKNOWN_USER, title=True))
+    return named.select(
         "ordinal",
-        name.alias("name"),
-        text.caseless(name).alias("name_key"),
-        text.normalize_email(F.col("email"), name).alias("email"),
+        "name",
+        text.caseless(F.col("name")).alias("name_key"),
+        text.normalize_email(F.col("email"), F.col("name")).alias("email"),
         "borrowed",
         F.coalesce(coerce.parse_date(F.col("checkout")), day(as_of)).alias("checkout"),
         coerce.loan_status(F.col("status")).alias("status"),
@@ -129,13 +129,13 @@ def bind_names(loans: DataFrame) -> DataFrame:
         & fits(F.col("name"), limits["name"])
         & fits(F.col("email"), limits["email"])
     )
+    # A null order takes a row out of ``min_by``; a filter would clean the row twice,
+    # once below the projection and once in it.
     return (
-        loans.filter(valid)
+        loans.withColumn("at", F.when(valid, F.col("ordinal")))
         .groupBy("name_key")
-        .agg(
-            F.min_by(F.struct("name", "email"), "ordinal").alias("first"),
-            F.min("ordinal").alias("ordinal"),
-        )
+        .agg(F.min_by(F.struct("name", "email"), "at").alias("first"), F.min("at").alias("ordinal"))
+        .filter(F.col("ordinal").isNotNull())
         .select("name_key", "first.*", "ordinal")
     )
 

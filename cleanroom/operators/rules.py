@@ -120,8 +120,10 @@ def any_failure(checks: list[Check]) -> Column:
 
 def audit(df: DataFrame, table: str, rules: dict[str, dict]) -> DataFrame:
     """Failing rows with their ``errors``."""
-    checks = compile_rules(df, table, rules)
-    return df.filter(any_failure(checks)).withColumn("errors", error_list(checks))
+    errors = error_list(compile_rules(df, table, rules))
+    # A filter on a projected column is evaluated again below the projection; one
+    # on a generator's output is not, so every rule runs once per row.
+    return df.select("*", F.explode(F.array(errors)).alias("errors")).filter(F.size("errors") > 0)
 
 
 def audit_report(tables: dict[str, DataFrame], rules: dict[str, dict]) -> DataFrame:

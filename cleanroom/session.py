@@ -41,6 +41,16 @@ def local_session(cores: str | int = "*", app: str = "cleanroom", **conf) -> Spa
     return spark
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a file scan that has fewer splits than the cluster has cores.
+
+    Cleaning costs far more CPU than reading, and a small file is one split.  A
+    scan of a large table has more splits than cores and stays as it is.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as the cluster names it.
 

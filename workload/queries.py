@@ -22,7 +22,7 @@ from cleanroom.operators import (
 )
 from cleanroom.operators.ids import dense_ids
 from cleanroom.plans.config import EXPORT_HEADERS, RULES, SCRIPT_RULES
-from cleanroom.session import configure
+from cleanroom.session import configure, spread
 from cleanroom.sources import generate, ingest
 from workload.raw_views import AS_OF, raw, raw_tables, table
 
@@ -100,13 +100,13 @@ DOCUMENT_RULES = {
 
 @query
 def audit_documents(spark, sf_dir):
-    failing = rules.audit(table(spark, sf_dir, "documents"), "documents", DOCUMENT_RULES)
+    failing = rules.audit(spread(table(spark, sf_dir, "documents")), "documents", DOCUMENT_RULES)
     return failing.select("doc_id", joined("errors").alias("errors"))
 
 
 @query
 def script_rules(spark, sf_dir):
-    texts = table(spark, sf_dir, "documents").select(
+    texts = spread(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").cast("string").alias("path"), "text"
     )
     wanted = SCRIPT_RULES | {"forbidden_keywords": ["DROP DATABASE", "TRUNCATE", "license"]}
@@ -129,7 +129,7 @@ def clean_fields(spark, sf_dir):
 @query
 def clean_documents(spark, sf_dir):
     cleaned = text.clean_text(F.col("text"), "")
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id",
         F.char_length(cleaned).cast("bigint").alias("n_clean"),
         F.md5(cleaned).alias("clean_md5"),
@@ -226,7 +226,7 @@ def mask_emails(spark, sf_dir):
 
 @query
 def mask_documents(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         "doc_id", F.md5(masking.mask_email(F.col("text"))).alias("masked_md5")
     )
 
@@ -267,7 +267,7 @@ def ingest_by_position(spark, sf_dir):
 @query
 def ingest_rejects(spark, sf_dir):
     """Rows of the documents and pages tables as sheets that hold over-long cells."""
-    docs = table(spark, sf_dir, "documents").select(
+    docs = spread(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").alias("ordinal"),
         F.col("doc_id").cast("string").alias("user_ref"),
         F.col("source").alias("title"),
@@ -574,7 +574,7 @@ def orphan_counts(spark, sf_dir):
     given = [
         ("lineitem", "l_orderkey", "orders", lines, orders, "o_orderkey"),
         ("orders", "o_orderkey", "lineitem", orders, lines.distinct(), "l_orderkey"),
-        ("documents", "doc_id", "labels", table(spark, sf_dir, "documents").select("doc_id"),
+        ("documents", "doc_id", "labels", spread(table(spark, sf_dir, "documents")).select("doc_id"),
          table(spark, sf_dir, "labels"), "doc_id"),
     ]
     for child, key, parent, rows, parents, parent_key in given:

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cleanroom.session import spread
+
 AS_OF = "2001-09-01"
 
 _BASE = "{p}.p_name || ' ' || {p}.p_type || ' ' || CAST({p}.p_size AS STRING)"
@@ -189,8 +191,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One raw view as a DataFrame."""
+    """One raw view as a DataFrame; its first source holds the rows."""
     sources = {t: table(spark, sf_dir, t) for t in SOURCES[name]}
+    first = SOURCES[name][0]
+    sources[first] = spread(sources[first])
     return spark.sql(VIEWS[name], **sources)
 
 
