@@ -8,14 +8,19 @@ integers: ``200 * d < (201 - 2T) * L`` for odd ``T`` and ``<=`` for even ``T``.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Functions travel to the executors by value: they need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Cells of the dynamic-programming table held at once per Python worker.
 _CELLS = 4_000_000
 
