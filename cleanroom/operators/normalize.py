@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cleanroom.functions import coerce, text
 from cleanroom.operators.constraints import MAX_LENGTH, fits, fits_int, not_after
 from cleanroom.operators.ids import dense_ids
+from cleanroom.operators.staging import evaluated_once
 from cleanroom.session import settle
 
 # Fixed values -------------------------------------------------------------
@@ -51,7 +52,8 @@ def clean_catalog(raw: DataFrame, as_of) -> DataFrame:
         text.clean_text(category, text.NO_CATEGORY, title=True).alias("category"),
         text.clean_text(description, text.NO_DESCRIPTION).alias("description"),
         coerce.parse_date(F.col("published")).alias("published"),
-    ).filter(F.col("title").isNotNull())
+    )
+    cleaned = evaluated_once(cleaned).filter(F.col("title").isNotNull())
     limits = {
         "title": MAX_LENGTH["items"]["title"],
         "category": MAX_LENGTH["categories"]["name"],
@@ -168,8 +170,9 @@ def build_loans(loans: DataFrame, bound: DataFrame, users: DataFrame, items: Dat
     people = bound.join(users.select("user_id", "email"), "email").select(
         "name_key", "user_id", F.col("ordinal").alias("bound_at")
     )
+    needed = evaluated_once(loans.select("ordinal", "name_key", "borrowed", "checkout", "status"))
     rows = (
-        explode_borrowed(loans.select("ordinal", "name_key", "borrowed", "checkout", "status"))
+        explode_borrowed(needed)
         .join(items.select("item_id", "title"), "title")
         .join(people, "name_key")
         .filter(F.col("ordinal") >= F.col("bound_at"))
@@ -187,13 +190,16 @@ def build_loans(loans: DataFrame, bound: DataFrame, users: DataFrame, items: Dat
 def clean_stock(raw: DataFrame) -> DataFrame:
     """Stock rows of acceptable branches; a rejected branch drops its row."""
     limits = MAX_LENGTH["branches"]
-    return raw.select(
+    cleaned = raw.select(
         "ordinal",
         text.clean_text(F.col("branch"), UNKNOWN_BRANCH, title=True).alias("branch"),
         text.clean_text(F.col("location"), NO_LOCATION).alias("location"),
         text.clean_text(F.col("title")).alias("title"),
         coerce.quantity(F.col("quantity")).alias("quantity"),
-    ).filter(fits(F.col("branch"), limits["name"]) & fits(F.col("location"), limits["location"]))
+    )
+    return evaluated_once(cleaned).filter(
+        fits(F.col("branch"), limits["name"]) & fits(F.col("location"), limits["location"])
+    )
 
 
 def storable_stock(stock_rows: DataFrame, items: DataFrame) -> DataFrame:
@@ -216,13 +222,14 @@ def build_stock(stock_rows: DataFrame, branches: DataFrame, items: DataFrame) ->
 
 
 def clean_reviews(raw: DataFrame) -> DataFrame:
-    return raw.select(
+    cleaned = raw.select(
         "ordinal",
         coerce.user_position(F.col("user_ref")).alias("position"),
         text.clean_text(F.col("title")).alias("title"),
         text.clean_text(F.col("comment"), NO_COMMENT).alias("comment"),
         coerce.rating(F.col("rating")).alias("rating"),
     )
+    return evaluated_once(cleaned)
 
 
 def storable_reviews(review_rows: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:

@@ -121,8 +121,7 @@ def any_failure(checks: list[Check]) -> Column:
 def audit(df: DataFrame, table: str, rules: dict[str, dict]) -> DataFrame:
     """Failing rows with their ``errors``."""
     errors = error_list(compile_rules(df, table, rules))
-    # A filter on a projected column is evaluated again below the projection; one
-    # on a generator's output is not, so every rule runs once per row.
+    # Behind a generator (see ``staging``) the filter does not run the rules again.
     return df.select("*", F.explode(F.array(errors)).alias("errors")).filter(F.size("errors") > 0)
 
 
@@ -175,7 +174,7 @@ def failure_counts(df: DataFrame, table: str, rules: dict[str, dict]) -> DataFra
 
 def script_findings(scripts: DataFrame, rules: dict, text: str = "text") -> DataFrame:
     """Findings per script text, added as ``errors``; scripts without any drop out."""
-    upper = F.upper(F.col(text))
+    upper = F.col("_upper")
     found = [
         F.when(upper.contains(word.upper()), F.lit(SCRIPT_KEYWORD.format(limit=word)))
         for word in rules.get("forbidden_keywords", [])
@@ -187,4 +186,9 @@ def script_findings(scripts: DataFrame, rules: dict, text: str = "text") -> Data
     if not found:
         return scripts.withColumn("errors", F.array().cast("array<string>")).limit(0)
     errors = F.array_compact(F.array(*found))
-    return scripts.withColumn("errors", errors).filter(F.size("errors") > 0)
+    # As in ``audit``: texts are long, so each is searched once.
+    return (
+        scripts.withColumn("_upper", F.upper(F.col(text)))
+        .select(*scripts.columns, F.explode(F.array(errors)).alias("errors"))
+        .filter(F.size("errors") > 0)
+    )
