@@ -92,7 +92,7 @@ def checks(table: str, as_of: Column) -> dict[str, Column]:
     named = {f"{c}_present": F.col(c).isNotNull() for c in NOT_NULL.get(table, ())}
     named |= {f"{c}_length": fits(F.col(c), n) for c, n in MAX_LENGTH.get(table, {}).items()}
     domain = {
-        "items": {"published_not_future": F.col("published") <= as_of} if table == "items" else {},
+        "items": {"published_not_future": F.col("published") <= as_of},
         "users": {"email_format": storable_email(F.col("email"))},
         "loans": {
             "status_domain": F.col("status").isin(*STATUSES),
