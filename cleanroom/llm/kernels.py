@@ -25,10 +25,17 @@ def byte_codes() -> np.ndarray:
     return mixed(np.arange(256, dtype=np.uint64) * np.uint64(0x100000001B3))
 
 
+#: Powers of a base, as far as a worker has needed them.
+_POWERS: dict[int, np.ndarray] = {}
+
+
 def powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n + 1, base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    """The powers 0 to ``n``."""
+    if len(_POWERS.get(base, ())) <= n:
+        out = np.full(n + 1, base, np.uint64)
+        out[0] = 1
+        _POWERS[base] = np.cumprod(out, dtype=np.uint64)
+    return _POWERS[base][: n + 1]
 
 
 class Spans:

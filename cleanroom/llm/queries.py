@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cleanroom.llm import binary_packing, divergence, warc
+from cleanroom.llm import binary_packing, divergence, popcount_grid, prefix_free, warc
 from cleanroom.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,22 @@ def op3_divergence(spark, sf_dir):
     return divergence.judge(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_prefix_free(spark, sf_dir):
+    """Every document without the 100-byte strings that also start earlier."""
+    cut = prefix_free.cut_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query
+def op9_popcount_grid(spark, sf_dir):
+    """SimHash fingerprint and group of every document."""
+    found = popcount_grid.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 @query
 def op10_binary_packing(spark, sf_dir):
     """Every document cut into power-of-two sequences; token ids stay in the operator."""
