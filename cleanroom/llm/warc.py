@@ -1,6 +1,6 @@
 """Web archives: records written and read by Spark, and equal payloads kept once.
 
-Archives are uncompressed WARC 1.1 files under a shared folder.  Records are composed by
+Archives are gzipped WARC 1.1 files under a shared folder.  Records are composed by
 SQL functions and written as text whose line separator is the blank lines between
 records; files are cut after a number of records, so that one fits a task when it is
 read whole.  De-duplication shuffles headers only: the response of each payload digest
@@ -16,6 +16,7 @@ spaces; an empty table gives no records; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 
@@ -79,11 +80,12 @@ def write_archives(records: DataFrame, path: str, records_per_file: int = RECORD
         for c in HEADERS
         if c in records.columns
     ]
-    kind = F.concat(F.lit("Content-Type: application/http;msgtype="), F.lit("response"))
+    kind = F.lit("Content-Type: application/http;msgtype=response")
     length = F.concat(F.lit("Content-Length: "), (F.octet_length(http) + F.octet_length(body)).cast("string"))
     head = F.concat(F.concat_ws(CRLF, F.lit("WARC/1.1"), *fields, kind, length), F.lit(CRLF + CRLF), http)
     whole = F.concat(head.cast("binary"), body).cast("string").alias("value")
     writer = records.select(whole).write.option("lineSep", CRLF + CRLF).option("maxRecordsPerFile", records_per_file)
+    writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
     writer.option("encoding", "UTF-8").text(path)
 
 
@@ -99,8 +101,8 @@ def read_archives(spark: SparkSession, path: str, payload: bool = False) -> Data
         numbers = {"page_id", "payload_bytes", "refers_to_page"}
         for batch in batches:
             for content in batch.column(0):
-                data = content.as_buffer()
-                view, raw, at = memoryview(data), data.to_pybytes(), 0
+                raw, at = gzip.decompress(content.as_buffer()), 0
+                view = memoryview(raw)
                 rows: dict[str, list] = {n: [] for n in [*names, "payload"]}
                 while at < len(raw):
                     end = raw.index(b"\r\n\r\n", at)
