@@ -44,7 +44,7 @@ def cut_repeats(docs: DataFrame, *more: str, match: int = MATCH_BYTES, trigger:
     of the removed runs), and the columns named in ``more``.
     """
     source = keyed(docs, *more)
-    repeated, unclear = narrowed(source, byte_symbols, match, trigger, block)
+    repeated, unclear, _ = narrowed(source, byte_symbols, match, trigger, block)
     ranges = repeated.union(compared(source, unclear, byte_symbols, match))
     joined = with_ranges(source, ranges)
     where = {n: joined.columns.index(n) for n in ("doc", "text", "ranges", *more)}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cleanroom.llm import binary_packing, divergence, popcount_grid, prefix_free, warc
+from cleanroom.llm import binary_packing, divergence, fm_index, popcount_grid, prefix_free, warc
 from cleanroom.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,13 @@ def op4_prefix_free(spark, sf_dir):
     )
 
 
+@query
+def op7_fm_index(spark, sf_dir):
+    """Every document without the 20-word sequences that also start earlier."""
+    cut = fm_index.cut_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op9_popcount_grid(spark, sf_dir):
     """SimHash fingerprint and group of every document."""

@@ -141,7 +141,14 @@ def _spread(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
 
 
 def _batch(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(rows[n]) for n in NAMES], NAMES)
+    arrays, names = [pa.array(rows[n]) for n in NAMES], list(NAMES)
+    if "codes" in rows:  # those of settled rows stay behind
+        own = rows["codes"][rows["kind"] > REPEATED]
+        ends = np.cumsum(np.where(rows["kind"] > REPEATED, own.shape[1] * own.itemsize, 0))
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        arrays.append(pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(own.tobytes())]))
+        names.append("codes")
+    return pa.RecordBatch.from_arrays(arrays, names)
 
 
 def parse(docs: DataFrame, symbols_of: Callable, window: int, gram: int) -> DataFrame:
@@ -264,7 +271,7 @@ def _blocks(symbols, base, place, lo, hi, window, block):
     return at, trigger, low, high, key, stretch
 
 
-def _single(symbols, base, place, lo, hi, window, block):
+def single(symbols, base, place, lo, hi, window, block):
     """Every window by itself: the key is its hash, and another hash guards it."""
     length = hi - lo + 1
     at = np.repeat(np.arange(len(lo)), length)
@@ -273,8 +280,13 @@ def _single(symbols, base, place, lo, hi, window, block):
     return at, start, start, start, Spans(symbols, 0)(whole, whole + window), Spans(symbols, 1)(whole, whole + window)
 
 
-def level(docs: DataFrame, ranges: DataFrame, symbols_of: Callable, window: int, cut: Callable, block: int = 0) -> DataFrame:
-    """The rows that ``cut`` makes of the given ranges, settled as far as one task can see."""
+def level(
+    docs: DataFrame, ranges: DataFrame, symbols_of: Callable, window: int, cut: Callable, block: int = 0, codes: bool = False
+) -> DataFrame:
+    """The rows that ``cut`` makes of the given ranges, settled as far as one task can see.
+
+    ``codes`` adds the symbols of a window that is not settled, 32 bits of each.
+    """
     joined = with_ranges(docs, ranges)
     where = {n: joined.columns.index(n) for n in ("doc", "tag", "text", "ranges")}
 
@@ -283,7 +295,7 @@ def level(docs: DataFrame, ranges: DataFrame, symbols_of: Callable, window: int,
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            rows = {n: np.concatenate([h[n] for h in held]) for n in NAMES[:-1]}
+            rows = {n: np.concatenate([h[n] for h in held]) for n in held[0]}
             held.clear()
             rows = _spread(_settle_task(rows))
             for at in range(0, len(rows["kind"]), 50_000):
@@ -302,24 +314,27 @@ def level(docs: DataFrame, ranges: DataFrame, symbols_of: Callable, window: int,
                     "gram": key.view(np.int64), "phrase": whole.view(np.int64), "doc": ids[first + row[at]], "tag": tags[first + row[at]],
                     "place": place.astype(np.int32), "lo": lo.astype(np.int32), "hi": hi.astype(np.int32),
                 })
+                if codes:
+                    begin = bounds[row][at] + lo
+                    held[-1]["codes"] = symbols.astype(np.uint32)[begin[:, None] + np.arange(window)]
                 size += len(at)
-                if size >= HELD:
+                if size >= (HELD // 4 if codes else HELD):
                     size = 0
                     yield from flush()
         if held:
             yield from flush()
 
-    return joined.mapInArrow(run, PHRASE)
+    return joined.mapInArrow(run, PHRASE + ", codes binary" * codes)
 
 
-def narrowed(docs: DataFrame, symbols_of: Callable, window: int, gram: int, block: int) -> tuple[DataFrame, DataFrame]:
-    """Ranges that repeat, and the few ranges whose windows have to be compared one by one."""
+def narrowed(docs: DataFrame, symbols_of: Callable, window: int, gram: int, block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ranges that repeat, the few ranges whose windows have to be compared one by one, and the written runs."""
     runs = settle(resolve(parse(docs, symbols_of, window, gram)), "ranges")
     blocks = resolve(level(docs, runs.where(F.col("kind") == OPEN), symbols_of, window, _blocks, block))
     repeated = runs.where(F.col("kind") == REPEATED).union(blocks.where(F.col("kind") == REPEATED))
-    return repeated, blocks.where(F.col("kind") == OPEN)
+    return repeated, blocks.where(F.col("kind") == OPEN), runs
 
 
 def compared(docs: DataFrame, open_ranges: DataFrame, symbols_of: Callable, window: int) -> DataFrame:
     """The windows of ``open_ranges`` that also start earlier."""
-    return resolve(level(docs, open_ranges, symbols_of, window, _single)).where(F.col("kind") == REPEATED)
+    return resolve(level(docs, open_ranges, symbols_of, window, single)).where(F.col("kind") == REPEATED)
