@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cleanroom.llm import binary_packing, divergence, fm_index, popcount_grid, prefix_free, warc
+from cleanroom.llm import binary_packing, divergence, factorisation, fm_index, popcount_grid, prefix_free, tag_ratio, warc
 from cleanroom.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +54,22 @@ def op4_prefix_free(spark, sf_dir):
     )
 
 
+@query
+def op5_factorisation(spark, sf_dir):
+    """Quality score of every document by a machine fitted on rows that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    scored = factorisation.score(docs, factorisation.train(docs, table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id", factorisation.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
+@query
+def op6_tag_ratio(spark, sf_dir):
+    """Main text of every page."""
+    return tag_ratio.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op7_fm_index(spark, sf_dir):
     """Every document without the 20-word sequences that also start earlier."""
