@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cleanroom.llm import binary_packing, divergence, factorisation, fm_index, popcount_grid, prefix_free, tag_ratio, warc
+from cleanroom.llm import binary_packing, divergence, factorisation, fm_index, metric_join, mixture, popcount_grid, prefix_free, tag_ratio, warc
 from cleanroom.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,12 @@ def byte_bpe() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op1_metric_join(spark, sf_dir):
+    """Links and component of every embedding."""
+    return metric_join.link(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op2_warc(spark, sf_dir):
     """Every page archived, revisits resolved, archives rewritten and read back."""
@@ -77,6 +83,17 @@ def op7_fm_index(spark, sf_dir):
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+#: Weights of the production mix; other names weigh 1.
+MIX = mixture.Mix(domain={"domain0": 1.0, "domain1": 2.0, "domain2": 2.0, "domain3": 1.5}, lang={"en": 4.0, "de": 2.0, "fr": 2.0, "es": 2.0})
+
+
+@query
+def op8_mixture(spark, sf_dir):
+    """Documents chosen for the production mix, once per epoch."""
+    chosen = mixture.mix_documents(table(spark, sf_dir, "documents"), MIX)
+    return chosen.select("doc_id", "domain", "lang", "source", "epoch", mixture.token_count(F.col("text")).alias("n_tokens"))
+
+
 @query
 def op9_popcount_grid(spark, sf_dir):
     """SimHash fingerprint and group of every document."""
