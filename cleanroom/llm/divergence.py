@@ -108,11 +108,12 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def _inputs(docs: DataFrame) -> DataFrame:
+def _inputs(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
         F.col("lang").cast("string").alias("lang"),
+        *[F.col(c).alias(f"_{c}") for c in more],
     )
 
 
@@ -202,9 +203,12 @@ def distance(p: np.ndarray, q: np.ndarray) -> float:
     return float(np.sqrt(max(terms.sum() / 2, 0)))
 
 
-def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Base counts, distances and verdict of every document."""
+def judge(docs: DataFrame, rules: Rules = Rules(), *more: str) -> DataFrame:
+    """Base counts, distances and verdict of every document; columns named in ``more`` come along as ``_name``."""
     refs = references(docs, rules)
+    rows = _inputs(docs, *more)
+    names = [x.split()[0] for x in BASE_SCHEMA.split(", ")] + [f"_{c}" for c in more]
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
 
     def score(batches):
         ready = {}
@@ -241,6 +245,13 @@ def judge(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
                 columns = [ids.slice(first, last - first), *(pa.array(v.astype(np.int64)) for v in base.values())]
                 columns += [pa.array(failed), pa.array(~failed & ~odd)]
                 columns += [pa.array(x, pa.float64(), mask=np.isnan(x)) for x in far]
-                yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in BASE_SCHEMA.split(", ")])
+                columns += [batch.column(3 + k).slice(first, last - first) for k in range(len(more))]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return _inputs(docs).mapInArrow(score, BASE_SCHEMA)
+    return rows.mapInArrow(score, BASE_SCHEMA + "".join(f", `_{c}` {kinds[f'_{c}']}" for c in more))
+
+
+def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The documents that pass, with all their columns."""
+    judged = judge(docs, rules, *docs.columns).where("kept")
+    return judged.select(*[F.col(f"`_{c}`").alias(c) for c in docs.columns])

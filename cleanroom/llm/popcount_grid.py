@@ -30,8 +30,8 @@ SEGMENTS = 16
 MOST_BITS = 2
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """``doc_id, fp``: a bit is set if it is set in over half the hashes of the shingles."""
+def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, key: str = "doc_id") -> DataFrame:
+    """``doc_id`` (or another key) and ``fp``: a bit is set if it is set in over half the hashes of the shingles."""
 
     def compute(batches):
         from xxhash import xxh64_intdigest
@@ -52,9 +52,10 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame
                     bits = np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
                     count += bits.sum(0, dtype=np.int64)
                 out[i] = np.packbits(2 * count > len(hashes), bitorder="little").view("<i8")[0]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out)], [key, "fp"])
 
-    return typed(docs).mapInArrow(compute, "doc_id long, fp long")
+    rows = typed(docs) if key == "doc_id" else docs.select(key, F.col("text").cast("string"))
+    return rows.mapInArrow(compute, f"{key} {rows.schema[key].dataType.simpleString()}, fp long")
 
 
 def grid_point(fp: Column, segments: int = SEGMENTS) -> list[Column]:
@@ -84,12 +85,36 @@ def links(distinct: DataFrame, segments: int = SEGMENTS) -> DataFrame:
     return left.join(right, "key").where((F.col("a") != F.col("b")) & near).select("a", "b")
 
 
+def _labelled(prints: DataFrame) -> DataFrame:
+    """``fp, root``: a component's distinct fingerprints share a root; a written table."""
+    firsts = settle(prints.select("fp").distinct(), "distinct")
+    roots = components(links(firsts)).withColumnRenamed("node", "fp")
+    return settle(firsts.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")), "labelled")
+
+
 def groups(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """``doc_id, fp, component_id``: the smallest id that links lead to, per document."""
     prints = settle(fingerprints(docs, shingle), "fingerprints")
-    firsts = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
-    roots = components(links(firsts)).withColumnRenamed("node", "fp")
-    labelled = settle(firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")), "labelled")
-    least = settle(labelled.groupBy("root").agg(F.min("first").alias("component_id")), "components")
+    labelled = _labelled(prints)
+    firsts = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "firsts")
+    rooted = settle(labelled.join(firsts, "fp"), "rooted")
+    least = settle(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "components")
     by_print = settle(labelled.join(least, "root").select("fp", "component_id"), "members")
     return prints.join(by_print, "fp", "left").select("doc_id", "fp", "component_id")
+
+
+def one_per_group(docs: DataFrame, shingle: int = 3) -> DataFrame:
+    """One document of each group, with all its columns: that with the smallest id.
+
+    Ids that repeat are told apart by a hash of the text; of rows alike in both, one stays.
+    """
+    tag = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("_id"), tag.alias("_tag"), *docs.columns)
+    source = keyed.select(F.struct(F.col("_id").isNull().alias("none"), "_id", "_tag").alias("place"), "text")
+    prints = settle(fingerprints(source, shingle, key="place"), "fingerprints")
+    firsts = prints.groupBy("fp").agg(F.min("place").alias("place"))
+    stay = settle(_labelled(prints).join(settle(firsts, "firsts"), "fp").groupBy("root").agg(F.min("place").alias("place")), "stay")
+    stay = stay.select(F.coalesce("place._id", F.lit(0)).alias("_key"), F.col("place.none").alias("_none"), F.col("place._tag").alias("_tag"))
+    keyed = keyed.withColumns({"_key": F.coalesce("_id", F.lit(0)), "_none": F.col("_id").isNull()})
+    kept = keyed.join(stay, ["_key", "_none", "_tag"]).dropDuplicates(["_key", "_none", "_tag"])
+    return kept.select(*docs.columns)

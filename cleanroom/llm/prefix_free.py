@@ -37,9 +37,21 @@ TRIGGER_BYTES = 32
 BLOCK = 8
 
 
-def cut_repeats(docs: DataFrame, *more: str, match: int = MATCH_BYTES, trigger: int = TRIGGER_BYTES, block: int = BLOCK) -> DataFrame:
+def whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
+    """``gone``, and the other bytes of characters that it cuts."""
+    char = np.cumsum((data & 0xC0) != 0x80)
+    cut = np.bincount(char, gone, minlength=int(char[-1]) + 1 if len(char) else 1) > 0
+    return cut[char] if len(char) else gone
+
+
+def cut_repeats(
+    docs: DataFrame, *more: str, match: int = MATCH_BYTES, trigger: int = TRIGGER_BYTES, block: int = BLOCK, characters: bool = False
+) -> DataFrame:
     """Documents without the bytes of ``match``-byte strings that also start earlier.
 
+    ``characters`` also removes the rest of a character whose bytes are removed in part,
+    so that what remains is text.
+
     Returns doc_id, kept (the remaining bytes), n_bytes, n_removed, spans (start and end
     of the removed runs), and the columns named in ``more``.
     """
@@ -56,6 +68,8 @@ def cut_repeats(docs: DataFrame, *more: str, match: int = MATCH_BYTES, trigger:
             for first, last, data, offsets in text_chunks(batch.column(where["text"])):
                 row, _, lo, hi = chunk_ranges(batch.column(where["ranges"]), first, last)
                 gone = covered(offsets[row] + lo, offsets[row] + hi + match, len(data))
+                if characters:
+                    gone = whole_characters(data, gone)
                 lengths = np.diff(offsets)
                 removed = np.concatenate([[0], np.cumsum(gone)])[offsets]
                 kept_at = offsets - removed
