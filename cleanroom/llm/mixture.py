@@ -10,8 +10,9 @@ found by one sort of the children.
 A leaf's budget is a number of whole epochs and a rest.  Every epoch has its own seeded
 order; of the last one the longest prefix within the rest is taken.  The prefix is found
 without sorting a leaf: token sums of hash ranges tell in which range it ends, only that
-range (a few thousand rows, whatever the leaf's size) is sorted, and the rest of the leaf
-is compared with the hash where the prefix ends.  Texts are never shuffled.
+range is sorted (ranges and rows in a range are the root of the leaf's rows), and the
+rest of the leaf is compared with the hash where the prefix ends.  Texts are never
+shuffled.
 
 Defined cases: a null text has no tokens and is taken where its place in the order is
 within the prefix; null names are a branch of their own, called by the empty string; rows
@@ -30,7 +31,6 @@ from pyspark.sql import functions as F
 from cleanroom.llm.common import settle
 
 TREE = ("domain", "lang", "source")
-ROWS_PER_RANGE = 4096
 
 
 @dataclass(frozen=True)
@@ -76,8 +76,8 @@ def allocate(leaves: DataFrame, mix: Mix) -> DataFrame:
     Leaves are an aggregate of the corpus; families are sorted in windows.
     """
     leaves = leaves.withColumn("supply", F.col("tokens") * mix.epochs)
-    wanted = F.lit(float(mix.tokens)) if mix.tokens is not None else F.sum("tokens").over(Window.partitionBy()) * mix.share
-    nodes = leaves.withColumn("_wanted", wanted)
+    wanted = mix.tokens if mix.tokens is not None else (leaves.agg(F.sum("tokens")).first()[0] or 0) * mix.share
+    nodes = leaves.withColumn("_wanted", F.lit(float(wanted)))
     budget: Column = F.col("_wanted")
     for depth, name in enumerate(TREE):
         path = [f"_{c}" for c in TREE[: depth + 1]]
@@ -113,7 +113,8 @@ def cuts(lean: DataFrame, mix: Mix) -> DataFrame:
     plan = allocate(settle(leaves, "leaves"), mix)
     epochs = F.when(F.col("tokens") > 0, F.least(F.floor(F.col("budget") / F.col("tokens")), F.lit(mix.epochs))).otherwise(0)
     plan = plan.withColumn("whole", epochs.cast("long")).withColumn("rest", F.col("budget") - F.col("whole") * F.col("tokens"))
-    plan = plan.withColumn("ranges", 1 + F.floor(F.col("rows") / ROWS_PER_RANGE))
+    # As many ranges as rows in a range: both what is sorted and what is summed grow with the root.
+    plan = plan.withColumn("ranges", 1 + F.floor(F.sqrt("rows")))
     plan = settle(plan, "budgets")
     placed = lean.join(plan.select(*names, "whole", "rest", "ranges"), names)
     placed = placed.withColumn("place", _order(F.col("key"), F.col("whole") + 1, mix.seed))
