@@ -48,7 +48,8 @@ def op2_warc(spark, sf_dir):
 @query
 def op3_divergence(spark, sf_dir):
     """Base rules and distribution divergence of every document."""
-    return divergence.judge(table(spark, sf_dir, "documents"))
+    judged = divergence.judge(table(spark, sf_dir, "documents"))
+    return judged.drop("class_distance", "word_distance")
 
 
 @query
