@@ -47,8 +47,8 @@ from cleanroom.llm.repeats import (
 WINDOW = 20
 TRIGGER_WORDS = 8
 BLOCK = 4
-SHARD_WINDOWS = 8192
-LEAST_SHARDS = 64
+SHARD_WINDOWS = 2048
+LEAST_SHARDS = 256
 SEPARATOR, FIRST_SYMBOL = 0, 1
 
 
