@@ -7,33 +7,32 @@ record is removed when an earlier *kept* record of its block is similar.
 How the work stays spread out when one block holds a large part of all rows:
 
 * equal keys collapse first, in a map-side-combined aggregate;
-* blocks of at most ``direct_limit`` distinct keys compare their keys directly, so
-  a record meets a bounded number of others;
-* larger blocks only meet through *segments*.  If ``d`` insertions and deletions
-  turn ``x`` into ``y`` and ``x`` is cut into ``D + 1 > d`` segments, then for some
-  ``i <= d`` segment ``i`` is free of edits and exactly ``i`` edits lie before it
-  (count edits minus segments from the left: the first time the count falls to -1
-  it falls there from 0).  Hence that segment occurs in ``y`` shifted by ``s`` with
-  ``|s| <= i``, ``s = i (mod 2)`` and ``|len(y) - len(x) - s| <= d - i``.  Joining
-  on (block, length, i, segment text) loses no pair and needs no pair list of the
-  block; a segment shared by very many records is cut into bounded cells.
+* keys of a block only meet through *signatures*, whose number is linear in the length of
+  a key.  A deletion destroys at most two of a key's 2-grams and an insertion at most
+  one, so if two keys are within distance ``d``, all but ``2 d`` of the 2-grams of each
+  (counted with repeats) are common to both.  In any one order of 2-grams, the first
+  common one is then among the first ``2 d + 1`` of either key; ordering from the rarest
+  keeps these few apart.  Short keys have too few 2-grams for that and use single
+  characters, of which a deletion destroys one: the first ``d + 1`` do.  A threshold so
+  low that not even those suffice makes the keys of a block meet directly;
+* signatures carry ids and lengths only; keys are joined back once per distinct pair, and
+  a signature shared by very many records is cut into bounded cells.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cleanroom.functions import similarity as sim
-from cleanroom.functions.text import EMPTY_BLOCK, block_key, fold
+from cleanroom.functions.text import block_key, fold
 from cleanroom.session import settle
 
 # Fixed value: least similarity of a duplicate.
 THRESHOLD = 85
 
-DIRECT_LIMIT = 1000
 CELL_ROWS = 4000
 # Copies of each decided id, so that the edges of one hub record are spread out.
 HUB_SALTS = 16
@@ -102,20 +101,6 @@ def _confirm(pairs: DataFrame, threshold: int) -> DataFrame:
     )
 
 
-def _direct_pairs(classes: DataFrame, threshold: int) -> DataFrame:
-    side = _parallel(classes.select("block", "id", "key"), "block")
-    lo = side.select("block", F.col("id").alias("lo"), F.col("key").alias("lo_key"))
-    hi = side.select(
-        F.col("block").alias("hi_block"), F.col("id").alias("hi"), F.col("key").alias("hi_key")
-    )
-    return lo.join(
-        hi,
-        (F.col("block") == F.col("hi_block"))
-        & (F.col("lo") < F.col("hi"))
-        & _close_enough(F.col("lo_key"), F.col("hi_key"), threshold),
-    ).drop("hi_block")
-
-
 def _cells(index: DataFrame, probe: DataFrame, cell_rows: int) -> tuple[DataFrame, DataFrame]:
     """Cut each crowded signature into a grid of cells of at most ``cell_rows`` a side."""
     parts = lambda name: F.ceil(F.col(name) / F.lit(cell_rows)).cast("int")
@@ -144,102 +129,100 @@ def _cells(index: DataFrame, probe: DataFrame, cell_rows: int) -> tuple[DataFram
     )
 
 
-def _segment_pairs(classes: DataFrame, threshold: int, cell_rows: int) -> DataFrame:
-    """Pairs of crowded blocks that share a segment and pass the edit-distance test."""
+@dataclass(frozen=True)
+class Reach:
+    """Which signatures keys of a length emit; a pair always shares a kind that is valid for both."""
+
+    #: 2-grams from this length on (None: never).
+    grams_from: int | None
+    #: Single characters up to this length (None: always).
+    chars_to: int | None
+    #: One signature for the whole block up to this length (None: always).
+    whole_to: int | None
+
+
+def reach(threshold: int, horizon: int = 1000) -> Reach:
+    """Lengths at which ``2 d + 1`` 2-grams, or ``d + 1`` characters, exist."""
     k, strict = sim.slack(threshold)
-    # Every key of a block starts with the block's word; it decides nothing.
-    head = F.when(F.col("block") == EMPTY_BLOCK, 0).otherwise(F.char_length("block"))
-    tails = classes.select(
-        "block",
-        "id",
-        head.alias("w"),
-        F.substr(F.col("key"), head + 1).alias("tail"),
-    ).withColumn("n", F.char_length("tail"))
-
-    def cut(at: Column) -> Column:
-        return F.floor(at * F.col("len") / F.col("segments")).cast("int")
-
-    def with_segments(df: DataFrame) -> DataFrame:
-        # ``len`` is the length of the longer text; it alone fixes the cutting.
-        widest = sim.max_distance((F.col("w") + F.col("len")) * 2, threshold)
-        return df.withColumn("segments", widest + 1)
-
-    def signature(text: Column) -> Column:
-        return F.xxhash64(F.col("block"), F.col("len"), F.col("i"), text)
-
-    index = (
-        with_segments(tails.withColumn("len", F.col("n")))
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("segments") - 1)))
-        .withColumn("from", cut(F.col("i")))
-        .withColumn("size", cut(F.col("i") + 1) - F.col("from"))
-        .select(
-            signature(F.substr(F.col("tail"), F.col("from") + 1, F.col("size"))).alias("sig"),
-            "block", "id", "n", "tail", "w",
-        )
-    )
-    longest = F.floor(
-        ((200 + k) * F.col("n") + 2 * k * F.col("w") - strict) / F.lit(200 - k)
-    ).cast("int")
-    probe = (
-        with_segments(
-            tails.withColumn("len", F.explode(F.sequence(F.col("n"), F.greatest(longest, F.col("n")))))
-        )
-        .withColumn("most", sim.max_distance(F.col("w") * 2 + F.col("n") + F.col("len"), threshold))
-        .withColumn("gap", F.col("n") - F.col("len"))
-        .filter(-F.col("gap") <= F.col("most"))
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.col("most"))))
-        .withColumn("s", F.explode(F.sequence(-F.col("i"), F.col("i"), F.lit(2))))
-        .filter(F.abs(F.col("gap") - F.col("s")) <= F.col("most") - F.col("i"))
-        .withColumn("size", cut(F.col("i") + 1) - cut(F.col("i")))
-        .withColumn("from", cut(F.col("i")) + F.col("s"))
-        .filter((F.col("from") >= 0) & (F.col("from") + F.col("size") <= F.col("n")))
-        .select(
-            signature(F.substr(F.col("tail"), F.col("from") + 1, F.col("size"))).alias("sig"),
-            "block", "id", "n", "tail",
-        )
-        .distinct()
-    )
-    index, probe = _cells(settle(index, "index"), settle(probe, "probe"), cell_rows)
-    index = _parallel(index, "sig", "row_cell", "col_cell").alias("x")
-    probe = _parallel(probe, "sig", "row_cell", "col_cell").alias("y")
-    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
-    limit = sim.max_distance(x("w") * 2 + x("n") + y("n"), threshold)
-    met = index.join(
-        probe,
-        (x("sig") == y("sig")) & (x("row_cell") == y("row_cell")) & (x("col_cell") == y("col_cell"))
-        & (x("block") == y("block"))
-        & ((y("n") < x("n")) | ((y("n") == x("n")) & (y("id") < x("id"))))
-        & (sim.edit_distance(x("tail"), y("tail"), limit) >= 0),
+    # The longest partner of a key, and the largest distance between the two.
+    longest = lambda n: max(((200 + k) * n - strict) // (200 - k), n)
+    widest = lambda n: (k * (n + longest(n)) - strict) // 200
+    lengths = range(1, horizon)
+    few_grams = [n for n in lengths if 2 * widest(n) + 1 > n - 1]
+    few_chars = [n for n in lengths if widest(n) + 1 > n]
+    last = max(few_grams)
+    grams_from = last + 1 if last < horizon - 1 else None
+    chars_to = longest(last) if grams_from else None
+    whole_to = (longest(max(few_chars)) if max(few_chars) < horizon - 1 else None) if few_chars else 0
+    return Reach(grams_from, chars_to, whole_to)
+
+
+def signatures(classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``(sig, id, n)``: at most ``2 d + 1`` rows of 2-grams and ``d + 1`` of characters per key."""
+    k, strict = sim.slack(threshold)
+    kinds, key, n = reach(threshold), F.col("key"), F.col("n")
+    longest = F.greatest(F.floor(((200 + k) * n - strict) / F.lit(200 - k)).cast("int"), n)
+    sized = classes.select("block", "id", "key", F.char_length(key).alias("n"))
+    sized = sized.withColumn("most", sim.max_distance(n + longest, threshold))
+
+    def counted(pieces: Column) -> Column:
+        """Pieces in order, each with the number of its occurrence."""
+        ordered = F.array_sort(pieces)
+        return F.transform(ordered, lambda g, i: F.concat(g, F.lit("#"), (i - F.array_position(ordered, g) + 1).cast("string")))
+
+    none = F.array().cast("array<string>")
+    grams = counted(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substr(key, i, F.lit(2))))
+    chars = counted(F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(key, i, F.lit(1))))
+    from_ = F.lit(False) if kinds.grams_from is None else n >= kinds.grams_from
+    to = F.lit(True) if kinds.chars_to is None else n <= kinds.chars_to
+    whole = F.lit(True) if kinds.whole_to is None else n <= kinds.whole_to
+    part = lambda kind, cond, pieces, first: F.struct(
+        F.lit(kind).alias("kind"), F.when(cond, pieces).otherwise(none).alias("pieces"), first.cast("int").alias("first")
     )
-    prefix = F.substr(x("block"), F.lit(1), x("w"))
-    first = x("id") < y("id")
-    key_x, key_y = F.concat(prefix, x("tail")), F.concat(prefix, y("tail"))
-    return met.select(
-        x("block").alias("block"),
-        F.least(x("id"), y("id")).alias("lo"),
-        F.greatest(x("id"), y("id")).alias("hi"),
-        F.when(first, key_x).otherwise(key_y).alias("lo_key"),
-        F.when(first, key_y).otherwise(key_x).alias("hi_key"),
-    ).distinct()
-
-
-def similar_pairs(
-    classes: DataFrame,
-    threshold: int = THRESHOLD,
-    direct_limit: int = DIRECT_LIMIT,
-    cell_rows: int = CELL_ROWS,
-) -> DataFrame:
-    """All pairs ``(block, lo, hi, lo_key, hi_key)`` of similar key classes."""
-    crowded = block_sizes(classes).filter(F.col("records") > direct_limit).select("block")
-    crowded = settle(crowded, "crowded")
-    if crowded.isEmpty():
-        return _confirm(_direct_pairs(classes, threshold), threshold)
-    small = classes.join(crowded, "block", "left_anti")
-    large = classes.join(crowded, "block", "left_semi")
-    pairs = _direct_pairs(small, threshold).unionByName(
-        _segment_pairs(large, threshold, cell_rows)
+    parts = [
+        part("g", from_, grams, 2 * F.col("most") + 1),
+        part("c", to & (n > 0), chars, F.col("most") + 1),
+        part("*", whole, F.array(F.lit("*")), F.lit(1)),
+    ]
+    pieces = sized.select("block", "id", "n", F.inline(F.array(*parts))).select(
+        "id", "n", "kind", "first", "block", F.explode("pieces").alias("piece")
     )
-    return _confirm(pairs, threshold)
+    pieces = settle(pieces.select("id", "n", "kind", "first", F.xxhash64("block", "kind", "piece").alias("sig")), "pieces")
+    shares = settle(pieces.groupBy("sig").agg(F.count("*").alias("share")), "shares")
+    # A key's own pieces: as many as it has characters.
+    rank = F.row_number().over(Window.partitionBy("id", "kind").orderBy("share", "sig"))
+    ranked = pieces.join(shares, "sig").withColumn("rank", rank)
+    return ranked.filter("rank <= first and share > 1").select("sig", "id", "n")
+
+
+def candidate_pairs(classes: DataFrame, threshold: int = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Distinct ``(lo, hi)`` that share a signature and whose lengths fit."""
+    rows = settle(signatures(classes, threshold), "signatures")
+    index, probe = _cells(rows, rows, cell_rows)
+    x = _parallel(index, "sig", "row_cell", "col_cell").alias("x")
+    y = _parallel(probe, "sig", "row_cell", "col_cell").alias("y")
+    of = lambda side, c: F.col(f"{side}.{c}")
+    same = [of("x", c) == of("y", c) for c in ("sig", "row_cell", "col_cell")]
+    close = F.abs(of("x", "n") - of("y", "n")) <= sim.max_distance(of("x", "n") + of("y", "n"), threshold)
+    met = x.join(y, [*same, of("x", "id") < of("y", "id"), close])
+    return met.select(of("x", "id").alias("lo"), of("y", "id").alias("hi")).distinct()
+
+
+def similar_pairs(classes: DataFrame, threshold: int = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """All pairs ``(block, lo, hi, lo_key, hi_key)`` of similar key classes.
+
+    ``classes`` is read several times; pass a written table.
+    """
+    keys = lambda end: classes.select(F.col("id").alias(end), F.col("block").alias(f"{end}_block"), F.col("key").alias(f"{end}_key"))
+    pairs = candidate_pairs(classes, threshold, cell_rows).join(keys("lo"), "lo").join(keys("hi"), "hi")
+    same = pairs.filter(F.col("lo_block") == F.col("hi_block"))
+    near = same.filter(_close_enough(F.col("lo_key"), F.col("hi_key"), threshold))
+    return _confirm(near.select(F.col("lo_block").alias("block"), "lo", "hi", "lo_key", "hi_key"), threshold)
+
+
+def scored(pairs: DataFrame) -> DataFrame:
+    """Pairs with their similarity from 0 to 100."""
+    return pairs.withColumn("score", sim.ratio(F.col("lo_key"), F.col("hi_key")))
 
 
 def _salted(edges: DataFrame, end: str, ids: DataFrame, how: str) -> DataFrame:
@@ -285,13 +268,12 @@ def deduplicate(
     title: str = "title",
     author: str = "author",
     threshold: int = THRESHOLD,
-    direct_limit: int = DIRECT_LIMIT,
     cell_rows: int = CELL_ROWS,
 ) -> Deduplicated:
     """Drop near-duplicates; ``id_col`` must be unique and not null."""
     keys = keyed(df, id_col, title, author)
     classes = settle(key_classes(keys), "classes")
-    edges = similar_pairs(classes, threshold, direct_limit, cell_rows)
+    edges = similar_pairs(classes, threshold, cell_rows)
     losers = eliminate(edges)
     leaders = classes.join(losers.withColumn("lost", F.lit(True)), "id", "left")
     ids = leaders.filter("lost is null").select(F.col("id").alias(id_col))
@@ -303,9 +285,11 @@ def deduplicate(
         F.count_if(F.col("lost").isNull()).alias("kept"),
     )
     gone = F.col("records") - F.col("kept")
+    blocks = F.when(F.col("records") < 2, F.lit(0)).otherwise(F.col("blocks")).cast("bigint")
     report = totals.select(
         gone.alias("duplicates"),
         gone.alias("removed"),
-        F.when(F.col("records") < 2, F.lit(0)).otherwise(F.col("blocks")).cast("bigint").alias("blocks"),
+        blocks.alias("blocks"),
+        F.coalesce(F.try_divide(F.col("records").cast("double"), blocks), F.lit(0.0)).alias("mean_block"),
     )
     return Deduplicated(survivors, removed, report)
