@@ -8,8 +8,9 @@ between p and q; a vector is replicated to the cells that pass both.  So all nei
 a vector are in its home cell, and cells join independently: links are counted for home
 vectors only, and each cell hands on a spanning forest of its links, not the links.
 
-A cell of any size is split into blocks, and each pair of blocks is a group of bounded
-size, multiplied as two matrices.  Pivots are drawn from a sample whose size is a
+A cell of any size is split into blocks of home vectors and of replicas, and each pair of
+blocks that holds home vectors is a group of bounded size, multiplied as two matrices.
+Pivots are drawn from a sample whose size is a
 parameter; they decide costs, never results.  For vectors without any cluster structure
 in many dimensions no metric bound prunes, and the blocks of a label meet each other.
 
@@ -35,7 +36,7 @@ COSINE = 0.93
 SAMPLE = 1024
 MOST_PIVOTS = 256
 VECTORS_PER_PIVOT = 16_384
-BLOCK = 1024
+BLOCK = 2048
 SLACK = 1e-9
 
 
@@ -171,9 +172,13 @@ def link(vectors: DataFrame, cosine: float = COSINE, block: int = BLOCK, sample:
     radius = float(np.sqrt(2 - 2 * cosine))
     placed = settle(place(classes, radius, sample), "cells")
     cell = ["label", "size", "cell"]
-    blocks = settle(placed.groupBy(*cell).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks")), "blocks")
-    spread = placed.join(blocks, cell).withColumn("block", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
-    pairs = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    cut = lambda rows: F.ceil(F.count_if(rows) / block).cast("int")
+    blocks = placed.groupBy(*cell).agg(cut(F.col("home")).alias("homes"), cut(~F.col("home")).alias("others"))
+    blocks = settle(blocks.where("homes > 0"), "blocks")  # without a vector at home a cell has nothing to tell
+    own = F.when(F.col("home"), F.pmod(F.xxhash64("class"), "homes")).otherwise(F.col("homes") + F.pmod(F.xxhash64("class"), "others"))
+    meets = F.when(F.col("home"), F.col("homes") + F.col("others")).otherwise(F.col("homes"))
+    pairs = placed.join(blocks, cell).withColumn("block", own.cast("int"))
+    pairs = pairs.withColumn("other", F.explode(F.sequence(F.lit(0), meets - 1)))
     pairs = pairs.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")})
     found = pairs.select(*cell, "low", "high", "block", "home", "class", "n", "unit").groupBy(*cell, "low", "high")
     found = settle(found.applyInArrow(_join_blocks(cosine), "a string, b string, n long"), "links")
