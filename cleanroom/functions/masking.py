@@ -18,6 +18,10 @@ MIN_STARS = 3
 # --------------------------------------------------------------------------
 
 
+#: Addresses inside running text.
+ADDRESS = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+
+
 def hash_text(c: Column) -> Column:
     """SHA-256 of the UTF-8 text in hex; null counts as empty text."""
     return F.sha2(F.coalesce(c, F.lit("")), 256)
@@ -47,6 +51,14 @@ def mask_email(c: Column, mode: str = "partial") -> Column:
     )
 
 
+def mask_emails_in(c: Column, mode: str = "partial") -> Column:
+    """Mask every address found in a text; the rest of the text stays."""
+    rest = F.split(c, ADDRESS, -1)
+    found = F.regexp_extract_all(c, F.lit(ADDRESS), F.lit(0))
+    masked = F.transform(found, lambda a, i: F.concat(mask_email(a, mode), F.element_at(rest, i + 2)))
+    return F.concat(F.element_at(rest, 1), F.array_join(masked, ""))
+
+
 def export_value(header: str, c: Column, data_type: T.DataType) -> Column:
     """Value of one export cell, chosen by column name and type; null stays null."""
     name = header.lower()

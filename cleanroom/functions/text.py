@@ -17,7 +17,7 @@ NO_CATEGORY = "Sin categoría"
 NO_DESCRIPTION = "Sin descripción"
 DEFAULT_SLUG = "usuario.desconocido"
 FALLBACK_DOMAIN = "@sin-correo.local"
-ACCEPTED_EMAIL = r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9.-]+\z"
+ACCEPTED_EMAIL = r"^[a-zA-Z0-9_.+-]+@[a-zA-Z0-9-]+\.[a-zA-Z0-9-.]+$"
 STORED_EMAIL = r"(?i)^[A-Z0-9._%+-]+@[A-Z0-9.-]+\.[A-Z]{2,}\z"
 EMPTY_BLOCK = "__empty__"
 # --------------------------------------------------------------------------

@@ -30,6 +30,10 @@ RETURNED = "DEVUELTO"
 # --------------------------------------------------------------------------
 
 
+# Loans share their row's ordinal, so their chunks are narrower than those of rows.
+LOAN_CHUNK_BITS = 16
+
+
 def day(value) -> Column:
     """A date literal; columns pass through."""
     return value if isinstance(value, Column) else F.lit(value).cast("date")
@@ -150,12 +154,9 @@ def users_of(bound: DataFrame) -> DataFrame:
 
 
 def explode_borrowed(loans: DataFrame, column: str = "borrowed") -> DataFrame:
-    """One row per distinct cleaned title of the comma-separated list.
-
-    A title repeated inside one list would be the same loan again.
-    """
+    """One row per cleaned title of the comma-separated list, repeats included."""
     pieces = F.split(F.coalesce(F.col(column), F.lit("")), ",")
-    titles = F.array_distinct(F.transform(pieces, lambda t: text.clean_text(t)))
+    titles = F.transform(pieces, lambda t: text.clean_text(t))
     kept = [c for c in loans.columns if c != column]
     return loans.select(*kept, F.posexplode(titles).alias("position", "title")).filter(
         F.col("title").isNotNull()
@@ -177,9 +178,9 @@ def build_loans(loans: DataFrame, bound: DataFrame, users: DataFrame, items: Dat
         .join(people, "name_key")
         .filter(F.col("ordinal") >= F.col("bound_at"))
     )
-    unique = rows.groupBy("user_id", "item_id", "checkout", "status").agg(
-        F.min_by("position", "ordinal").alias("position"), F.min("ordinal").alias("ordinal")
-    )
+    place = F.min(F.struct("ordinal", "position")).alias("place")
+    unique = rows.groupBy("user_id", "item_id", "checkout", "status").agg(place)
+    unique = unique.select("user_id", "item_id", "checkout", "status", "place.*")
     returned = F.when(F.col("status") == RETURNED, F.date_add("checkout", LOAN_DAYS))
     return unique.withColumn("returned", returned)
 
@@ -338,7 +339,7 @@ class Normalizer:
 
     @cached_property
     def loan_rows(self) -> DataFrame:
-        return clean_loans(self.raw["loans"], self.as_of)
+        return self.keep(clean_loans(self.raw["loans"], self.as_of), "loan_rows")
 
     @cached_property
     def bound_names(self) -> DataFrame:
@@ -356,24 +357,24 @@ class Normalizer:
 
     @cached_property
     def loans(self) -> DataFrame:
-        return dense_ids(self.unique_loans, "loan_id", then_by=("position",)).select(
+        return dense_ids(self.unique_loans, "loan_id", then_by=("position",), chunk_bits=LOAN_CHUNK_BITS).select(
             "loan_id", "user_id", "item_id", "checkout", "returned", "status"
         )
 
     @cached_property
     def stock_rows(self) -> DataFrame:
-        return clean_stock(self.raw["stock"])
+        return self.keep(clean_stock(self.raw["stock"]), "stock_rows")
 
     @cached_property
     def branches(self) -> DataFrame:
-        latest = self.keep(last_value(self.stock_rows, "branch", "location"), "branches")
+        latest = last_value(self.stock_rows, "branch", "location")
         return dense_ids(latest, "branch_id").select(
             "branch_id", F.col("branch").alias("name"), "location"
         )
 
     @cached_property
     def stock(self) -> DataFrame:
-        return build_stock(self.stock_rows, self.branches, self.titles)
+        return self.keep(build_stock(self.stock_rows, self.branches, self.titles), "stock")
 
     @cached_property
     def review_rows(self) -> DataFrame:

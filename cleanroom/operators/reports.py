@@ -16,8 +16,11 @@ FINE_MESSAGE = "Préstamo activo dentro del rango permitido."
 
 
 def loan_totals(items: DataFrame, loans: DataFrame) -> DataFrame:
-    """``(item_id, title, total_loans)``; items without loans count 0."""
-    per_item = loans.groupBy("item_id").agg(F.count("loan_id").alias("total_loans"))
+    """``(item_id, title, total_loans)``; items without loans count 0.
+
+    ``loans`` needs no ids: each of its rows is a loan.
+    """
+    per_item = loans.groupBy("item_id").agg(F.count(F.lit(1)).alias("total_loans"))
     return items.select("item_id", "title").join(per_item, "item_id", "left").withColumn(
         "total_loans", F.coalesce("total_loans", F.lit(0)).cast("bigint")
     )

@@ -130,7 +130,7 @@ def audit_report(tables: dict[str, DataFrame], rules: dict[str, dict]) -> DataFr
     parts = [
         audit(tables[name], name, columns).select(
             F.lit(name).alias("table"),
-            F.to_json(F.struct(*[F.col(f"`{c}`") for c in tables[name].columns])).alias("row"),
+            F.to_json(F.struct(*[F.col(f"`{c}`") for c in tables[name].columns]), {"ignoreNullFields": "false"}).alias("row"),
             "errors",
         )
         for name, columns in rules.items()

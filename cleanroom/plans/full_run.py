@@ -20,6 +20,7 @@ class Run:
     most_borrowed: DataFrame
     fines: DataFrame
     documents: dict[str, DataFrame]
+    mapping: dict
 
 
 def run(
@@ -36,23 +37,30 @@ def run(
     """
     audit = rules.audit_counts(raw, column_rules or RULES)
     unique = dedup.deduplicate(raw["catalog"], threshold=threshold)
-    tables = normalize.Normalizer(raw | {"catalog": unique.survivors}, as_of, keep).tables()
+    normal = normalize.Normalizer(raw | {"catalog": unique.survivors}, as_of, keep)
+    tables = normal.tables()
     tables["loan_audit"] = reports.audit_active_loans(tables["loans"], as_of)
+    mapping = mapping or MAPPING
     return Run(
         audit=audit,
         duplicates=unique.report,
         tables=tables,
-        most_borrowed=reports.most_borrowed_top(tables["items"], tables["loans"], tables["users"]),
+        most_borrowed=reports.most_borrowed_top(normal.titles, normal.unique_loans, normal.users),
         fines=reports.fines(tables["loans"], as_of),
-        documents=documents.all_documents(tables, mapping or MAPPING),
+        documents=documents.all_documents(tables, mapping),
+        mapping=mapping,
     )
 
 
 def write(result: Run, target: str) -> dict[str, dict[str, int]]:
-    """Write the tables, the masked export and the documents below ``target``."""
+    """Write the tables, then from these the masked export and the documents, below ``target``."""
     base = target.rstrip("/")
     sinks.write_tables(result.tables, f"{base}/tables")
+    spark = result.audit.sparkSession
+    written = {
+        name: spark.read.schema(df.schema).parquet(f"{base}/tables/{name}") for name, df in result.tables.items()
+    }
     return {
-        "export": sinks.export_tables(result.tables, f"{base}/export"),
-        "documents": sinks.write_documents(result.documents, f"{base}/documents"),
+        "export": sinks.export_tables(written, f"{base}/export"),
+        "documents": sinks.write_documents(documents.all_documents(written, result.mapping), f"{base}/documents"),
     }

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,27 +40,17 @@ def local_session(cores: str | int = "*", app: str = "cleanroom", **conf) -> Spa
     return spark
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a file scan that has fewer splits than the cluster has cores.
-
-    Cleaning costs far more CPU than reading, and a small file is one split.  A
-    scan of a large table has more splits than cores and stays as it is.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as the cluster names it.
 
-    Only a local session without the setting gets a temporary folder.
+    Only a local session without the setting gets one: in its warehouse.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="cleanroom-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 

@@ -184,6 +184,11 @@ def generate(rows: DataFrame, seed: int, as_of, row: str = "row", max_id: int =
     return {"catalog": accept_ids(catalog), "loans": loans, "stock": stock, "reviews": reviews}
 
 
+def highest_id(existing: DataFrame, column: str = "id") -> int:
+    """The largest id in use, 0 if there is none: where a generator goes on."""
+    return existing.agg(F.coalesce(F.max(column), F.lit(0)).cast("bigint")).first()[0]
+
+
 def accept_ids(catalog: DataFrame) -> DataFrame:
     """Apply the catalog's primary key: a row drawn with a taken id is refused.
 

@@ -49,14 +49,16 @@ def read_order(df: DataFrame, name: str = "ordinal") -> DataFrame:
         placed.groupBy("_file", "_block")
         .agg(F.min("_scan").alias("_first"), F.count("*").alias("_rows"))
     )
-    # One row per file block: block sums per file, then file sums.
-    in_file = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    across = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    files = blocks.groupBy("_file").agg(F.sum("_rows").alias("_all"))
-    file_start = files.select("_file", F.coalesce(F.sum("_all").over(across), F.lit(0)).alias("_before"))
+    # Two levels, groups of files whose names begin alike and files: part files come in
+    # groups of a hundred, so no task holds a row for every file.
+    grouped = blocks.withColumn("_folder", F.regexp_extract("_file", r"^(.*/[^/]{0,8})", 1))
+    in_group = Window.partitionBy("_folder").orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    across = Window.orderBy("_folder").rowsBetween(Window.unboundedPreceding, -1)
+    groups = grouped.groupBy("_folder").agg(F.sum("_rows").alias("_all"))
+    group_start = groups.select("_folder", F.coalesce(F.sum("_all").over(across), F.lit(0)).alias("_before"))
     starts = (
-        blocks.withColumn("_inside", F.coalesce(F.sum("_rows").over(in_file), F.lit(0)))
-        .join(file_start, "_file")
+        grouped.withColumn("_inside", F.coalesce(F.sum("_rows").over(in_group), F.lit(0)))
+        .join(group_start, "_folder")
         .select("_file", "_block", (F.col("_before") + F.col("_inside") - F.col("_first")).alias("_shift"))
     )
     return (
@@ -104,13 +106,14 @@ def load_sheet(df: DataFrame, sheet: str, keep: tuple[str, ...] = ("ordinal",))
     return Ingested(rows, rejects)
 
 
-def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", **options) -> DataFrame:
+def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", line_breaks: bool = False, **options) -> DataFrame:
     """One sheet, every column as text; a missing path raises on analysis.
 
     Rows keep their read order in ``ordinal`` unless the source has that column.
+    ``line_breaks`` reads cells that hold some; such a file cannot be split over tasks.
     """
     if fmt == "csv":
-        options = {"header": "true", "multiLine": "true", "escape": '"'} | options
+        options = {"header": "true", "multiLine": str(line_breaks).lower(), "escape": '"'} | options
     df = spark.read.format(fmt).options(**options).load(path)
     if "ordinal" not in df.columns:
         df = read_order(df)

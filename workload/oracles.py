@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from cleanroom.functions.text import WHITESPACE, WHITESPACE_CLASS
 from cleanroom.plans.config import RULES
-from workload.queries import DOCUMENT_RULES, SEED
+from workload.queries import DOCUMENT_RULES, ORDERS_AS_OF, SEED
 from workload.raw_views import AS_OF, oracle_view
 
 ORACLES: dict[str, str] = {}
@@ -237,7 +237,7 @@ SELECT * FROM (SELECT CAST(doc_id AS VARCHAR) AS path, concat_ws(' | ',
   CASE WHEN regexp_matches(upper(text), '(^|[^\\p{L}\\p{N}_])TEXT($|[^\\p{L}\\p{N}_])')
        THEN 'SQL legacy usa campos TEXT; se recomienda VARCHAR con longitud controlada.' END,
   CASE WHEN NOT contains(upper(text), 'PRIMARY KEY') THEN 'SQL no declara claves primarias.' END) AS errors
-FROM documents) WHERE errors <> ''
+FROM (SELECT doc_id, text || CASE WHEN doc_id % 3 = 0 THEN ' id INT PRIMARY KEY' ELSE '' END AS text FROM documents)) WHERE errors <> ''
 """
 
 # -- cleaning ------------------------------------------------------------------------
@@ -293,9 +293,14 @@ ORACLES["loan_status"] = (
 ORACLES["mask_emails"] = (
     f"SELECT ordinal, {mask('email')} AS masked, sha256(email) AS hashed FROM ({LOANS}) r"
 )
-ORACLES["mask_documents"] = f"SELECT doc_id, md5({mask('text')}) AS masked_md5 FROM documents"
+_ADDRESS = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+ORACLES["mask_documents"] = (
+    f"SELECT doc_id, md5(list_reduce(list_concat([rest[1]], list_transform(found, lambda a, i: {mask('a')} || rest[i + 1])), "
+    f"lambda x, y: x || y)) AS masked_md5 FROM (SELECT doc_id, regexp_extract_all(text, '{_ADDRESS}') AS found, "
+    f"regexp_split_to_array(text, '{_ADDRESS}') AS rest FROM documents)"
+)
 ORACLES["explode_borrowed"] = (
-    f"SELECT DISTINCT ordinal, title FROM (SELECT ordinal, {clean('t')} AS title FROM "
+    f"SELECT ordinal, title FROM (SELECT ordinal, {clean('t')} AS title FROM "
     f"(SELECT ordinal, unnest(string_split(coalesce(borrowed, ''), ',')) AS t FROM ({LOANS}) r)) "
     f"WHERE title IS NOT NULL"
 )
@@ -303,7 +308,7 @@ ORACLES["explode_borrowed"] = (
 # -- ingest ---------------------------------------------------------------------------
 
 ORACLES["ingest_by_name"] = (
-    f"SELECT row_number() OVER (ORDER BY ordinal) AS id, title, author, publisher, published FROM ({CATALOG}) r"
+    f"SELECT row_number() OVER (ORDER BY ordinal) AS id, title, author, category_and_description, publisher, published FROM ({CATALOG}) r"
 )
 ORACLES["ingest_by_position"] = (
     f"SELECT ordinal, branch, location, title, CAST(NULL AS VARCHAR) AS quantity FROM ({STOCK}) r "
@@ -312,12 +317,15 @@ ORACLES["ingest_by_position"] = (
 ORACLES["ingest_rejects"] = """
 SELECT * FROM (
   SELECT 'reviews' AS sheet, doc_id AS ordinal,
+    CAST(json_object('user_ref', CAST(doc_id AS VARCHAR), 'title', source, 'comment', text, 'rating', CAST(n_chars AS VARCHAR)) AS VARCHAR) AS row,
     CASE WHEN length(CAST(doc_id AS VARCHAR)) > 50 THEN 'user_ref longer than 50'
          WHEN length(source) > 255 THEN 'title longer than 255'
          WHEN length(CAST(n_chars AS VARCHAR)) > 10 THEN 'rating longer than 10' END AS reason
   FROM documents
   UNION ALL
   SELECT 'loans', page_id,
+    CAST(json_object('loan_id', page_id || CASE WHEN page_id % 9 = 0 THEN '.5' ELSE '' END, 'user_name', url, 'email', NULL, 'borrowed', html,
+      'checkout', split_part(url, '/', -1), 'status', split_part(url, '/', 3)) AS VARCHAR),
     CASE WHEN page_id % 9 = 0 THEN 'loan_id is not an integer'
          WHEN length(url) > 255 THEN 'user_name longer than 255'
          WHEN length(split_part(url, '/', -1)) > 50 THEN 'checkout longer than 50'
@@ -420,7 +428,7 @@ _LENT = ",".join((BOOKS, USERS, LOAN_TABLE))
 ORACLES["fact_loans"] = over(_LENT, "SELECT * FROM loans")
 ORACLES["dim_branches"] = over(f"{BOOKS},{STOCK_TABLE}", "SELECT * FROM branches")
 ORACLES["fact_stock"] = over(f"{BOOKS},{STOCK_TABLE}", "SELECT * FROM stock")
-ORACLES["fact_reviews"] = over(ALL, "SELECT * FROM reviews")
+ORACLES["fact_reviews"] = over(ALL, f"SELECT *, '{AS_OF} 00:00:00' AS created FROM reviews")
 ORACLES["normalize_counters"] = over(
     ALL,
     "SELECT 'books' AS entity, count(*) AS rows FROM books UNION ALL SELECT 'users', count(*) FROM bound "
@@ -431,23 +439,25 @@ ORACLES["constraint_violations"] = over(
     ALL,
     f"""
 SELECT 'items' AS "table", 3 AS checks,
-  CAST(sum(CAST(title IS NULL AS INT) + CAST(length(title) > 255 AS INT) + CAST(coalesce(published > {DAY}, false) AS INT)) AS BIGINT) AS rows FROM items
+  CAST(sum(CAST(title IS NULL AS INT) + CAST(length(title) > 255 AS INT) + CAST(coalesce(published > {DAY}, false) AS INT)) AS BIGINT) AS rows FROM judged
 UNION ALL SELECT 'users', 5, CAST(sum(CAST(name IS NULL AS INT) + CAST(email IS NULL AS INT) + CAST(length(name) > 180 AS INT)
-  + CAST(length(email) > 255 AS INT) + CAST(NOT {storable('email')} AS INT)) AS BIGINT) FROM users
+  + CAST(length(email) > 255 AS INT) + CAST(NOT {storable('email')} AS INT)) AS BIGINT) FROM loans1
 UNION ALL SELECT 'loans', 7, CAST(sum(CAST(user_id IS NULL OR item_id IS NULL OR checkout IS NULL OR status IS NULL AS INT)
   + CAST(length(status) > 20 AS INT) + CAST(status NOT IN ('ACTIVO', 'DEVUELTO', 'VENCIDO') AS INT)
   + CAST(coalesce(returned < checkout, false) AS INT)) AS BIGINT) FROM loans
 UNION ALL SELECT 'stock', 4, CAST(sum(CAST(branch_id IS NULL OR item_id IS NULL OR quantity IS NULL AS INT)
-  + CAST(quantity < 0 AS INT)) AS BIGINT) FROM stock
+  + CAST(quantity < 0 AS INT)) AS BIGINT) FROM
+  (SELECT b.branch_id, i.item_id, s.quantity FROM stock1 s LEFT JOIN items i ON i.title = s.title LEFT JOIN branches b ON b.name = s.branch)
 UNION ALL SELECT 'reviews', 5, CAST(sum(CAST(user_id IS NULL OR item_id IS NULL OR rating IS NULL AS INT)
-  + CAST(length(comment) > 1000 AS INT) + CAST(rating NOT BETWEEN 1 AND 5 AS INT)) AS BIGINT) FROM reviews
+  + CAST(length(comment) > 1000 AS INT) + CAST(rating NOT BETWEEN 1 AND 5 AS INT)) AS BIGINT) FROM
+  (SELECT v.user_id, i.item_id, v.rating, v.comment FROM reviews0 v LEFT JOIN items i ON i.title = v.title)
 """,
 )
 
 # -- reports ------------------------------------------------------------------------------
 
 _REPORT = """
-SELECT i.title, count(l.loan_id) AS total_loans, string_agg(DISTINCT u.name, ', ' ORDER BY u.name) AS users
+SELECT i.item_id, i.title, count(l.loan_id) AS total_loans, string_agg(DISTINCT u.name, ', ' ORDER BY u.name) AS users
 FROM items i LEFT JOIN loans l ON l.item_id = i.item_id LEFT JOIN users u ON u.user_id = l.user_id
 GROUP BY i.item_id, i.title ORDER BY total_loans DESC, i.title
 """
@@ -489,11 +499,13 @@ _MESSAGE = (
 )
 ORACLES["loan_audit"] = over(
     _LENT,
-    f"SELECT loan_id, status, {_ELAPSED} AS elapsed_days, {_MESSAGE} AS message FROM loans WHERE status = 'ACTIVO'",
+    f"SELECT loan_id, status, {_ELAPSED} AS elapsed_days, {_MESSAGE} AS message, "
+    f"'{AS_OF} 00:00:00' AS audited FROM loans WHERE status = 'ACTIVO'",
 )
+_SINCE = _ELAPSED.replace(AS_OF, ORDERS_AS_OF)
 ORACLES["order_audit"] = over(
     _ORDER_LOANS,
-    f"SELECT {_MESSAGE} AS message, count(*) AS lines, min({_ELAPSED}) AS min_days, max({_ELAPSED}) AS max_days "
+    f"SELECT {_MESSAGE.replace(AS_OF, ORDERS_AS_OF)} AS message, count(*) AS lines, min({_SINCE}) AS min_days, max({_SINCE}) AS max_days "
     f"FROM order_loans WHERE status = 'ACTIVO' GROUP BY 1",
 )
 
@@ -543,12 +555,26 @@ _PAGE_KEYS = (
     f"keys AS (SELECT id, {block('title')} AS block, {fold('title')} || ' ' || {fold('author')} AS key "
     f"FROM ({_PAGE_VIEW}) r)"
 )
-# Bit-parallel longest common subsequence: one bit per character of the second text.
-_FULL = "((1::HUGEINT << length(y)) - 1)"
+# Bit-parallel longest common subsequence: one bit per character of the second text, in
+# limbs of 60 bits with the carry of an addition handed from limb to limb.
+_LIMBS = "range((length(y) + 59) // 60)"
+_FULL = f"list_transform({_LIMBS}, lambda k: (1::HUGEINT << CAST(least(60, length(y) - 60 * k) AS INT)) - 1)"
 _MASKS = (
-    "list_transform(string_split(x, ''), lambda c: list_reduce(list_transform(range(length(y)), "
-    "lambda j: CASE WHEN y[j + 1] = c THEN 1::HUGEINT << CAST(j AS INT) ELSE 0::HUGEINT END), "
-    "lambda s, b: s + b))"
+    f"list_transform(string_split(x, ''), lambda c: list_transform({_LIMBS}, lambda k: list_reduce(list_transform(range(60), "
+    "lambda j: CASE WHEN y[60 * k + j + 1] = c THEN 1::HUGEINT << CAST(j AS INT) ELSE 0::HUGEINT END), lambda s, b: s + b)))"
+)
+_ZERO = "'c': 0::HUGEINT, 'v': 0::HUGEINT, 'm': 0::HUGEINT, 'w': 0::HUGEINT"
+_SUM = "(e.v + (e.v & e.m) + a.c)"
+_STEP = (
+    "list_reduce(list_transform(range(1, len(v) + 1), "
+    "lambda i: {'o': []::HUGEINT[], 'c': 0::HUGEINT, 'v': v[i], 'm': m[i], 'w': whole[i]}), "
+    "lambda a, e: {'o': list_append(a.o, (" + _SUM + " | (e.v - (e.v & e.m))) & e.w), "
+    "'c': " + _SUM + " >> 60, 'v': 0::HUGEINT, 'm': 0::HUGEINT, 'w': 0::HUGEINT}, "
+    "{'o': []::HUGEINT[], " + _ZERO + "}).o"
+)
+_COMMON = (
+    f"length(y) - CAST(list_sum(list_transform(list_reduce({_MASKS}, lambda v, m: {_STEP}, whole), "
+    "lambda l: bit_count(l))) AS BIGINT)"
 )
 _EDGES = f"""
 classes AS MATERIALIZED (SELECT block, key, min(id) AS id FROM keys GROUP BY block, key),
@@ -557,11 +583,15 @@ pairs AS (SELECT a.block, a.id AS lo, b.id AS hi, a.key AS x, b.key AS y, length
   FROM classes a JOIN classes b ON a.block = b.block AND a.id < b.id),
 near AS (SELECT * FROM pairs WHERE 200 * lev < 31 * total),
 open_pairs AS (SELECT block, lo, hi, x, y, total, {_FULL} AS whole FROM near WHERE 400 * lev >= 31 * total),
-measured AS (SELECT block, lo, hi, total, length(y) - bit_count(list_reduce({_MASKS},
-    lambda v, m: ((v + (v & m)) | (v - (v & m))) & whole, whole)) AS common FROM open_pairs),
+measured AS (SELECT block, lo, hi, total, {_COMMON} AS common FROM open_pairs),
 edges AS MATERIALIZED (SELECT block, lo, hi FROM near WHERE 400 * lev < 31 * total
   UNION ALL SELECT block, lo, hi FROM measured WHERE 200 * (total - 2 * common) < 31 * total)
 """
+# The score of every edge.
+_SCORES = f"""
+scores AS (SELECT block, lo, hi, CAST(round_even(({_COMMON}) * 200::DOUBLE / total, 0) AS INTEGER) AS score
+  FROM (SELECT *, {_FULL} AS whole FROM near JOIN edges USING (block, lo, hi)))
+"""
 _KEPT = """
 lower_of AS (SELECT hi AS id, list(lo) AS lows FROM edges GROUP BY hi),
 nodes AS MATERIALIZED (SELECT c.block, c.id, coalesce(l.lows, []) AS lows,
@@ -578,7 +608,7 @@ ORACLES["block_stats"] = over(
     _PART_KEYS,
     "SELECT block, count(*) AS records, CAST(count(*) * (count(*) - 1) / 2 AS BIGINT) AS pairs FROM keys GROUP BY block",
 )
-ORACLES["similar_pairs"] = over(f"{_PART_KEYS},{_EDGES}", "SELECT block, lo, hi FROM edges")
+ORACLES["similar_pairs"] = over(f"{_PART_KEYS},{_EDGES},{_SCORES}", "SELECT block, lo, hi, score FROM scores")
 ORACLES["similar_pages"] = over(f"{_PAGE_KEYS},{_EDGES}", "SELECT block, lo, hi FROM edges")
 
 
@@ -594,11 +624,72 @@ ORACLES["dedup_pages"] = walked(
 )
 ORACLES["dedup_report"] = walked(
     _PAGE_KEYS,
-    "SELECT n - k AS duplicates, n - k AS removed, CASE WHEN n < 2 THEN 0 ELSE b END AS blocks FROM "
+    "SELECT n - k AS duplicates, n - k AS removed, CASE WHEN n < 2 THEN 0 ELSE b END AS blocks, "
+    "CASE WHEN n < 2 THEN 0.0::DOUBLE ELSE n::DOUBLE / b END AS mean_block FROM "
     "(SELECT (SELECT count(*) FROM keys) AS n, (SELECT count(*) FROM kept) AS k, "
     "(SELECT count(DISTINCT block) FROM keys) AS b)",
 )
 
+# -- the whole run ---------------------------------------------------------------------------------
+
+ORACLES["borrowed_totals"] = over(
+    _LENT, "SELECT i.item_id, i.title, count(l.loan_id) AS total_loans FROM items i LEFT JOIN loans l ON l.item_id = i.item_id GROUP BY ALL"
+)
+ORACLES["borrowed_readers"] = over(_LENT, "SELECT DISTINCT item_id, name FROM loans l JOIN users u ON u.user_id = l.user_id")
+ORACLES["fine_lookup"] = over(
+    _LENT,
+    f"SELECT o_orderkey AS loan_id, coalesce({fine('checkout', 'returned')}, 0) AS fine FROM "
+    "(SELECT o.o_orderkey, l.checkout, l.returned FROM orders o LEFT JOIN loans l ON l.loan_id = o.o_orderkey)",
+)
+ORACLES["sql_fines"] = over(_LENT, f"SELECT loan_id, {fine('checkout', 'returned')} AS fine FROM loans WHERE status <> 'DEVUELTO'")
+ORACLES["sql_most_borrowed"] = over(_LENT, f"SELECT title, total_loans, users FROM ({_REPORT}) WHERE total_loans > 0")
+ORACLES["export_items"] = over(
+    BOOKS, "SELECT item_id, title, strftime(published, '%d/%m/%Y') AS fecha_publicacion, category_id, publisher_id FROM items"
+)
+ORACLES["export_authors"] = over(BOOKS, "SELECT * FROM authors")
+ORACLES["export_stock"] = over(f"{BOOKS},{STOCK_TABLE}", "SELECT * FROM stock")
+ORACLES["export_reviews"] = over(ALL, f"SELECT *, strftime({DAY}, '%d/%m/%Y %H:%M:%S') AS fecha_resena FROM reviews")
+ORACLES["document_sink"] = ORACLES["user_documents"]
+ORACLES["ingest_files"] = f"""
+SELECT 'catalog' AS sheet, (SELECT count(*) FROM ({CATALOG}) r WHERE length(published) <= 50 OR published IS NULL) AS rows
+UNION ALL SELECT 'stock', (SELECT count(*) FROM ({STOCK}) r WHERE ordinal % 10 <> 0 AND length(coalesce(branch, '')) <= 100)
+UNION ALL SELECT 'otra', 0
+"""
+
+
+def report_sql(table: str, source: str, rules: dict) -> str:
+    cases = rule_cases(table, rules, text_columns(rules))
+    errors = ", ".join(f"CASE WHEN {cond} THEN {text} END" for _, _, cond, text in cases)
+    return f"SELECT '{table}' AS \"table\", CAST(to_json(r) AS VARCHAR) AS row, concat_ws(' | ', {errors}) AS errors FROM ({source}) r"
+
+
+ORACLES["audit_report"] = (
+    "SELECT * FROM (" + " UNION ALL ".join(report_sql(t, oracle_view(t), RULES[t]) for t in RULES) + ") WHERE errors <> ''"
+)
+
+_CATALOG_KEYS = (
+    f"keys AS (SELECT id, {block('title')} AS block, {fold('title')} || ' ' || {fold('author')} AS key FROM ({CATALOG}) r)"
+)
+_UNIQUE = f"{_CATALOG_KEYS},{_EDGES},{_KEPT},unique_catalog AS MATERIALIZED (SELECT * FROM ({CATALOG}) r WHERE id IN (SELECT id FROM kept))"
+
+
+def of_unique(sql: str) -> str:
+    """The same on the de-duplicated catalog."""
+    return sql.replace(f"({CATALOG})", "(SELECT * FROM unique_catalog)")
+
+
+_COUNTED = ("categories", "publishers", "authors", "items", "item_authors", "users", "loans", "branches", "stock", "reviews")
+ORACLES["run_summary"] = (
+    f"WITH RECURSIVE {_UNIQUE},{of_unique(ALL)},audit AS MATERIALIZED ({ORACLES['audit_summary']}) "
+    "SELECT 'audited' AS part, \"table\" AS name, total_records AS rows FROM audit UNION ALL "
+    "SELECT 'invalid', \"table\", invalid_records FROM audit UNION ALL "
+    "SELECT 'catalog', 'removed', (SELECT count(*) FROM keys) - (SELECT count(*) FROM kept) UNION ALL "
+    "SELECT 'catalog', 'blocks', count(DISTINCT block) FROM keys UNION ALL "
+    + " UNION ALL ".join(f"SELECT 'table', '{t}', count(*) FROM {t}" for t in _COUNTED)
+    + " UNION ALL SELECT 'table', 'loan_audit', count(*) FROM loans WHERE status = 'ACTIVO'"
+)
+ORACLES["run_most_borrowed"] = f"WITH RECURSIVE {_UNIQUE},{of_unique(_LENT)} {_REPORT} LIMIT 10"
+
 # -- maintenance ------------------------------------------------------------------------------------
 
 
@@ -650,7 +741,7 @@ FROM items i JOIN judged_changes j ON j.item_id = i.item_id
 """,
 )
 ORACLES["item_delete"] = """
-WITH lent AS (SELECT DISTINCT l_partkey AS id FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 48),
+WITH lent AS (SELECT DISTINCT o_custkey AS id FROM orders),
 asked AS (SELECT p_partkey AS id FROM part WHERE p_partkey % 3 = 0),
 gone AS (SELECT id FROM asked WHERE id NOT IN (SELECT id FROM lent)),
 remaining AS (
@@ -658,7 +749,7 @@ remaining AS (
   UNION ALL SELECT 'item_authors', p_partkey FROM part WHERE p_partkey NOT IN (SELECT id FROM gone)
   UNION ALL SELECT 'stock', l_partkey FROM lineitem WHERE l_partkey NOT IN (SELECT id FROM gone)
   UNION ALL SELECT 'reviews', event_id FROM events WHERE event_id NOT IN (SELECT id FROM gone)
-  UNION ALL SELECT 'loans', l_partkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity > 48
+  UNION ALL SELECT 'loans', o_custkey FROM orders
   UNION ALL SELECT 'blocked', id FROM asked WHERE id IN (SELECT id FROM lent))
 SELECT t AS "table", count(*) AS rows, CAST(coalesce(sum(id), 0) AS BIGINT) AS id_sum FROM remaining GROUP BY t
 """

@@ -5,6 +5,7 @@ Outputs are flat (lists joined to text) so that they can be compared by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +22,10 @@ from cleanroom.operators import (
     rules,
 )
 from cleanroom.operators.ids import dense_ids
+from cleanroom.plans import full_run
 from cleanroom.plans.config import EXPORT_HEADERS, RULES, SCRIPT_RULES
-from cleanroom.session import configure, spread
-from cleanroom.sources import generate, ingest
+from cleanroom.session import checkpoint_root, configure, settle
+from cleanroom.sources import generate, ingest, sinks
 from workload.raw_views import AS_OF, raw, raw_tables, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +33,8 @@ QUERIES: dict[str, Query] = {}
 
 SEP = " | "
 SEED = 7
+# A day within the orders, so that some are late and some are not.
+ORDERS_AS_OF = "1998-06-01"
 
 
 def query(fn: Query) -> Query:
@@ -89,6 +93,13 @@ def audit_failures(spark, sf_dir):
     return out
 
 
+@query
+def audit_report(spark, sf_dir):
+    """Failing rows of all four tables, as JSON, with their messages."""
+    report = rules.audit_report(raw_tables(spark, sf_dir), RULES)
+    return report.select("table", "row", joined("errors").alias("errors"))
+
+
 DOCUMENT_RULES = {
     "text": {"required": True, "max_length": 4000, "must_contain": "."},
     "lang": {"required": True, "allowed_values": ["en", "fr", "de"]},
@@ -100,14 +111,16 @@ DOCUMENT_RULES = {
 
 @query
 def audit_documents(spark, sf_dir):
-    failing = rules.audit(spread(table(spark, sf_dir, "documents")), "documents", DOCUMENT_RULES)
+    failing = rules.audit(table(spark, sf_dir, "documents"), "documents", DOCUMENT_RULES)
     return failing.select("doc_id", joined("errors").alias("errors"))
 
 
 @query
 def script_rules(spark, sf_dir):
-    texts = spread(table(spark, sf_dir, "documents")).select(
-        F.col("doc_id").cast("string").alias("path"), "text"
+    # Every third text declares a key, so that some pass.
+    key = F.when(F.col("doc_id") % 3 == 0, " id INT PRIMARY KEY").otherwise("")
+    texts = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("string").alias("path"), F.concat("text", key).alias("text")
     )
     wanted = SCRIPT_RULES | {"forbidden_keywords": ["DROP DATABASE", "TRUNCATE", "license"]}
     found = rules.script_findings(texts, wanted)
@@ -129,7 +142,7 @@ def clean_fields(spark, sf_dir):
 @query
 def clean_documents(spark, sf_dir):
     cleaned = text.clean_text(F.col("text"), "")
-    return spread(table(spark, sf_dir, "documents")).select(
+    return table(spark, sf_dir, "documents").select(
         "doc_id",
         F.char_length(cleaned).cast("bigint").alias("n_clean"),
         F.md5(cleaned).alias("clean_md5"),
@@ -226,8 +239,8 @@ def mask_emails(spark, sf_dir):
 
 @query
 def mask_documents(spark, sf_dir):
-    return spread(table(spark, sf_dir, "documents")).select(
-        "doc_id", F.md5(masking.mask_email(F.col("text"))).alias("masked_md5")
+    return table(spark, sf_dir, "documents").select(
+        "doc_id", F.md5(masking.mask_emails_in(F.col("text"))).alias("masked_md5")
     )
 
 
@@ -251,7 +264,7 @@ def ingest_by_name(spark, sf_dir):
         "publisher", "category_and_description",
     )
     rows = ingest.load_sheet(sheet, "catalog").rows
-    return ingest.with_serial(rows).select("id", "title", "author", "publisher", "published")
+    return ingest.with_serial(rows).select("id", "title", "author", "category_and_description", "publisher", "published")
 
 
 @query
@@ -267,7 +280,7 @@ def ingest_by_position(spark, sf_dir):
 @query
 def ingest_rejects(spark, sf_dir):
     """Rows of the documents and pages tables as sheets that hold over-long cells."""
-    docs = spread(table(spark, sf_dir, "documents")).select(
+    docs = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("ordinal"),
         F.col("doc_id").cast("string").alias("user_ref"),
         F.col("source").alias("title"),
@@ -286,7 +299,7 @@ def ingest_rejects(spark, sf_dir):
     rejects = ingest.load_sheet(docs, "reviews").rejects.unionByName(
         ingest.load_sheet(pages, "loans").rejects
     )
-    return rejects.select("sheet", "ordinal", "reason")
+    return rejects.select("sheet", "ordinal", "row", "reason")
 
 
 # -- normalization --------------------------------------------------------------
@@ -349,7 +362,8 @@ def fact_stock(spark, sf_dir):
 
 @query
 def fact_reviews(spark, sf_dir):
-    return _normalized(spark, sf_dir).reviews.drop("created")
+    reviews = _normalized(spark, sf_dir).reviews
+    return reviews.withColumn("created", F.col("created").cast("string"))
 
 
 @query
@@ -359,9 +373,19 @@ def normalize_counters(spark, sf_dir):
 
 @query
 def constraint_violations(spark, sf_dir):
-    tables = _normalized(spark, sf_dir)
+    """Checks on rows before any is rejected; unknown titles and branches have no id."""
+    t = _normalized(spark, sf_dir)
     day = normalize.day(AS_OF)
-    parts = [constraints.violations(tables[n], n, day) for n in ("items", "users", "loans", "stock", "reviews")]
+    known = t.titles.select("item_id", "title")
+    branches = t.branches.select("branch_id", F.col("name").alias("branch"))
+    before = {
+        "items": t.catalog_cleaned,
+        "users": t.loan_rows,
+        "loans": t["loans"],
+        "stock": t.stock_rows.join(known, "title", "left").join(branches, "branch", "left"),
+        "reviews": t.review_rows.join(known, "title", "left").withColumnRenamed("position", "user_id"),
+    }
+    parts = [constraints.violations(df, n, day) for n, df in before.items()]
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -376,15 +400,27 @@ def constraint_violations(spark, sf_dir):
 @query
 def most_borrowed(spark, sf_dir):
     t = _normalized(spark, sf_dir)
-    out = reports.most_borrowed(t["items"], t["loans"], t["users"])
-    return out.select("title", "total_loans", "users")
+    return reports.most_borrowed(t.titles, t.unique_loans, t.users)
 
 
 @query
 def most_borrowed_top10(spark, sf_dir):
     t = _normalized(spark, sf_dir)
-    out = reports.most_borrowed_top(t["items"], t["loans"], t["users"])
-    return out.select("title", "total_loans", "users")
+    return reports.most_borrowed_top(t.titles, t.unique_loans, t.users)
+
+
+@query
+def borrowed_totals(spark, sf_dir):
+    """The report's counts as rows, for items of any number of readers."""
+    t = _normalized(spark, sf_dir)
+    return reports.loan_totals(t.titles, t.unique_loans)
+
+
+@query
+def borrowed_readers(spark, sf_dir):
+    """The report's readers as rows: no list grows with an item."""
+    t = _normalized(spark, sf_dir)
+    return reports.item_readers(t.unique_loans, t.users)
 
 
 def _order_loans(spark, sf_dir):
@@ -448,12 +484,12 @@ def first_loan_fine(spark, sf_dir):
 @query
 def loan_audit(spark, sf_dir):
     lines = reports.audit_active_loans(_normalized(spark, sf_dir).loans, AS_OF)
-    return lines.drop("audited")
+    return lines.withColumn("audited", F.col("audited").cast("string"))
 
 
 @query
 def order_audit(spark, sf_dir):
-    lines = reports.audit_active_loans(_order_loans(spark, sf_dir), AS_OF)
+    lines = reports.audit_active_loans(_order_loans(spark, sf_dir), ORDERS_AS_OF)
     return lines.groupBy("message").agg(
         F.count("*").alias("lines"),
         F.min("elapsed_days").alias("min_days"),
@@ -502,6 +538,120 @@ def export_loans(spark, sf_dir):
     return masking.export_frame(_normalized(spark, sf_dir).loans, EXPORT_HEADERS["loans"])
 
 
+@query
+def export_items(spark, sf_dir):
+    return masking.export_frame(_normalized(spark, sf_dir).items, EXPORT_HEADERS["items"])
+
+
+@query
+def export_authors(spark, sf_dir):
+    return masking.export_frame(_normalized(spark, sf_dir).authors)
+
+
+@query
+def export_stock(spark, sf_dir):
+    return masking.export_frame(_normalized(spark, sf_dir).stock)
+
+
+@query
+def export_reviews(spark, sf_dir):
+    return masking.export_frame(_normalized(spark, sf_dir).reviews, EXPORT_HEADERS["reviews"])
+
+
+def _folder(spark, label: str) -> str:
+    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+@query
+def document_sink(spark, sf_dir):
+    """User documents written as JSON, replaced once and read back."""
+    docs = {"users": documents.documents("users", _normalized(spark, sf_dir))}
+    folder = _folder(spark, "documents")
+    for _ in range(2):
+        sinks.write_documents(docs, folder)
+    return spark.read.schema(docs["users"].schema).json(f"{folder}/users")
+
+
+@query
+def ingest_files(spark, sf_dir):
+    """Sheets written as CSV and read back: blank rows are skipped, an unmapped sheet counts 0."""
+    folder = _folder(spark, "sheets")
+    blank = F.col("ordinal") % 10 == 0
+    sheets = {
+        "catalog": raw(spark, sf_dir, "catalog").drop("id", "ordinal"),
+        "stock": (stock := raw(spark, sf_dir, "stock")).select(
+            *[F.when(~blank, F.col(c)).alias(c) for c in stock.columns if c != "ordinal"]
+        ),
+        "otra": table(spark, sf_dir, "nation"),
+    }
+    for name, df in sheets.items():
+        writer = df.write.option("header", True).option("escape", '"').option("nullValue", "\\N").option("emptyValue", '""')
+        writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{name}")
+    read = {name: ingest.read_sheet(spark, f"{folder}/{name}", nullValue="\\N") for name in sheets}
+    _, _, counts = ingest.load_sheets(read)
+    out = None
+    for name, df in counts.items():
+        part = df.select(F.lit(name).alias("sheet"), "rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def fine_lookup(spark, sf_dir):
+    """Fines of the asked loans; order keys beyond the loans cost 0."""
+    asked = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("loan_id"))
+    return reports.fines_for(asked, _normalized(spark, sf_dir).loans, AS_OF)
+
+
+def _sql_session(spark, sf_dir) -> None:
+    t = _normalized(spark, sf_dir)
+    loans = settle(t.loans, "loans")
+    reports.register_views({"items": t.titles, "loans": loans, "users": t.users}, AS_OF)
+
+
+@query
+def sql_fines(spark, sf_dir):
+    """The fine function in SQL."""
+    _sql_session(spark, sf_dir)
+    return spark.sql("SELECT loan_id, loan_fine(loan_id) AS fine FROM loans WHERE status <> 'DEVUELTO'")
+
+
+@query
+def sql_most_borrowed(spark, sf_dir):
+    """The report view in SQL."""
+    _sql_session(spark, sf_dir)
+    return spark.sql("SELECT title, total_loans, users FROM most_borrowed WHERE total_loans > 0")
+
+
+# -- the whole run -----------------------------------------------------------------
+
+
+def _run(spark, sf_dir) -> full_run.Run:
+    return full_run.run(raw_tables(spark, sf_dir), AS_OF)
+
+
+@query
+def run_summary(spark, sf_dir):
+    """Audit, duplicates and rows per table of a whole run."""
+    done = _run(spark, sf_dir)
+    row = lambda part, name, n: F.struct(F.lit(part).alias("part"), name.alias("name"), n.cast("bigint").alias("rows"))
+    audit = done.audit.select(
+        F.inline(F.array(row("audited", F.col("table"), F.col("total_records")), row("invalid", F.col("table"), F.col("invalid_records"))))
+    )
+    out = audit.unionByName(
+        done.duplicates.select(F.inline(F.array(row("catalog", F.lit("removed"), F.col("removed")), row("catalog", F.lit("blocks"), F.col("blocks")))))
+    )
+    for name, df in done.tables.items():
+        out = out.unionByName(df.agg(F.count("*").alias("n")).select(F.inline(F.array(row("table", F.lit(name), F.col("n"))))))
+    return out
+
+
+@query
+def run_most_borrowed(spark, sf_dir):
+    """The report of a whole run, on the de-duplicated catalog."""
+    return _run(spark, sf_dir).most_borrowed
+
+
 @query
 def export_orders(spark, sf_dir):
     """Date formats of the export on the orders table."""
@@ -536,13 +686,13 @@ def block_stats(spark, sf_dir):
 
 @query
 def similar_pairs(spark, sf_dir):
-    classes = dedup.key_classes(_part_keys(spark, sf_dir))
-    return dedup.similar_pairs(classes).select("block", "lo", "hi")
+    classes = settle(dedup.key_classes(_part_keys(spark, sf_dir)), "classes")
+    return dedup.scored(dedup.similar_pairs(classes)).select("block", "lo", "hi", "score")
 
 
 @query
 def similar_pages(spark, sf_dir):
-    classes = dedup.key_classes(_page_keys(spark, sf_dir))
+    classes = settle(dedup.key_classes(_page_keys(spark, sf_dir)), "classes")
     return dedup.similar_pairs(classes).select("block", "lo", "hi")
 
 
@@ -574,7 +724,7 @@ def orphan_counts(spark, sf_dir):
     given = [
         ("lineitem", "l_orderkey", "orders", lines, orders, "o_orderkey"),
         ("orders", "o_orderkey", "lineitem", orders, lines.distinct(), "l_orderkey"),
-        ("documents", "doc_id", "labels", spread(table(spark, sf_dir, "documents")).select("doc_id"),
+        ("documents", "doc_id", "labels", table(spark, sf_dir, "documents").select("doc_id"),
          table(spark, sf_dir, "labels"), "doc_id"),
     ]
     for child, key, parent, rows, parents, parent_key in given:
@@ -611,13 +761,12 @@ def item_update(spark, sf_dir):
 
 @query
 def item_delete(spark, sf_dir):
-    """Delete every third part read as an item; line items of even suppliers lend parts."""
+    """Delete every third part read as an item; an order lends the part of its customer's number."""
     items = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("item_id"), "p_name")
     lines = table(spark, sf_dir, "lineitem")
-    open_lines = (F.col("l_returnflag") == "R") & (F.col("l_quantity") > 48)
     tables = {
         "items": items,
-        "loans": lines.filter(open_lines).select(F.col("l_partkey").alias("item_id")),
+        "loans": table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("item_id")),
         "stock": lines.select(F.col("l_partkey").alias("item_id"), "l_suppkey"),
         "item_authors": items.select("item_id", F.col("p_name").alias("author_id")),
         "reviews": table(spark, sf_dir, "events").select(F.col("event_id").alias("item_id")),
@@ -643,7 +792,8 @@ def dirty_profile(spark, sf_dir):
     numbered = dense_ids(
         table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ordinal")), "position"
     ).select((F.col("position") - 1).alias("row"))
-    made = generate.generate(numbered, SEED, AS_OF)
+    taken = generate.highest_id(table(spark, sf_dir, "part"), "p_partkey")
+    made = generate.generate(numbered, SEED, AS_OF, max_id=taken)
     probes = {
         "catalog": {
             "padded_title": F.col("title").startswith("   "),
