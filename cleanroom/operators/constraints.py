@@ -126,6 +126,11 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str | Non
     return child.filter(F.col(key).isNotNull()).join(keys, key, "left_anti")
 
 
+def broken_foreign_keys(tables: dict[str, DataFrame]) -> DataFrame:
+    """The foreign keys with orphans: none where normalized tables are whole."""
+    return orphan_counts(tables).filter("orphans > 0")
+
+
 def orphan_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """``(child, key, parent, orphans)`` for every foreign key that is present."""
     parts = [

@@ -239,12 +239,18 @@ def _salted(edges: DataFrame, end: str, ids: DataFrame, how: str) -> DataFrame:
     return edges.withColumn("salt", salt).join(copies, [end, "salt"], how).drop("salt")
 
 
-def eliminate(edges: DataFrame) -> DataFrame:
+#: Rounds after which the tables of removed ids become one again.
+FOLD_ROUNDS = 8
+
+
+def eliminate(edges: DataFrame, rounds: list[int] | None = None) -> DataFrame:
     """Ids removed by the ordered elimination over edges ``(lo, hi)`` with lo < hi.
 
     Each round keeps every record that has no undecided earlier neighbour and
     removes the later neighbours of those; the outcome equals the sequential pass.
+    ``rounds`` gets one entry per round.
     """
+    seen = [] if rounds is None else rounds
     removed = edges.sparkSession.createDataFrame([], "id bigint")
     left = settle(edges.select("lo", "hi"), "edges")
     while not left.isEmpty():
@@ -259,6 +265,9 @@ def eliminate(edges: DataFrame) -> DataFrame:
         both = settle(decided.unionByName(open_.select("lo", "hi")), "edges")
         removed = removed.unionByName(both.filter("lo is null").select(F.col("hi").alias("id")))
         left = both.filter("lo is not null")
+        seen.append(len(seen) + 1)
+        if len(seen) % FOLD_ROUNDS == 0:
+            removed = settle(removed, "removed")
     return removed
 
 

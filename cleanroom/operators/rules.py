@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cleanroom.functions.coerce import is_iso_date, parse_int
+from cleanroom.functions.coerce import is_iso_date, parse_date, parse_int
 from cleanroom.functions.text import strip
 
 # Message templates and rule words -----------------------------
@@ -35,6 +35,10 @@ SCRIPT_NO_KEY = "SQL no declara claves primarias."
 # ----------------------------------------------------------------------------
 
 
+# Ours: the opt-in check has no message of its own to keep to.
+LATEST = "fecha posterior a {limit}"
+
+
 @dataclass(frozen=True)
 class Check:
     """One compiled rule: ``fails`` is true on a failing row and never null."""
@@ -45,7 +49,9 @@ class Check:
     message: Column
 
 
-def _column_checks(table: str, column: str, rule: dict, value: Column, kind: T.DataType) -> list[Check]:
+def _column_checks(
+    table: str, column: str, rule: dict, value: Column, kind: T.DataType, as_of: str | None = None
+) -> list[Check]:
     as_text = value.cast("string")
     number = parse_int(as_text)
     present = value.isNotNull()
@@ -54,7 +60,7 @@ def _column_checks(table: str, column: str, rule: dict, value: Column, kind: T.D
     found: list[Check] = []
 
     def add(name: str, fails: Column, limit="", suffix: Column | None = None, guarded: bool = True):
-        message = F.lit(f"{table}.{column}: " + MESSAGES[name].format(limit=limit))
+        message = F.lit(f"{table}.{column}: " + (MESSAGES | {"max_date": LATEST})[name].format(limit=limit))
         if suffix is not None:
             message = F.concat(message, suffix)
         if guarded:
@@ -69,6 +75,9 @@ def _column_checks(table: str, column: str, rule: dict, value: Column, kind: T.D
         add("integer", number.isNull())
     if rule.get("type") == "date" and not isinstance(kind, (T.DateType, T.TimestampType)):
         add("date", ~is_iso_date(as_text))
+    if as_of is not None and "max_date" in rule:
+        limit = as_of if rule["max_date"] == "today" else rule["max_date"]
+        add("max_date", parse_date(as_text) > F.lit(limit).cast("date"), limit)
     if "min" in rule:
         add("min", number < int(rule["min"]), rule["min"])
         add("min_unreadable", number.isNull())
@@ -90,19 +99,20 @@ def _column_checks(table: str, column: str, rule: dict, value: Column, kind: T.D
     return found
 
 
-def compile_rules(df: DataFrame, table: str, rules: dict[str, dict]) -> list[Check]:
+def compile_rules(df: DataFrame, table: str, rules: dict[str, dict], as_of: str | None = None) -> list[Check]:
     """Checks in rule order; a configured column that is absent counts as null.
 
-    Rule words without a meaning for rows (such as ``max_date``) have no effect.
+    ``max_date`` has an effect only where ``as_of`` says which day is today; other rule
+    words without a meaning for rows have none.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     checks: list[Check] = []
     for column, rule in rules.items():
         if column in types:
-            checks += _column_checks(table, column, rule, F.col(f"`{column}`"), types[column])
+            checks += _column_checks(table, column, rule, F.col(f"`{column}`"), types[column], as_of)
         else:
             checks += _column_checks(
-                table, column, rule, F.lit(None).cast("string"), T.StringType()
+                table, column, rule, F.lit(None).cast("string"), T.StringType(), as_of
             )
     return checks
 
@@ -118,9 +128,9 @@ def any_failure(checks: list[Check]) -> Column:
     return reduce(lambda a, b: a | b, [c.fails for c in checks], F.lit(False))
 
 
-def audit(df: DataFrame, table: str, rules: dict[str, dict]) -> DataFrame:
-    """Failing rows with their ``errors``."""
-    errors = error_list(compile_rules(df, table, rules))
+def audit(df: DataFrame, table: str, rules: dict[str, dict], as_of: str | None = None) -> DataFrame:
+    """Failing rows with their ``errors``; ``as_of`` also enforces latest dates."""
+    errors = error_list(compile_rules(df, table, rules, as_of))
     # Behind a generator (see ``staging``) the filter does not run the rules again.
     return df.select("*", F.explode(F.array(errors)).alias("errors")).filter(F.size("errors") > 0)
 
@@ -172,6 +182,13 @@ def failure_counts(df: DataFrame, table: str, rules: dict[str, dict]) -> DataFra
     return counted.select(F.lit(table).alias("table"), F.inline(rows))
 
 
+def date_fields_missing(tables: dict[str, DataFrame], fields: list[str]) -> list[str]:
+    """Expected date fields that no table has as a date or a timestamp; a look at schemas only."""
+    kinds = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    dated = {f.name for df in tables.values() for f in df.schema.fields if isinstance(f.dataType, kinds)}
+    return [f for f in fields if f not in dated]
+
+
 def script_findings(scripts: DataFrame, rules: dict, text: str = "text") -> DataFrame:
     """Findings per script text, added as ``errors``; scripts without any drop out."""
     upper = F.col("_upper")

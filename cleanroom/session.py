@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,10 @@ def local_session(cores: str | int = "*", app: str = "cleanroom", **conf) -> Spa
     return spark
 
 
+#: Paths of the intermediate tables of the scratch blocks that are open.
+_open_scratch: list[list[str]] = []
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, as the cluster names it.
 
@@ -63,5 +69,25 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _open_scratch:
+        _open_scratch[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete, at the end of the block, the intermediate tables that were settled inside it.
+
+    What is lazy must be written by then.
+    """
+    paths: list[str] = []
+    _open_scratch.append(paths)
+    try:
+        yield
+    finally:
+        _open_scratch.pop()
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for name in paths:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)

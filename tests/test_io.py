@@ -1,5 +1,6 @@
 """Ingest, sinks, generator, dense ids and the whole run."""
 
+from pathlib import Path
 import csv
 import json
 
@@ -133,3 +134,14 @@ def test_config_and_checkpoint_folder(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         load(tmp_path / "none.json")
     assert checkpoint_root(spark) == checkpoint_root(spark)
+
+
+def test_scratch_deletes_intermediate_tables(spark):
+    from cleanroom.session import scratch, settle
+
+    outside = settle(spark.range(3), "outside")
+    with scratch(spark):
+        inside = settle(spark.range(5), "inside")
+        path = inside.inputFiles()[0].removeprefix("file://")
+        assert inside.count() == 5 and Path(path).exists()
+    assert not Path(path).exists() and outside.count() == 3

@@ -85,3 +85,29 @@ def test_scripts(spark):
         "c": [rules.SCRIPT_NO_KEY],
     }
     assert rules.script_findings(df, {}).count() == 0
+
+
+def test_latest_date_is_opt_in(spark):
+    df = spark.createDataFrame([("2099-01-01",), ("01/02/1999",), ("x",), (None,)], "c string")
+    rule = {"c": {"max_date": "today"}}
+    assert rules.audit(df, "t", rule).collect() == []
+    assert [r.c for r in rules.audit(df, "t", rule, as_of="2024-06-01").collect()] == ["2099-01-01"]
+    fixed = {"c": {"max_date": "1998-12-31"}}
+    assert {r.c for r in rules.audit(df, "t", fixed, as_of="2024-06-01").collect()} == {"2099-01-01", "01/02/1999"}
+
+
+def test_expected_date_fields(spark):
+    tables = {
+        "a": spark.createDataFrame([], "published date, title string"),
+        "b": spark.createDataFrame([], "checkout string"),
+    }
+    assert rules.date_fields_missing(tables, ["published", "checkout", "other"]) == ["checkout", "other"]
+
+
+def test_foreign_keys_opt_in(spark):
+    from cleanroom.operators import constraints
+
+    items = spark.createDataFrame([(1, 1), (2, 9)], "item_id long, category_id long")
+    categories = spark.createDataFrame([(1,)], "category_id long")
+    broken = constraints.broken_foreign_keys({"items": items, "categories": categories}).collect()
+    assert [(r.child, r.key, r.orphans) for r in broken] == [("items", "category_id", 1)]

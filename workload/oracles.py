@@ -8,8 +8,10 @@ views and fixed values.
 from __future__ import annotations
 
 from cleanroom.functions.text import WHITESPACE, WHITESPACE_CLASS
+from cleanroom.operators.reports import FINE_MESSAGE, LATE_MESSAGE
+from cleanroom.operators.rules import LATEST, MESSAGES, SCRIPT_KEYWORD, SCRIPT_NO_KEY, SCRIPT_TEXT_TYPE
 from cleanroom.plans.config import RULES
-from workload.queries import DOCUMENT_RULES, ORDERS_AS_OF, SEED
+from workload.queries import DATES_AS_OF, DOCUMENT_RULES, ORDERS_AS_OF, SEED
 from workload.raw_views import AS_OF, oracle_view
 
 ORACLES: dict[str, str] = {}
@@ -146,7 +148,7 @@ def quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def rule_cases(table: str, rules: dict, columns: dict[str, str]) -> list[tuple[str, str, str, str]]:
+def rule_cases(table: str, rules: dict, columns: dict[str, str], as_of: str | None = None) -> list[tuple[str, str, str, str]]:
     """``(column, rule, condition, message)`` in rule order."""
     found = []
     for column, rule in rules.items():
@@ -156,36 +158,36 @@ def rule_cases(table: str, rules: dict, columns: dict[str, str]) -> list[tuple[s
         head = f"{table}.{column}: "
         n = integer(v)
         if rule.get("required"):
-            found.append((column, "required", blank, quoted(head + "valor obligatorio vacío")))
+            found.append((column, "required", blank, quoted(head + MESSAGES["required"])))
         parts = []
         if "max_length" in rule:
             m = rule["max_length"]
-            parts.append(("max_length", f"length({v}) > {m}", quoted(f"{head}longitud mayor a {m}")))
+            parts.append(("max_length", f"length({v}) > {m}", quoted(head + MESSAGES["max_length"].format(limit=m))))
         if rule.get("type") == "integer":
-            parts.append(("integer", f"({n}) IS NULL", quoted(head + "debe ser entero")))
+            parts.append(("integer", f"({n}) IS NULL", quoted(head + MESSAGES["integer"])))
         if rule.get("type") == "date":
-            parts.append(("date", f"NOT {iso(v)}", quoted(head + "debe ser fecha válida")))
-        for word, sign, below, unread in (
-            ("min", "<", "menor que", "mínimo"), ("max", ">", "mayor que", "máximo"),
-        ):
+            parts.append(("date", f"NOT {iso(v)}", quoted(head + MESSAGES["date"])))
+        if as_of and "max_date" in rule:
+            parts.append(("max_date", f"{date_of(v)} > DATE '{as_of}'", quoted(head + LATEST.format(limit=as_of))))
+        for word, sign in (("min", "<"), ("max", ">")):
             if word in rule:
                 m = rule[word]
-                parts.append((word, f"({n}) {sign} {m}", quoted(f"{head}{below} {m}")))
-                parts.append((f"{word}_unreadable", f"({n}) IS NULL", quoted(f"{head}no permite validar {unread}")))
+                parts.append((word, f"({n}) {sign} {m}", quoted(head + MESSAGES[word].format(limit=m))))
+                parts.append((f"{word}_unreadable", f"({n}) IS NULL", quoted(head + MESSAGES[f"{word}_unreadable"])))
         if "regex" in rule:
             r = rule["regex"]
-            parts.append(("regex", f"NOT regexp_matches({v}, {quoted('^(?:' + r + ')')})", quoted(f"{head}no cumple regex {r}")))
+            parts.append(("regex", f"NOT regexp_matches({v}, {quoted('^(?:' + r + ')')})", quoted(head + MESSAGES["regex"].format(limit=r))))
         if "allowed_values" in rule:
             words = ", ".join(quoted(w) for w in rule["allowed_values"])
-            parts.append(("allowed_values", f"{v} NOT IN ({words})", quoted(head + "valor no permitido ") + f" || {v}"))
+            parts.append(("allowed_values", f"{v} NOT IN ({words})", quoted(head + MESSAGES["allowed_values"]) + f" || {v}"))
         if "must_contain" in rule:
             w = rule["must_contain"]
-            parts.append(("must_contain", f"NOT contains({v}, {quoted(w)})", quoted(f"{head}debe contener '{w}'")))
+            parts.append(("must_contain", f"NOT contains({v}, {quoted(w)})", quoted(head + MESSAGES["must_contain"].format(limit=w))))
         if rule.get("no_empty_items_csv"):
             parts.append((
                 "no_empty_items_csv",
                 f"len(list_filter(string_split({v}, ','), lambda x: {strip('x')} = '')) > 0",
-                quoted(head + "contiene elementos CSV vacíos"),
+                quoted(head + MESSAGES["no_empty_items_csv"]),
             ))
         found += [(column, name, f"({guard}) AND coalesce({cond}, false)", text) for name, cond, text in parts]
     return found
@@ -195,8 +197,8 @@ def text_columns(rules: dict, skip=()) -> dict[str, str]:
     return {c: f"CAST({c} AS VARCHAR)" for c in rules if c not in skip}
 
 
-def audit_sql(table: str, source: str, key: str, rules: dict, skip=()) -> str:
-    cases = rule_cases(table, rules, text_columns(rules, skip))
+def audit_sql(table: str, source: str, key: str, rules: dict, skip=(), as_of: str | None = None) -> str:
+    cases = rule_cases(table, rules, text_columns(rules, skip), as_of)
     errors = ", ".join(f"CASE WHEN {cond} THEN {text} END" for _, _, cond, text in cases)
     return (
         f"SELECT * FROM (SELECT {key}, concat_ws(' | ', {errors}) AS errors FROM ({source}) r) "
@@ -207,6 +209,8 @@ def audit_sql(table: str, source: str, key: str, rules: dict, skip=()) -> str:
 for _t in RULES:
     ORACLES[f"audit_{_t}"] = audit_sql(_t, oracle_view(_t), "ordinal", RULES[_t])
 
+ORACLES["audit_latest_dates"] = audit_sql("catalog", oracle_view("catalog"), "ordinal", RULES["catalog"], as_of=DATES_AS_OF)
+
 ORACLES["audit_documents"] = audit_sql(
     "documents", "SELECT * FROM documents", "doc_id", DOCUMENT_RULES, skip=("title",)
 )
@@ -229,14 +233,14 @@ ORACLES["audit_failures"] = (
     + " " + ORACLES["audit_failures"]
 )
 
-ORACLES["script_rules"] = """
-SELECT * FROM (SELECT CAST(doc_id AS VARCHAR) AS path, concat_ws(' | ',
-  CASE WHEN contains(upper(text), 'DROP DATABASE') THEN 'SQL contiene palabra prohibida: DROP DATABASE' END,
-  CASE WHEN contains(upper(text), 'TRUNCATE') THEN 'SQL contiene palabra prohibida: TRUNCATE' END,
-  CASE WHEN contains(upper(text), 'LICENSE') THEN 'SQL contiene palabra prohibida: license' END,
-  CASE WHEN regexp_matches(upper(text), '(^|[^\\p{L}\\p{N}_])TEXT($|[^\\p{L}\\p{N}_])')
-       THEN 'SQL legacy usa campos TEXT; se recomienda VARCHAR con longitud controlada.' END,
-  CASE WHEN NOT contains(upper(text), 'PRIMARY KEY') THEN 'SQL no declara claves primarias.' END) AS errors
+_SCRIPT_WORDS = " ".join(
+    f"CASE WHEN contains(upper(text), '{w.upper()}') THEN {quoted(SCRIPT_KEYWORD.format(limit=w))} END,"
+    for w in ("DROP DATABASE", "TRUNCATE", "license")
+)
+ORACLES["script_rules"] = f"""
+SELECT * FROM (SELECT CAST(doc_id AS VARCHAR) AS path, concat_ws(' | ', {_SCRIPT_WORDS}
+  CASE WHEN regexp_matches(upper(text), '(^|[^\\p{{L}}\\p{{N}}_])TEXT($|[^\\p{{L}}\\p{{N}}_])') THEN {quoted(SCRIPT_TEXT_TYPE)} END,
+  CASE WHEN NOT contains(upper(text), 'PRIMARY KEY') THEN {quoted(SCRIPT_NO_KEY)} END) AS errors
 FROM (SELECT doc_id, text || CASE WHEN doc_id % 3 = 0 THEN ' id INT PRIMARY KEY' ELSE '' END AS text FROM documents)) WHERE errors <> ''
 """
 
@@ -494,8 +498,7 @@ ORACLES["first_loan_fine"] = over(
 )
 _ELAPSED = f"CAST(date_diff('day', checkout, {DAY}) AS INTEGER)"
 _MESSAGE = (
-    f"CASE WHEN {_ELAPSED} > 15 THEN 'Préstamo activo con posible retraso (Supera 15 días).' "
-    f"ELSE 'Préstamo activo dentro del rango permitido.' END"
+    f"CASE WHEN {_ELAPSED} > 15 THEN {quoted(LATE_MESSAGE)} ELSE {quoted(FINE_MESSAGE)} END"
 )
 ORACLES["loan_audit"] = over(
     _LENT,

@@ -35,6 +35,7 @@ SEP = " | "
 SEED = 7
 # A day within the orders, so that some are late and some are not.
 ORDERS_AS_OF = "1998-06-01"
+DATES_AS_OF = "1970-01-01"
 
 
 def query(fn: Query) -> Query:
@@ -100,6 +101,13 @@ def audit_report(spark, sf_dir):
     return report.select("table", "row", joined("errors").alias("errors"))
 
 
+@query
+def audit_latest_dates(spark, sf_dir):
+    """The catalog's audit with its latest dates enforced, on a day within them."""
+    failing = rules.audit(raw(spark, sf_dir, "catalog"), "catalog", RULES["catalog"], as_of=DATES_AS_OF)
+    return failing.select("ordinal", joined("errors").alias("errors"))
+
+
 DOCUMENT_RULES = {
     "text": {"required": True, "max_length": 4000, "must_contain": "."},
     "lang": {"required": True, "allowed_values": ["en", "fr", "de"]},
