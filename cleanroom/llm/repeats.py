@@ -39,6 +39,8 @@ from cleanroom.llm.kernels import Spans, byte_codes, mixed, word_codes, words
 
 #: Rows that a task holds before it settles phrases among them.
 HELD = 1_000_000
+#: Window starts that go through the trigger search at once.
+MOST_WINDOWS = 1 << 21
 NULL_ID = -(1 << 63)
 PHRASE = "gram long, phrase long, doc long, tag long, place int, lo int, hi int, kind int"
 NAMES = [x.split()[0] for x in PHRASE.split(", ")]
@@ -71,8 +73,19 @@ def window_starts(bounds: np.ndarray, n: int, window: int) -> np.ndarray:
     return np.flatnonzero(np.arange(n) + window <= end)
 
 
-def phrases(symbols: np.ndarray, bounds: np.ndarray, window: int, gram: int):
-    """Per phrase: row, trigger, first and last window start (both in the chunk), gram hash, phrase hash."""
+def phrases(symbols: np.ndarray, bounds: np.ndarray, window: int, gram: int, most: int = MOST_WINDOWS):
+    """Per phrase: row, trigger, first and last window start (both in the chunk), gram hash, phrase hash.
+
+    Long chunks (one very long document) go through in parts of ``most`` window starts; a
+    phrase at such an edge comes in two halves, which changes no window's verdict.
+    """
+    if len(symbols) - window + 1 > most:
+        parts = []
+        for at in range(0, len(symbols) - window + 1, most):
+            part = symbols[at : at + most + window - 1]
+            row, trigger, lo, hi, *hashes = phrases(part, np.clip(bounds - at, 0, len(part)), window, gram, most)
+            parts.append((row, trigger + at, lo + at, hi + at, *hashes))
+        return tuple(np.concatenate(c) for c in zip(*parts))
     n = len(symbols)
     starts = window_starts(bounds, n, window)
     if not len(starts):

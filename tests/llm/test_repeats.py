@@ -78,3 +78,19 @@ def test_index():
         part = joined[len(joined) - length[0] :]
         assert high[0] - low[0] == sum(whole[i : i + len(part)] == part for i in range(len(whole) - len(part) + 1))
 
+
+
+def test_long_texts_in_parts():
+    import numpy as np
+
+    from cleanroom.llm import repeats
+
+    rng = np.random.default_rng(1)
+    data = rng.integers(0, 4, 3000).astype(np.uint8)
+    symbols, bounds = repeats.byte_symbols(data, np.array([0, 700, 700, 1900, 3000]))
+    for most in (40, 333, 10_000):
+        row, trigger, lo, hi, gram, _ = repeats.phrases(symbols, bounds, 30, 6, most)
+        starts = np.concatenate([np.arange(a, b + 1) for a, b in zip(lo, hi)])
+        assert starts.tolist() == repeats.window_starts(bounds, len(symbols), 30).tolist()
+        assert ((trigger >= hi) & (trigger + 6 <= lo + 30)).all()
+        assert (bounds[row] <= lo).all() and (hi + 30 <= bounds[row + 1]).all()
