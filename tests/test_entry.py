@@ -52,4 +52,4 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_flagship(spark):
-    assert entry.entry(spark).columns == ["title", "total_loans", "users"]
+    assert entry.entry(spark).columns == ["item_id", "title", "total_loans", "users"]
