@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from cleanroom.functions import similarity as sim
 from cleanroom.functions.text import block_key, fold
+from cleanroom.operators.staging import evaluated_once
 from cleanroom.session import settle
 
 # Fixed value: least similarity of a duplicate.
@@ -165,23 +166,30 @@ def signatures(classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     sized = classes.select("block", "id", "key", F.char_length(key).alias("n"))
     sized = sized.withColumn("most", sim.max_distance(n + longest, threshold))
 
-    def counted(pieces: Column) -> Column:
+    def counted(name: str) -> Column:
         """Pieces in order, each with the number of its occurrence."""
-        ordered = F.array_sort(pieces)
+        ordered = F.col(name)
         return F.transform(ordered, lambda g, i: F.concat(g, F.lit("#"), (i - F.array_position(ordered, g) + 1).cast("string")))
 
     none = F.array().cast("array<string>")
-    grams = counted(F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.substr(key, i, F.lit(2))))
-    chars = counted(F.transform(F.sequence(F.lit(1), n), lambda i: F.substr(key, i, F.lit(1))))
+    of_size = lambda size: F.sort_array(F.transform(F.sequence(F.lit(1), n - size + 1), lambda i: F.substr(key, i, F.lit(size))))
     from_ = F.lit(False) if kinds.grams_from is None else n >= kinds.grams_from
     to = F.lit(True) if kinds.chars_to is None else n <= kinds.chars_to
     whole = F.lit(True) if kinds.whole_to is None else n <= kinds.whole_to
     part = lambda kind, cond, pieces, first: F.struct(
         F.lit(kind).alias("kind"), F.when(cond, pieces).otherwise(none).alias("pieces"), first.cast("int").alias("first")
     )
+    # The lists are sorted once, not once for each piece.
+    sized = evaluated_once(
+        sized.select(
+            "block", "id", "n", "most",
+            F.when(from_, of_size(2)).otherwise(none).alias("grams"),
+            F.when(to & (n > 0), of_size(1)).otherwise(none).alias("chars"),
+        )
+    )
     parts = [
-        part("g", from_, grams, 2 * F.col("most") + 1),
-        part("c", to & (n > 0), chars, F.col("most") + 1),
+        part("g", from_, counted("grams"), 2 * F.col("most") + 1),
+        part("c", to & (n > 0), counted("chars"), F.col("most") + 1),
         part("*", whole, F.array(F.lit("*")), F.lit(1)),
     ]
     pieces = sized.select("block", "id", "n", F.inline(F.array(*parts))).select(
