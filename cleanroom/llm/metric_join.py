@@ -10,9 +10,10 @@ vectors only, and each cell hands on a spanning forest of its links, not the lin
 
 A cell of any size is split into blocks of home vectors and of replicas, and each pair of
 blocks that holds home vectors is a group of bounded size, multiplied as two matrices.
-Pivots are drawn from a sample whose size is a
-parameter; they decide costs, never results.  For vectors without any cluster structure
-in many dimensions no metric bound prunes, and the blocks of a label meet each other.
+The number of pivots follows the number of vectors, up to 4,096; they are drawn from a
+sample of at most ``sample`` vectors, and decide costs, never results.  For vectors
+without any cluster structure in many dimensions no metric bound prunes, and the blocks
+of a label meet each other.
 
 Equal vectors of a label collapse before the join and count with their number.
 
@@ -33,8 +34,10 @@ from cleanroom.llm.common import settle
 from cleanroom.llm.components import components
 
 COSINE = 0.93
-SAMPLE = 1024
-MOST_PIVOTS = 256
+SAMPLE = 16_384
+MOST_PIVOTS = 4096
+SAMPLE_PER_PIVOT = 4
+LEAST_SAMPLE = 1024
 VECTORS_PER_PIVOT = 16_384
 BLOCK = 2048
 #: Distances near 0 are roots of rounding errors of about 1e-16, so they are off by up to some 1e-8.
@@ -77,7 +80,7 @@ def assign(units: np.ndarray, pivots: np.ndarray, radius: float) -> tuple[np.nda
     distance = np.sqrt(square)
     home = square.argmin(1)
     at = np.arange(len(units))
-    gap = np.sqrt(np.maximum(2 - 2 * pivots @ pivots.T, 0))[home]
+    gap = np.sqrt(np.maximum(2 - 2 * pivots[home] @ pivots.T, 0))
     within = distance <= distance[at, home][:, None] + 2 * radius + SLACK
     within &= square - square[at, home][:, None] <= 2 * radius * gap + SLACK
     within[at, home] = True
@@ -87,10 +90,11 @@ def assign(units: np.ndarray, pivots: np.ndarray, radius: float) -> tuple[np.nda
 
 def place(classes: DataFrame, radius: float, sample: int = SAMPLE) -> DataFrame:
     """Unit vectors of all classes with their cells: label, size, cell, home, class, n, unit."""
-    taken = classes.orderBy(F.xxhash64("class"), "class").limit(sample).select("embedding")
+    count = min(MOST_PIVOTS, 1 + classes.count() // VECTORS_PER_PIVOT)
+    size = min(sample, max(LEAST_SAMPLE, SAMPLE_PER_PIVOT * count))
+    taken = classes.orderBy(F.xxhash64("class"), "class").limit(size).select("embedding")
     rows = _units(taken.toArrow().column(0).combine_chunks())
     length = max({len(r) for r in rows}, key=lambda n: sum(len(r) == n for r in rows), default=0)
-    count = min(MOST_PIVOTS, 1 + classes.count() // VECTORS_PER_PIVOT)
     drawn = np.array([r for r in rows if len(r) == length])
     pivots = choose_pivots(drawn, count) if len(drawn) else np.zeros((0, 0))
 
