@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +32,13 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def byte_level_encoder(path: str):
-    """A tokenizer with the byte-level vocabulary and merge order of a tokenizers JSON file.
+def byte_level_encoder(path: str, added_tokens: bool = False):
+    """``text -> ids`` by the byte-level vocabulary and merge order of a tokenizers JSON file.
 
-    The ids equal those of the tokenizers library without special tokens (tests compare
-    them); the tiktoken core that runs here takes a quarter of the CPU time.
+    The ids equal those of the tokenizers library with ``add_special_tokens=False`` (tests
+    compare them); the tiktoken core that runs here takes a quarter of the CPU time.  With
+    ``added_tokens``, the file's added tokens inside a text get their own ids, as the
+    library does by itself; else they are plain text (its ``encode_special_tokens``).
     """
     import tiktoken
 
@@ -45,9 +48,14 @@ def byte_level_encoder(path: str):
     plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in set(plain)]
     byte_of = {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(others)}
-    special = {t["content"] for t in spec.get("added_tokens", []) if t.get("special")}
+    added = spec.get("added_tokens", [])
+    special = {t["content"] for t in added if t.get("special")}
     ranks = {bytes(byte_of[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
-    return tiktoken.Encoding("byte_level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    own = {t["content"]: t["id"] for t in added} if added_tokens else {}
+    if any(t.get(rule) for t in added for rule in ("single_word", "lstrip", "rstrip")) and own:
+        raise ValueError("added tokens with rules for the text around them are not supported")
+    encoding = tiktoken.Encoding("byte_level", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=own)
+    return partial(encoding.encode, allowed_special="all") if own else encoding.encode_ordinary
 
 
 def piece_lengths(n: int, longest: int = MAX_LENGTH) -> list[int]:
@@ -56,11 +64,11 @@ def piece_lengths(n: int, longest: int = MAX_LENGTH) -> list[int]:
     return [longest] * whole + [1 << d for d in range(rest.bit_length() - 1, -1, -1) if rest >> d & 1]
 
 
-def pieces_of(docs: DataFrame, tokenizer: str, longest: int = MAX_LENGTH, keep_ids: bool = True) -> DataFrame:
+def pieces_of(docs: DataFrame, tokenizer: str, longest: int = MAX_LENGTH, keep_ids: bool = True, added_tokens: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, and its ids if wanted."""
 
     def cut(batches):
-        encode = byte_level_encoder(tokenizer).encode_ordinary
+        encode = byte_level_encoder(tokenizer, added_tokens)
         for batch in batches:
             columns: list[list] = [[] for _ in range(6)]
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -86,14 +94,14 @@ def pieces_of(docs: DataFrame, tokenizer: str, longest: int = MAX_LENGTH, keep_i
     return typed(docs).mapInArrow(cut, SCHEMA + ", ids array<int>" * keep_ids)
 
 
-def pack(docs: DataFrame, tokenizer: str, longest: int = MAX_LENGTH, keep_ids: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, longest: int = MAX_LENGTH, keep_ids: bool = True, added_tokens: bool = False) -> DataFrame:
     """Sequences with their place: every piece is one, so its offset is 0.
 
     ``sequence_id`` numbers the pieces in the order of reading, without a shuffle.
     """
     if longest & (longest - 1) or longest < 1:
         raise ValueError("the longest piece must be a power of two")
-    cut = pieces_of(docs, tokenizer, longest, keep_ids)
+    cut = pieces_of(docs, tokenizer, longest, keep_ids, added_tokens)
     return cut.withColumns({"sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
 
 

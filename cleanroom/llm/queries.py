@@ -105,5 +105,5 @@ def op9_popcount_grid(spark, sf_dir):
 @query
 def op10_binary_packing(spark, sf_dir):
     """Every document cut into power-of-two sequences; token ids stay in the operator."""
-    packed = binary_packing.pack(table(spark, sf_dir, "documents"), byte_bpe(), keep_ids=False)
+    packed = binary_packing.pack(table(spark, sf_dir, "documents"), byte_bpe(), keep_ids=False, added_tokens=True)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
