@@ -48,8 +48,6 @@ class Rules:
     max_word_distance: float = 0.45
     min_chars: int = 200
     min_words: int = 50
-    #: Languages with a reference: those with most words.
-    max_languages: int = 64
 
 
 def class_table() -> np.ndarray:
@@ -158,12 +156,11 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str, tuple[list[
     docs = _inputs(docs)
     blocks = _word_counts(docs, rules.common_share / 2).groupBy("lang", "word").agg(F.sum("n").alias("n"))
     blocks = settle(blocks.where("lang is not null"), "blocks")
-    sizes = blocks.where("word is null and n > 0").orderBy(F.desc("n"), "lang").limit(rules.max_languages)
-    totals = {r.lang: r.n for r in sizes.collect()}
+    sizes = blocks.where("word is null and n > 0").select("lang", F.col("n").alias("total"))
+    totals = {r.lang: r.total for r in sizes.collect()}
     if not totals:
         return {}
-    floor = F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, n * rules.common_share / 2)])
-    likely = blocks.where(F.col("word").isNotNull() & F.col("lang").isin(*totals) & (F.col("n") >= floor[F.col("lang")]))
+    likely = blocks.where("word is not null").join(sizes, "lang").where(F.col("n") >= F.col("total") * (rules.common_share / 2))
     wanted: dict[str, dict[bytes, int]] = {k: {} for k in totals}
     for r in likely.collect():
         wanted[r.lang][bytes(r.word)] = len(wanted[r.lang])
@@ -179,10 +176,10 @@ def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str, tuple[list[
                     if (lang := langs[first + i]) in wanted:
                         classes[lang] += counts[i]
                         found[lang].update(filter(wanted[lang].__contains__, raw[offsets[i] : offsets[i + 1]].split()))
-        rows = [(k, CLASSES[i].encode(), True, int(n)) for k, c in classes.items() for i, n in enumerate(c)]
+        rows = [(k, CLASSES[i].encode(), True, int(n)) for k, c in classes.items() for i, n in enumerate(c) if n]
         rows += [(k, w, False, n) for k, c in found.items() for w, n in c.items()]
         kinds = {"lang": pa.string(), "key": pa.binary(), "is_class": pa.bool_(), "n": pa.int64()}
-        columns = zip(zip(*rows), kinds.items())
+        columns = zip(list(zip(*rows)) or [()] * 4, kinds.items())
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in columns], list(kinds))
 
     counted = docs.select("text", "lang").mapInArrow(count, "lang string, key binary, is_class boolean, n long")
