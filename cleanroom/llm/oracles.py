@@ -156,3 +156,84 @@ WITH d AS (
 SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+# The last line of the checksum's inner loop, eight times a byte, over the decimal digits of an id.
+CRC32 = """xor(list_reduce(list_transform(string_split(c::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT),
+    lambda a, b: list_reduce(range(8), lambda y, i: xor(y >> 1, 3988292384 * (y & 1)), xor(a, b)), 4294967295), 4294967295)"""
+
+ORACLES["op11_prefix_trie"] = rf"""
+WITH turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (SELECT DISTINCT c FROM turns), every AS (SELECT c, {CRC32} % 4 AS h, c - c % 20 AS base FROM ids),
+rebuilt AS (
+  SELECT c, p, role, text FROM turns JOIN every USING (c) WHERE p > h
+  UNION ALL
+  SELECT e.c, t.p, t.role, t.text FROM every e JOIN turns t ON t.c = e.base AND t.p <= e.h
+), steps AS (
+  SELECT c, row_number() OVER w AS depth, md5(string_agg(md5(role) || md5(text), '') OVER w) AS node,
+    len({WORDS}) AS words
+  FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY p)
+), paths AS (
+  SELECT c, depth, node, lag(node, 1, '') OVER (PARTITION BY c ORDER BY depth) AS parent, words FROM steps
+  UNION ALL SELECT c, 0, '', NULL, 0 FROM every
+), marked AS (
+  SELECT *, depth = max(depth) OVER (PARTITION BY c) AS ends FROM paths
+), nodes AS (
+  SELECT node, min(c) AS conv_id, any_value(depth) AS depth, any_value(parent) AS parent, count(*) AS n_convs,
+    (count(*) - 1) * any_value(words) AS saved, sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM marked GROUP BY node
+), kids AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+counted AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids USING (node)),
+below AS (
+  SELECT p.node, sum((m.n_children = 0)::INT) AS n_leaves, sum(m.saved) AS saved_tokens
+  FROM counted m JOIN paths p ON p.c = m.conv_id AND p.depth <= m.depth GROUP BY p.node
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, n.n_convs::BIGINT AS n_convs, n.n_children::BIGINT AS n_children,
+  b.n_leaves::BIGINT AS n_leaves, b.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM counted n JOIN below b USING (node) LEFT JOIN nodes up ON up.node = n.parent
+"""
+
+ORACLES["op12_ball_tree"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, {TERMS} AS w FROM documents
+), whole AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM d WHERE len(w) > 0),
+tf AS (SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(w) AS term FROM d) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, whole GROUP BY term
+), asked AS (
+  SELECT number, item_id, unnest(list_distinct({TERMS})) AS term
+  FROM (SELECT row_number() OVER () AS number, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark))
+), scores AS (
+  SELECT number, any_value(item_id) AS item_id, k, any_value(doc_id) AS doc_id,
+    sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * len(w) * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN d USING (k), whole GROUP BY number, k
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY number ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score FROM scores WHERE score > 0
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+ORACLES["op13_positional_index"] = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, {TERMS} AS w FROM documents
+), phrases AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[j:j+9], ' ') AS g
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS j FROM (SELECT item_id, {TERMS} AS w FROM benchmark) WHERE len(w) > 0)
+), windows AS (
+  SELECT k, j, n, array_to_string(w[j:j+n-1], ' ') AS g
+  FROM (SELECT k, w, n, unnest(range(1, len(w) - n + 2)) AS j FROM d JOIN (SELECT DISTINCT n FROM phrases) ON len(w) >= n)
+), found AS (SELECT DISTINCT k, j, n, item_id FROM windows JOIN phrases USING (n, g)),
+hits AS (SELECT k, count(DISTINCT j + x) AS n_hit FROM found JOIN range(10) r(x) ON x < n GROUP BY k),
+items AS (
+  SELECT k, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS list
+  FROM (SELECT DISTINCT k, item_id::VARCHAR AS item_id FROM found WHERE item_id IS NOT NULL) GROUP BY k
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (k) LEFT JOIN items USING (k)
+"""

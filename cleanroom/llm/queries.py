@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cleanroom.llm import binary_packing, divergence, factorisation, fm_index, metric_join, mixture, popcount_grid, prefix_free, tag_ratio, warc
+from cleanroom.llm import (
+    ball_tree, binary_packing, divergence, factorisation, fm_index, metric_join, mixture, popcount_grid, positional_index, prefix_free, prefix_trie, tag_ratio, warc,
+)
 from cleanroom.llm.common import ready, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -107,3 +109,21 @@ def op10_binary_packing(spark, sf_dir):
     """Every document cut into power-of-two sequences; token ids stay in the operator."""
     packed = binary_packing.pack(table(spark, sf_dir, "documents"), byte_bpe(), keep_ids=False, added_tokens=True)
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+@query
+def op11_prefix_trie(spark, sf_dir):
+    """Every node of the trie of rebuilt conversations with its subtree's totals."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_ball_tree(spark, sf_dir):
+    """The 50 best documents of every benchmark item."""
+    return ball_tree.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op13_positional_index(spark, sf_dir):
+    """Words of every document inside phrases of benchmark items."""
+    return positional_index.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

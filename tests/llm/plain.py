@@ -145,3 +145,80 @@ def budgets(tokens, mix, tree, wanted):
         return {k: v for c, ps in children.items() for k, v in fill(ps, depth + 1, given[c]).items()}
 
     return fill(list(tokens), 0, wanted)
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def terms(text):
+    return TERM.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def trie(rows):
+    """``(conv_id, turn, role, text)`` rows to node rows, from dictionaries of prefixes."""
+    import zlib
+
+    turns = defaultdict(list)
+    for c, turn, role, text in rows:
+        if c is not None:
+            turns[c].append((turn is not None, turn or 0, role or "", text or ""))
+    own = {c: [t[2:] for t in sorted(ts)] for c, ts in turns.items()}
+    members, ends = defaultdict(list), defaultdict(list)
+    for c in sorted(own):
+        h = zlib.crc32(str(c).encode()) % 4
+        base = c - int(math.fmod(c, 20))
+        path = tuple(own.get(base, [])[:h] + own[c][h:])
+        for d in range(len(path) + 1):
+            members[path[:d]].append(c)
+        ends[path].append(c)
+    children = defaultdict(list)
+    for node in members:
+        if node:
+            children[node[:-1]].append(node)
+    leaves, saved = {}, {}
+    for node in sorted(members, key=len, reverse=True):
+        words = len(WORD.findall(node[-1][1])) if node else 0
+        saved[node] = (len(members[node]) - 1) * words + sum(saved[c] for c in children[node])
+        leaves[node] = sum(leaves[c] for c in children[node]) or 1
+    digest = lambda ids: hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+    return [
+        (m[0], len(n), members[n[:-1]][0] if n else None, len(m), len(children[n]), leaves[n], saved[n], digest(ends[n]))
+        for n, m in members.items()
+    ]
+
+
+def ranked(docs, items, top=50):
+    """Every item's best documents: ``(item_id, rank, doc_id, score)``."""
+    counts = [(i, Counter(terms(t))) for i, t in docs]
+    counts = [(i, c) for i, c in counts if c]
+    whole, held = sum(c.total() for _, c in counts), Counter(t for _, c in counts for t in c)
+    out = []
+    for item, text in set(items):
+        asked = {t: math.floor(1000 * math.log((2 * len(counts) + 2) / (2 * held[t] + 1))) for t in terms(text) if held[t]}
+        scores = []
+        for i, c in counts:
+            m = 50 + 50 * c.total() * len(counts) // whole
+            scores.append((-sum(w * (10**9 * c[t] // (1000 * c[t] + 20 * m)) for t, w in asked.items()), i is None, i or 0, i))
+        best = sorted((s for s in scores if s[0]), key=lambda s: s[:3])[:top]
+        out += [(item, r, s[3], -s[0]) for r, s in enumerate(best, 1)]
+    return out
+
+
+def hit_words(docs, items, width=10):
+    """``(doc_id, n_words, n_hit, n_items, items_sha256, contaminated)`` of every document."""
+    windows = defaultdict(set)
+    for item, text in items:
+        own = terms(text)
+        for k in range(max(len(own) - width + 1, min(len(own), 1))):
+            windows[tuple(own[k : k + width])].add(item)
+    out = []
+    for i, text in docs:
+        own, hit, found = terms(text), set(), set()
+        for size in {len(w) for w in windows}:
+            for k in range(len(own) - size + 1):
+                if named := windows.get(tuple(own[k : k + size])):
+                    hit |= {*range(k, k + size)}
+                    found |= named
+        names = sorted(str(x) for x in found if x is not None)
+        out.append((i, len(own), len(hit), len(names), hashlib.sha256(",".join(names).encode()).hexdigest(), bool(hit)))
+    return out

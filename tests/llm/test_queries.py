@@ -20,6 +20,9 @@ COLUMNS = {
     "op8": {"doc_id", "domain", "lang", "source", "epoch", "n_tokens"},
     "op9": {"doc_id", "fingerprint", "component_id"},
     "op10": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"},
+    "op11": {"conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"},
+    "op12": {"item_id", "rank", "doc_id", "score"},
+    "op13": {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"},
 }
 
 
@@ -31,7 +34,7 @@ def test_columns(spark, name):
 @pytest.mark.parametrize("name", list(ORACLES))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
     cursor = con.execute(ORACLES[name])
     columns = [c[0] for c in cursor.description]
