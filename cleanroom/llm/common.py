@@ -7,12 +7,12 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cleanroom.session import configure, settle
 
-__all__ = ["arrow_rows", "ready", "settle", "table", "text_chunks", "text_views", "typed"]
+__all__ = ["arrow_rows", "folded", "ready", "settle", "table", "text_chunks", "text_views", "typed"]
 
 #: Rows of text that go to a Python worker at once; long texts make this a few MB.
 BATCH_ROWS = 512
@@ -48,6 +48,16 @@ def typed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
+def folded(docs: DataFrame, *own: str) -> tuple[Column, list[Column]]:
+    """One column ``others`` of all columns but ``own``, and the columns that bring everything back.
+
+    Inside it the columns go by number, so no name clashes with those of an operator.
+    """
+    place = {c: f"c{i}" for i, c in enumerate(docs.columns) if c not in own}
+    others = F.struct(F.lit(True).alias("some"), *[F.col(f"`{c}`").alias(n) for c, n in place.items()]).alias("others")
+    return others, [F.col(f"others.{place[c]}").alias(c) if c in place else F.col(c) for c in docs.columns]
+
+
 def text_views(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the offsets of its rows; a null has no bytes."""
     if isinstance(column, pa.ChunkedArray):

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cleanroom.llm.common import settle, text_chunks
+from cleanroom.llm.common import folded, settle, text_chunks
 from cleanroom.llm.kernels import SPACE, mixed, per_row, rows_of, word_codes, words
 
 SYMBOLS = b"#*$%&|<>"
@@ -250,5 +250,6 @@ def judge(docs: DataFrame, rules: Rules = Rules(), *more: str) -> DataFrame:
 
 def keep_good(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """The documents that pass, with all their columns."""
-    judged = judge(docs, rules, *docs.columns).where("kept")
-    return judged.select(*[F.col(f"`_{c}`").alias(c) for c in docs.columns])
+    others, back = folded(docs)
+    judged = judge(docs.select("doc_id", "text", "lang", others), rules, "others").where("kept")
+    return judged.select(F.col("_others").alias("others")).select(*back)

@@ -17,7 +17,8 @@ shuffled.
 Defined cases: a null text has no tokens and is taken where its place in the order is
 within the prefix; null names are a branch of their own, called by the empty string; rows
 with equal id and text share a place in the order and are taken together; an empty table
-or a budget of 0 gives no rows that have tokens; other columns are kept.
+or a budget of 0 gives no rows that have tokens; other columns are kept, whatever their
+names, but ``domain`` and ``epoch``, which the result's own take the place of.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cleanroom.llm.common import settle
+from cleanroom.llm.common import folded, settle
 
 TREE = ("domain", "lang", "source")
 
@@ -141,10 +142,11 @@ def mix_documents(docs: DataFrame, mix: Mix = Mix(), domain: Column | None = Non
     key = F.xxhash64(F.col("doc_id"), F.col("text"))
     lean = settle(docs.select(*tree, key.alias("key"), token_count(F.col("text")).alias("tokens")), "lean")
     found = settle(cuts(lean, mix), "cuts")
-    rows = docs.select("*", *tree, key.alias("_key")).join(found, names)
+    others, back = folded(docs)
+    rows = docs.select(others, *tree, key.alias("_key")).join(found, names)
     also = F.coalesce(_order(F.col("_key"), F.col("whole") + 1, mix.seed) <= F.col("cut"), F.lit(False))
     also = also & (F.col("whole") < mix.epochs)
     times = F.col("whole") + also.cast("long")
     chosen = rows.withColumn("_times", times).where("_times > 0").withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("long"), "_times")))
-    kept = [c for c in docs.columns if c not in ("epoch", "domain")]
+    kept = [column for name, column in zip(docs.columns, back) if name.lower() not in ("epoch", "domain")]
     return chosen.select(*kept, F.col("_domain").alias("domain"), "epoch")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cleanroom.llm.common import settle, typed
+from cleanroom.llm.common import folded, settle, typed
 from cleanroom.llm.components import components
 
 SEGMENTS = 16
@@ -107,14 +107,15 @@ def one_per_group(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """One document of each group, with all its columns: that with the smallest id.
 
     Ids that repeat are told apart by a hash of the text; of rows alike in both, one stays.
+    A null id is after all others.
     """
+    others, back = folded(docs)
     tag = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    keyed = docs.select(F.col("doc_id").cast("long").alias("_id"), tag.alias("_tag"), *docs.columns)
-    source = keyed.select(F.struct(F.col("_id").isNull().alias("none"), "_id", "_tag").alias("place"), "text")
+    keyed = docs.select(F.col("doc_id").cast("long").alias("id"), tag.alias("tag"), F.col("text").cast("string").alias("text"), others)
+    source = keyed.select(F.struct(F.col("id").isNull().alias("none"), "id", "tag").alias("place"), "text")
     prints = settle(fingerprints(source, shingle, key="place"), "fingerprints")
     firsts = prints.groupBy("fp").agg(F.min("place").alias("place"))
     stay = settle(_labelled(prints).join(settle(firsts, "firsts"), "fp").groupBy("root").agg(F.min("place").alias("place")), "stay")
-    stay = stay.select(F.coalesce("place._id", F.lit(0)).alias("_key"), F.col("place.none").alias("_none"), F.col("place._tag").alias("_tag"))
-    keyed = keyed.withColumns({"_key": F.coalesce("_id", F.lit(0)), "_none": F.col("_id").isNull()})
-    kept = keyed.join(stay, ["_key", "_none", "_tag"]).dropDuplicates(["_key", "_none", "_tag"])
-    return kept.select(*docs.columns)
+    stay = stay.select(F.coalesce("place.id", F.lit(0)).alias("key"), F.col("place.none").alias("none"), F.col("place.tag").alias("tag"))
+    keyed = keyed.select(F.coalesce("id", F.lit(0)).alias("key"), F.col("id").isNull().alias("none"), "tag", "others")
+    return keyed.join(stay, ["key", "none", "tag"]).dropDuplicates(["key", "none", "tag"]).select(*back)
