@@ -11,8 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cleanroom.llm import binary_packing, divergence, mixture, prefix_free, shingle_join
-from cleanroom.llm.common import ready, table
+from cleanroom.llm import binary_packing, divergence, mixture, popcount_grid, prefix_free
+from cleanroom.llm.common import folded, ready, table
 from cleanroom.llm.queries import MIX, byte_bpe
 from cleanroom.session import checkpoint_root
 
@@ -24,13 +24,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: that with the smallest id.
+    """One document of each SimHash group stays: that with the smallest id.
 
-    Near-duplicates have a similarity of 0.8 or more in five-word shingles; operator 9's
-    fingerprints at two bits hold few of them.
+    Shingle length and bit distance are those of the operator's query.
     """
     ready(spark)
-    return shingle_join.one_per_group(docs)
+    return popcount_grid.one_per_group(docs)
 
 
 def repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,17 +39,17 @@ def repeated_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     empty one.
     """
     ready(spark)
-    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    cut = prefix_free.cut_repeats(docs, *others, characters=True)
+    others, back = folded(docs, "doc_id", "text", "n_chars")
+    cut = prefix_free.cut_repeats(docs.select("doc_id", "text", others), "others", characters=True)
     text = F.col("kept").cast("string")
     new = {"text": text, "n_chars": F.char_length(text).cast("long")}
-    return cut.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
+    return cut.select(*[new[name].alias(name) if name in new else column for name, column in zip(docs.columns, back)])
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents chosen for the production mix, once per epoch."""
     ready(spark)
-    return mixture.mix_documents(docs, MIX).select(*docs.columns)
+    return mixture.mix_documents(docs, MIX).select(*[f"`{c}`" for c in docs.columns])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
