@@ -74,3 +74,34 @@ def test_pipeline(spark):
 
     times = Counter(r["doc_id"] for r in mixed)
     assert all(sum(p["length"] for p in packed if p["doc_id"] == i) == n * next(p["doc_tokens"] for p in packed if p["doc_id"] == i) for i, n in times.items())
+
+
+def odd_columns(documents):
+    """Columns that operators of the stages use or might use."""
+    from pyspark.sql import functions as F
+
+    names = ["others", "_id", "_tag", "_key", "budget", "whole", "cut", "ranges", "spans", "row", "some", "c0", "key", "none", "tokens", "a.b", "Text2", "_domain", "id"]
+    return documents.withColumns({n: F.lit(n) for n in names})
+
+
+def test_pipeline_on_odd_rows(spark, documents, nothing):
+    """Nulls, empty and long texts, copies, an empty table and clashing names go through all stages."""
+    import plain
+
+    pipeline = importlib.import_module("corpus_pipeline")
+    docs = odd_columns(documents).union(odd_columns(documents).where("doc_id in (3, 8)"))
+    for name, stage in pipeline.STAGES:
+        before, docs = docs, spark.createDataFrame(stage(spark, docs, SF_DIR).toArrow())
+        if name == "packing":
+            assert {r.doc_id for r in docs.collect()} == {r.doc_id for r in before.collect()}
+            continue
+        assert docs.columns == before.columns and all(r["a.b"] == "a.b" and r.others == "others" for r in docs.collect())
+        if name == "simhash_near_dedup":
+            rows = [(r.doc_id, r.text) for r in before.collect()]
+            assert sorted(r.doc_id for r in docs.collect()) == sorted({g for _, g in plain.near_groups(rows)})
+        if name == "suffix_array_dedup":
+            assert docs.count() == before.count()
+    docs = odd_columns(nothing)
+    for _, stage in pipeline.STAGES:
+        docs = stage(spark, docs, SF_DIR)
+        assert docs.collect() == []
