@@ -7,20 +7,33 @@ record is removed when an earlier *kept* record of its block is similar.
 How the work stays spread out when one block holds a large part of all rows:
 
 * equal keys collapse first, in a map-side-combined aggregate;
-* keys of a block only meet through *signatures*, whose number is linear in the length of
-  a key.  A deletion destroys at most two of a key's 2-grams and an insertion at most
-  one, so if two keys are within distance ``d``, all but ``2 d`` of the 2-grams of each
-  (counted with repeats) are common to both.  In any one order of 2-grams, the first
-  common one is then among the first ``2 d + 1`` of either key; ordering from the rarest
-  keeps these few apart.  Short keys have too few 2-grams for that and use single
-  characters, of which a deletion destroys one: the first ``d + 1`` do.  A threshold so
-  low that not even those suffice makes the keys of a block meet directly;
-* signatures carry ids and lengths only; keys are joined back once per distinct pair, and
-  a signature shared by very many records is cut into bounded cells.
+* keys of a block meet in one of two ways, whichever lets fewer of them meet (counted, per
+  block, before anything is joined):
+
+  - through *signatures*, linear in the length of a key.  A deletion destroys at most two
+    of a key's 2-grams and an insertion at most one, so if two keys are within distance
+    ``d``, all but ``2 d`` of the 2-grams of each (counted with repeats) are common to
+    both.  In any one order of 2-grams, the first common one is then among the first
+    ``2 d + 1`` of either key; ordering from the rarest keeps these few apart.  Short keys
+    have too few 2-grams for that and use single characters, of which a deletion destroys
+    one: the first ``d + 1`` do;
+  - through *length bands*, where keys are long and alike, or the threshold is too low for
+    signatures.  Similar keys differ in length by a bounded ratio (0.7316 at 85), so with
+    bands of that ratio each meets its own and the next ones only;
+
+* wherever two keys meet, a bound decides on the spot: an insertion or deletion changes one
+  character's count by one, so the difference of character counts (summed) never exceeds
+  the distance.  Counts are held in unary in four numbers, where that sum is the number
+  of differing bits, so the test is a few machine instructions within the join;
+* signatures and bands carry ids, lengths and counts only; keys are joined back once per
+  pair that is left, and crowded ones are cut into a grid of bounded cells.
 """
 
 from __future__ import annotations
 
+import math
+import string
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -46,13 +59,29 @@ class Deduplicated:
     report: DataFrame
 
 
-def keyed(df: DataFrame, id_col: str, title: str, author: str) -> DataFrame:
-    """``(id, block, key)`` of each record."""
-    return df.select(
-        F.col(id_col).cast("bigint").alias("id"),
-        block_key(F.col(title)).alias("block"),
-        F.concat(fold(F.col(title)), F.lit(" "), fold(F.col(author))).alias("key"),
-    )
+#: What is compared: the folded "title author"; its words in order; or title and author
+#: by themselves, where the mean of both similarities counts.
+JOINED, SORTED, MEAN = "joined", "sorted", "mean"
+
+
+def incompleteness(df: DataFrame) -> Column:
+    """How many columns of a row are null: the fewest first is an order for ``keyed``."""
+    return sum((F.col(f"`{c}`").isNull().cast("int") for c in df.columns), F.lit(0))
+
+
+def keyed(df: DataFrame, id_col: str, title: str, author: str, measure: str = JOINED, prefer: Column | None = None) -> DataFrame:
+    """``(id, block, key)`` of each record.
+
+    ``measure`` ``mean`` adds ``other``, the author.  ``prefer`` adds ``place``: records
+    are gone through in that order, then by id, instead of by id alone.
+    """
+    first, second = fold(F.col(title)), fold(F.col(author))
+    whole = F.concat(first, F.lit(" "), second)
+    words = F.array_join(F.array_sort(F.array_remove(F.split(whole, " "), "")), " ")
+    keys = {JOINED: {"key": whole}, SORTED: {"key": words}, MEAN: {"key": first, "other": second}}[measure]
+    if prefer is not None:
+        keys["place"] = F.struct(prefer.alias("rank"), F.col(id_col).cast("bigint").alias("id"))
+    return df.select(F.col(id_col).cast("bigint").alias("id"), block_key(F.col(title)).alias("block"), *[c.alias(n) for n, c in keys.items()])
 
 
 def block_sizes(keys: DataFrame) -> DataFrame:
@@ -60,10 +89,12 @@ def block_sizes(keys: DataFrame) -> DataFrame:
 
 
 def key_classes(keys: DataFrame) -> DataFrame:
-    """One row per distinct key of a block, led by its smallest id."""
-    return keys.groupBy("block", "key").agg(
-        F.min("id").alias("id"), F.count("*").alias("copies")
-    )
+    """One row per distinct key of a block, led by its first record: the smallest id, or the first place."""
+    by = [c for c in ("block", "key", "other") if c in keys.columns]
+    copies = F.count("*").alias("copies")
+    if "place" in keys.columns:
+        return keys.groupBy(*by).agg(F.min("place").alias("place"), copies).withColumn("id", F.col("place.id"))
+    return keys.groupBy(*by).agg(F.min("id").alias("id"), copies)
 
 
 def _parallel(df: DataFrame, *columns: str) -> DataFrame:
@@ -130,6 +161,27 @@ def _cells(index: DataFrame, probe: DataFrame, cell_rows: int) -> tuple[DataFram
     )
 
 
+#: Characters that are counted, and how far: nine fields of seven bits fill a number.
+COUNTED = string.ascii_lowercase + string.digits
+FIELD_BITS, FIELDS = 7, 9
+
+
+def unary_counts(text: Column, prefix: str = "u") -> dict[str, Column]:
+    """Four numbers whose differing bits are at most the distance of two texts."""
+    n = F.char_length(text)
+    count = lambda c: F.least(n - F.char_length(F.translate(text, c, "")), F.lit(FIELD_BITS))
+    ones = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), count(c)) - 1
+    fields = [F.shiftleft(ones(c), FIELD_BITS * (i % FIELDS)) for i, c in enumerate(COUNTED)]
+    zero = F.lit(0).cast("long")
+    return {f"{prefix}{i // FIELDS}": sum(fields[i : i + FIELDS], zero) for i in range(0, len(fields), FIELDS)}
+
+
+def least_distance(x: str, y: str, prefix: str = "u") -> Column:
+    """A lower bound of the distance of two texts, from their counts in ``x`` and ``y``."""
+    bits = [F.bit_count(F.col(f"{x}.{prefix}{i}").bitwiseXOR(F.col(f"{y}.{prefix}{i}"))) for i in range(-(-len(COUNTED) // FIELDS))]
+    return sum(bits[1:], bits[0])
+
+
 @dataclass(frozen=True)
 class Reach:
     """Which signatures keys of a length emit; a pair always shares a kind that is valid for both."""
@@ -138,8 +190,8 @@ class Reach:
     grams_from: int | None
     #: Single characters up to this length (None: always).
     chars_to: int | None
-    #: One signature for the whole block up to this length (None: always).
-    whole_to: int | None
+    #: Whether there are enough of them for keys of all lengths; if not, keys meet by bands.
+    enough: bool
 
 
 def reach(threshold: int, horizon: int = 1000) -> Reach:
@@ -154,16 +206,15 @@ def reach(threshold: int, horizon: int = 1000) -> Reach:
     last = max(few_grams)
     grams_from = last + 1 if last < horizon - 1 else None
     chars_to = longest(last) if grams_from else None
-    whole_to = (longest(max(few_chars)) if max(few_chars) < horizon - 1 else None) if few_chars else 0
-    return Reach(grams_from, chars_to, whole_to)
+    return Reach(grams_from, chars_to, not few_chars)
 
 
 def signatures(classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """``(sig, id, n)``: at most ``2 d + 1`` rows of 2-grams and ``d + 1`` of characters per key."""
+    """``(b, sig, id, n)``: at most ``2 d + 1`` rows of 2-grams and ``d + 1`` of characters per key; ``b`` tells blocks apart."""
     k, strict = sim.slack(threshold)
     kinds, key, n = reach(threshold), F.col("key"), F.col("n")
     longest = F.greatest(F.floor(((200 + k) * n - strict) / F.lit(200 - k)).cast("int"), n)
-    sized = classes.select("block", "id", "key", F.char_length(key).alias("n"))
+    sized = classes.select(F.xxhash64("block").alias("b"), "id", "key", F.char_length(key).alias("n"))
     sized = sized.withColumn("most", sim.max_distance(n + longest, threshold))
 
     def counted(name: str) -> Column:
@@ -175,45 +226,100 @@ def signatures(classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     of_size = lambda size: F.sort_array(F.transform(F.sequence(F.lit(1), n - size + 1), lambda i: F.substr(key, i, F.lit(size))))
     from_ = F.lit(False) if kinds.grams_from is None else n >= kinds.grams_from
     to = F.lit(True) if kinds.chars_to is None else n <= kinds.chars_to
-    whole = F.lit(True) if kinds.whole_to is None else n <= kinds.whole_to
     part = lambda kind, cond, pieces, first: F.struct(
         F.lit(kind).alias("kind"), F.when(cond, pieces).otherwise(none).alias("pieces"), first.cast("int").alias("first")
     )
     # The lists are sorted once, not once for each piece.
     sized = evaluated_once(
         sized.select(
-            "block", "id", "n", "most",
+            "b", "id", "n", "most",
             F.when(from_, of_size(2)).otherwise(none).alias("grams"),
-            F.when(to & (n > 0), of_size(1)).otherwise(none).alias("chars"),
+            # Empty keys (titles, where authors are another matter) meet each other.
+            F.when(to & (n > 0), of_size(1)).when(n == 0, F.array(F.lit(""))).otherwise(none).alias("chars"),
         )
     )
     parts = [
         part("g", from_, counted("grams"), 2 * F.col("most") + 1),
-        part("c", to & (n > 0), counted("chars"), F.col("most") + 1),
-        part("*", whole, F.array(F.lit("*")), F.lit(1)),
+        part("c", to, counted("chars"), F.col("most") + 1),
     ]
-    pieces = sized.select("block", "id", "n", F.inline(F.array(*parts))).select(
-        "id", "n", "kind", "first", "block", F.explode("pieces").alias("piece")
+    pieces = sized.select("b", "id", "n", F.inline(F.array(*parts))).select(
+        "id", "n", "kind", "first", "b", F.explode("pieces").alias("piece")
     )
-    pieces = settle(pieces.select("id", "n", "kind", "first", F.xxhash64("block", "kind", "piece").alias("sig")), "pieces")
+    pieces = settle(pieces.select("b", "id", "n", "kind", "first", F.xxhash64("b", "kind", "piece").alias("sig")), "pieces")
     shares = settle(pieces.groupBy("sig").agg(F.count("*").alias("share")), "shares")
     # A key's own pieces: as many as it has characters.
     rank = F.row_number().over(Window.partitionBy("id", "kind").orderBy("share", "sig"))
     ranked = pieces.join(shares, "sig").withColumn("rank", rank)
-    return ranked.filter("rank <= first and share > 1").select("sig", "id", "n")
+    return ranked.filter("rank <= first and share > 1").select("b", "sig", "id", "n")
+
+
+def length_bands(sized: DataFrame, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """Both sides ``(b, sig, id)`` of a join in which keys meet those of their band and the next ones, once a pair."""
+    k, _ = sim.slack(threshold)
+    # Wider than the ratio of similar lengths by more than rounding.
+    step = math.log((200 + k) / (200 - k)) * (1 + 1e-9)
+    band = F.floor(F.log(F.greatest("n", F.lit(1))) / F.lit(step)).cast("int")
+    sig = lambda at: F.xxhash64("b", F.lit("band"), at).alias("sig")
+    banded = sized.select("b", "id", band.alias("band"))
+    near = banded.select("b", "id", F.explode(F.array(*[F.col("band") + i for i in (-1, 0, 1)])).alias("band"))
+    return banded.select("b", sig("band"), "id"), near.select("b", sig("band"), "id")
+
+
+def _meetings(index: DataFrame, probe: DataFrame, name: str) -> DataFrame:
+    """``(b, name)``: how many rows a join of both sides would look at in each block."""
+    counts = lambda side, n: side.groupBy("b", "sig").agg(F.count("*").alias(n))
+    both = counts(index, "x").join(counts(probe, "y"), ["b", "sig"])
+    return both.groupBy("b").agg(F.sum(F.col("x") * F.col("y")).alias(name))
 
 
-def candidate_pairs(classes: DataFrame, threshold: int = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Distinct ``(lo, hi)`` that share a signature and whose lengths fit."""
-    rows = settle(signatures(classes, threshold), "signatures")
-    index, probe = _cells(rows, rows, cell_rows)
-    x = _parallel(index, "sig", "row_cell", "col_cell").alias("x")
-    y = _parallel(probe, "sig", "row_cell", "col_cell").alias("y")
-    of = lambda side, c: F.col(f"{side}.{c}")
-    same = [of("x", c) == of("y", c) for c in ("sig", "row_cell", "col_cell")]
-    close = F.abs(of("x", "n") - of("y", "n")) <= sim.max_distance(of("x", "n") + of("y", "n"), threshold)
-    met = x.join(y, [*same, of("x", "id") < of("y", "id"), close])
-    return met.select(of("x", "id").alias("lo"), of("y", "id").alias("hi")).distinct()
+def sized_classes(classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """What meets in the place of keys: ``b``, id, length and unary counts; a written table."""
+    texts = [c for c in ("key", "other") if c in classes.columns]
+    lean = evaluated_once(classes.select(F.xxhash64("block").alias("b"), "id", *texts))
+    out = {"n": F.char_length("key"), **unary_counts(F.col("key"))}
+    if "other" in texts:
+        out |= {"m": F.char_length("other"), **unary_counts(F.col("other"), "v")}
+    return settle(lean.select("b", "id", *[c.alias(n) for n, c in out.items()]), "sized")
+
+
+def _met(x: DataFrame, y: DataFrame, sized: DataFrame, test: Column, cell_rows: int) -> DataFrame:
+    """``(lo, hi)`` of rows of both sides that share a signature and pass ``test`` on their sizes."""
+    index, probe = _cells(x.select("sig", "id"), y.select("sig", "id"), cell_rows)
+    with_sizes = lambda side, name: _parallel(side.join(sized.drop("b"), "id"), "sig", "row_cell", "col_cell").alias(name)
+    same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("sig", "row_cell", "col_cell")]
+    met = with_sizes(index, "x").join(with_sizes(probe, "y"), [*same, F.col("x.id") < F.col("y.id"), test])
+    return met.select(F.col("x.id").alias("lo"), F.col("y.id").alias("hi"))
+
+
+def candidate_pairs(
+    classes: DataFrame, threshold: int = THRESHOLD, cell_rows: int = CELL_ROWS, test: Callable[[], Column] | None = None
+) -> DataFrame:
+    """Distinct ``(lo, hi)`` of keys that meet and whose lengths and character counts fit.
+
+    ``test`` gives another condition on the sizes ``x`` and ``y`` of a pair.
+    """
+    sized = sized_classes(classes, threshold)
+    most = sim.max_distance(F.col("x.n") + F.col("y.n"), threshold)
+    fits = (F.abs(F.col("x.n") - F.col("y.n")) <= most) & (least_distance("x", "y") <= most)
+    if test is not None:
+        fits = fits & test()
+    index, probe = length_bands(sized, threshold)
+    by_bands = _met(index, probe, sized, fits, cell_rows)
+    if not reach(threshold).enough:
+        return by_bands
+    grams = settle(signatures(classes, threshold), "signatures")
+    costs = _meetings(grams, grams, "by_grams").join(_meetings(index, probe, "by_bands"), "b")
+    dense = settle(costs.filter("by_grams > by_bands").select("b"), "dense")
+    index, probe = (side.join(dense, "b", "left_semi") for side in (index, probe))
+    sparse = grams.join(dense, "b", "left_anti")
+    return _met(sparse, sparse, sized, fits, cell_rows).distinct().union(_met(index, probe, sized, fits, cell_rows))
+
+
+def _with_texts(pairs: DataFrame, classes: DataFrame, *texts: str) -> DataFrame:
+    """Pairs of one block with the named texts of both ends."""
+    end = lambda e: classes.select(F.col("id").alias(e), F.col("block").alias(f"{e}_block"), *[F.col(t).alias(f"{e}_{t}") for t in texts])
+    both = pairs.join(end("lo"), "lo").join(end("hi"), "hi").filter(F.col("lo_block") == F.col("hi_block"))
+    return both.withColumnRenamed("lo_block", "block").drop("hi_block")
 
 
 def similar_pairs(classes: DataFrame, threshold: int = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -221,11 +327,47 @@ def similar_pairs(classes: DataFrame, threshold: int = THRESHOLD, cell_rows: int
 
     ``classes`` is read several times; pass a written table.
     """
-    keys = lambda end: classes.select(F.col("id").alias(end), F.col("block").alias(f"{end}_block"), F.col("key").alias(f"{end}_key"))
-    pairs = candidate_pairs(classes, threshold, cell_rows).join(keys("lo"), "lo").join(keys("hi"), "hi")
-    same = pairs.filter(F.col("lo_block") == F.col("hi_block"))
+    same = _with_texts(candidate_pairs(classes, threshold, cell_rows), classes, "key")
     near = same.filter(_close_enough(F.col("lo_key"), F.col("hi_key"), threshold))
-    return _confirm(near.select(F.col("lo_block").alias("block"), "lo", "hi", "lo_key", "hi_key"), threshold)
+    return _confirm(near.select("block", "lo", "hi", "lo_key", "hi_key"), threshold)
+
+
+def _most_similar(length: Column, distance: Column) -> Column:
+    """The highest ratio that texts of this total length and at least this distance can have."""
+    share = (length - distance) * F.lit(100) / F.when(length > 0, length)
+    return F.coalesce(F.floor(share + 0.5), F.lit(100))
+
+
+def similar_by_mean(classes: DataFrame, threshold: int = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """All pairs ``(block, lo, hi, title_score, author_score)`` whose scores have a mean of at least ``threshold``.
+
+    Either score is at most 100, so titles alone must reach ``2 threshold - 100``; where
+    two titles meet, what their counts leave to the author's score is asked of its counts.
+    """
+    if not 51 <= threshold <= 100:
+        raise ValueError("threshold must lie between 51 and 100")
+
+    def enough() -> Column:
+        bound = lambda n, prefix: _most_similar(F.col(f"x.{n}") + F.col(f"y.{n}"), least_distance("x", "y", prefix))
+        return bound("n", "u") + bound("m", "v") >= 2 * threshold
+
+    pairs = _with_texts(candidate_pairs(classes, 2 * threshold - 100, cell_rows, enough), classes, "key", "other")
+    # A Levenshtein distance is a lower bound, too; what it leaves open is measured.
+    edits = lambda t: F.levenshtein(f"lo_{t}", f"hi_{t}")
+    size = lambda t: F.char_length(f"lo_{t}") + F.char_length(f"hi_{t}")
+    left = pairs.filter(_most_similar(size("key"), edits("key")) + _most_similar(size("other"), edits("other")) >= 2 * threshold)
+    scores = left.select(
+        "block", "lo", "hi", sim.ratio(F.col("lo_key"), F.col("hi_key")).alias("title_score"), sim.ratio(F.col("lo_other"), F.col("hi_other")).alias("author_score")
+    )
+    return scores.filter(F.col("title_score") + F.col("author_score") >= 2 * threshold)
+
+
+def in_order(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges ``(lo, hi)`` that lead from the earlier to the later place."""
+    place = lambda e: classes.select(F.col("id").alias(e), F.col("place").alias(f"{e}_place"))
+    both = pairs.select("lo", "hi").join(place("lo"), "lo").join(place("hi"), "hi")
+    turned = F.col("hi_place") < F.col("lo_place")
+    return both.select(F.when(turned, F.col("hi")).otherwise(F.col("lo")).alias("lo"), F.when(turned, F.col("lo")).otherwise(F.col("hi")).alias("hi"))
 
 
 def scored(pairs: DataFrame) -> DataFrame:
@@ -252,10 +394,11 @@ FOLD_ROUNDS = 8
 
 
 def eliminate(edges: DataFrame, rounds: list[int] | None = None) -> DataFrame:
-    """Ids removed by the ordered elimination over edges ``(lo, hi)`` with lo < hi.
+    """Ids removed by the ordered elimination over edges ``(lo, hi)``.
 
     Each round keeps every record that has no undecided earlier neighbour and
     removes the later neighbours of those; the outcome equals the sequential pass.
+    An edge leads from the earlier to the later record, whatever their ids are.
     ``rounds`` gets one entry per round.
     """
     seen = [] if rounds is None else rounds
@@ -286,11 +429,18 @@ def deduplicate(
     author: str = "author",
     threshold: int = THRESHOLD,
     cell_rows: int = CELL_ROWS,
+    measure: str = JOINED,
+    prefer: Column | None = None,
 ) -> Deduplicated:
-    """Drop near-duplicates; ``id_col`` must be unique and not null."""
-    keys = keyed(df, id_col, title, author)
+    """Drop near-duplicates; ``id_col`` must be unique and not null.
+
+    Records are gone through by id, or by ``prefer`` and then by id.
+    """
+    keys = keyed(df, id_col, title, author, measure, prefer)
     classes = settle(key_classes(keys), "classes")
-    edges = similar_pairs(classes, threshold, cell_rows)
+    edges = (similar_by_mean if measure == MEAN else similar_pairs)(classes, threshold, cell_rows)
+    if prefer is not None:
+        edges = in_order(edges, classes)
     losers = eliminate(edges)
     leaders = classes.join(losers.withColumn("lost", F.lit(True)), "id", "left")
     ids = leaders.filter("lost is null").select(F.col("id").alias(id_col))

@@ -4,6 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from cleanroom.operators import dedup
 
@@ -62,6 +63,16 @@ def removed_ids(spark, rows, **options):
     return gone, found.report.first()
 
 
+@pytest.fixture(params=["cheaper", "bands", "signatures"])
+def way(request, monkeypatch):
+    """How keys of a block meet: the cheaper way, or always one of them."""
+    if request.param != "cheaper":
+        cost = {"bands": "by_bands", "signatures": "by_grams"}[request.param]
+        counted = dedup._meetings
+        monkeypatch.setattr(dedup, "_meetings", lambda x, y, name: counted(x, y, name).withColumn(name, F.lit(0 if name == cost else 1)))
+    return request.param
+
+
 @pytest.mark.parametrize(
     ("threshold", "options"),
     [
@@ -73,7 +84,7 @@ def removed_ids(spark, rows, **options):
         (60, {"cell_rows": 7}),
     ],
 )
-def test_equals_sequential_pass(spark, threshold, options):
+def test_equals_sequential_pass(spark, way, threshold, options):
     rows = dirty(180, seed=threshold)
     df = spark.createDataFrame(rows, "id bigint, title string, author string")
     keys = [tuple(r) for r in dedup.keyed(df, "id", "title", "author").collect()]
@@ -150,3 +161,84 @@ def test_scores(spark):
     df = spark.createDataFrame(rows, "lo_key string, hi_key string")
     want = [round(200 * common(a, b) / (len(a) + len(b))) if a or b else 100 for a, b in rows]
     assert [r.score for r in dedup.scored(df).collect()] == want
+
+
+def test_counts_bound_the_distance(spark):
+    """Differing bits of unary counts never exceed the distance, also with many equal characters."""
+    rnd = random.Random(6)
+    rows = []
+    for _ in range(300):
+        a = "".join(rnd.choice("abcxyz019 -") for _ in range(rnd.randrange(60)))
+        b = "".join(rnd.choice("abcxyz019 -") for _ in range(rnd.randrange(60)))
+        rows.append((a, a[::-1] + "zz" if rnd.random() < 0.3 else b))
+    df = spark.createDataFrame(rows, "a string, b string")
+    x = F.struct(*[c.alias(n) for n, c in dedup.unary_counts(F.col("a")).items()]).alias("x")
+    y = F.struct(*[c.alias(n) for n, c in dedup.unary_counts(F.col("b")).items()]).alias("y")
+    got = [r[0] for r in df.select(x, y).select(dedup.least_distance("x", "y")).collect()]
+    far = [len(a) + len(b) - 2 * common(a, b) for a, b in rows]
+    assert all(g <= d for g, d in zip(got, far)) and sum(got) > sum(far) / 4
+    assert {g for g, (a, b) in zip(got, rows) if sorted(a) == sorted(b)} <= {0}
+
+
+def test_bands_meet_all_fitting_lengths(spark):
+    rows = [(n, 7, n) for n in range(400)]
+    sized = spark.createDataFrame(rows, "id bigint, b bigint, n int")
+    for threshold in (85, 60, 31):
+        k, strict = 201 - 2 * threshold, threshold % 2
+        index, probe = dedup.length_bands(sized, threshold)
+        met = index.alias("x").join(probe.alias("y"), "sig").select("x.id", "y.id")
+        got = [tuple(r) for r in met.collect()]
+        assert len(got) == len(set(got))
+        assert {(a, b) for a in range(400) for b in range(400) if 200 * abs(a - b) <= k * (a + b) - strict} <= set(got)
+
+
+def test_dense_keys_prune(spark):
+    """Keys of a block that have most 2-grams in common: few of their pairs are looked at."""
+    rnd = random.Random(2)
+    words = "standard anodized polished brushed tin nickel brass steel copper small large medium economy promo".split()
+    rows = [(i, "gizmo " + " ".join(rnd.choice(words) for _ in range(6)), f"brand {i % 25} {i}") for i in range(600)]
+    keys = dedup.keyed(spark.createDataFrame(rows, "id bigint, title string, author string"), "id", "title", "author")
+    classes = dedup.key_classes(keys)
+    assert dedup.candidate_pairs(classes).count() < 0.1 * 600 * 599 / 2
+
+
+def walked(rows, similar):
+    """Ids removed when rows ``(place, id, block, ...)`` are gone through in order of place."""
+    removed, ordered = set(), sorted(rows)
+    for x, a in enumerate(ordered):
+        for b in ordered[x + 1 :]:
+            if a[1] not in removed and b[1] not in removed and a[2] == b[2] and similar(a, b):
+                removed.add(b[1])
+    return removed
+
+
+def ratio(a, b):
+    return round(200 * common(a, b) / (len(a) + len(b))) if a or b else 100
+
+
+def test_most_complete_record_stays(spark):
+    rows = [(*r, None if i % 3 else "x", None if i % 5 else 1) for i, r in enumerate(dirty(150, seed=4))]
+    df = spark.createDataFrame(rows, "id bigint, title string, author string, `a.b` string, year int")
+    found = dedup.deduplicate(df, prefer=dedup.incompleteness(df))
+    keys = {r.id: (r.block, r.key) for r in dedup.keyed(df, "id", "title", "author").collect()}
+    placed = [((sum(v is None for v in r), r[0]), r[0], *keys[r[0]]) for r in rows]
+    assert {r.id for r in found.removed.collect()} == walked(placed, lambda a, b: ratio(a[3], b[3]) >= 85)
+    assert {r.id for r in found.removed.collect()} != {r.id for r in dedup.deduplicate(df).removed.collect()}
+
+
+@pytest.mark.parametrize("threshold", [85, 70, 60, 51])
+def test_mean_of_title_and_author(spark, threshold):
+    rnd = random.Random(threshold)
+    authors = ["Ana Ruiz", "Ana Luiz", "Luis Paz", "L. Paz", None, "Luisa de la Paz Ruiz"]
+    rows = [(i, t, rnd.choice(authors)) for i, t, _ in dirty(110, seed=threshold + 1)]
+    df = spark.createDataFrame(rows, "id bigint, title string, author string")
+    keys = [tuple(r) for r in dedup.keyed(df, "id", "title", "author", dedup.MEAN).collect()]
+    gone, _ = removed_ids(spark, rows, threshold=threshold, measure=dedup.MEAN)
+    assert gone == walked([(i, i, b, k, o) for i, b, k, o in keys], lambda a, b: ratio(a[3], b[3]) + ratio(a[4], b[4]) >= 2 * threshold)
+    with pytest.raises(ValueError, match="51"):
+        dedup.similar_by_mean(df, 50)
+
+
+def test_sorted_words(spark):
+    rows = [(1, "Historia de la luna", "Ana Paz"), (2, "Historia luna de  la", "Paz Ana"), (3, "Historia del trueno", "Ana Paz"), (4, "Historia luna de las", "PAZ ANA")]
+    assert removed_ids(spark, rows, measure=dedup.SORTED)[0] == {2, 4} and 2 not in removed_ids(spark, rows)[0]

@@ -633,6 +633,48 @@ ORACLES["dedup_report"] = walked(
     "(SELECT count(DISTINCT block) FROM keys) AS b)",
 )
 
+_SORTED_KEYS = (
+    f"keys AS (SELECT p_partkey AS id, {block('p_type')} AS block, array_to_string(list_sort(list_filter(string_split("
+    f"{fold('p_type')} || ' ' || {fold('p_name')}, ' '), lambda w: w <> '')), ' ') AS key FROM part)"
+)
+ORACLES["similar_sorted"] = over(f"{_SORTED_KEYS},{_EDGES},{_SCORES}", "SELECT block, lo, hi, score FROM scores")
+
+
+def _measured(field: str) -> str:
+    """The score of one of the two fields of a pair."""
+    return (
+        f"SELECT *, CAST(round_even(({_COMMON}) * 200::DOUBLE / (length(x) + length(y)), 0) AS INTEGER) AS {field}_score FROM "
+        f"(SELECT *, {_FULL} AS whole FROM (SELECT * EXCLUDE (x, y, whole), {field}1 AS x, {field}2 AS y FROM"
+    )
+
+
+_BOUND = "floor((length({f}1) + length({f}2) - levenshtein({f}1, {f}2)) * 100.0 / (length({f}1) + length({f}2)) + 0.5)"
+ORACLES["similar_mean"] = f"""
+WITH keys AS (SELECT p_partkey AS id, {block('p_type')} AS block, {fold('p_type')} AS title, {fold('p_brand')} AS author FROM part),
+classes AS MATERIALIZED (SELECT block, title, author, min(id) AS id FROM keys GROUP BY ALL),
+pairs AS (SELECT a.block, a.id AS lo, b.id AS hi, a.title AS title1, b.title AS title2, a.author AS author1, b.author AS author2,
+    '' AS x, '' AS y, []::HUGEINT[] AS whole FROM classes a JOIN classes b ON a.block = b.block AND a.id < b.id),
+near AS MATERIALIZED (SELECT * FROM pairs WHERE {_BOUND.format(f='title')} + {_BOUND.format(f='author')} >= 170)
+SELECT block, lo, hi, title_score, author_score FROM ({_measured('author')} ({_measured('title')} near))))))
+WHERE title_score + author_score >= 170
+"""
+# The place of a record among others as one number: nulls first, then the id.
+_PLACE = " + ".join(f"CAST({c} IS NULL AS BIGINT)" for c in "ordinal id title author category_and_description publisher published".split())
+_PLACED_KEYS = (
+    f"keys AS (SELECT ({_PLACE}) * 1000000000000 + id AS id, {block('title')} AS block, {fold('title')} || ' ' || {fold('author')} AS key "
+    f"FROM ({CATALOG}) r)"
+)
+ORACLES["dedup_most_complete"] = walked(
+    _PLACED_KEYS, f"SELECT id, title, author, publisher, published FROM ({CATALOG}) r WHERE id IN (SELECT id % 1000000000000 FROM kept)"
+)
+_TWO_BATCHES = BOOKS.replace("p_partkey AS ordinal", "p_partkey + CASE WHEN p_partkey % 2 = 0 THEN 1000000000000 ELSE 0 END AS ordinal")
+ORACLES["catalog_merge"] = over(
+    _TWO_BATCHES,
+    "SELECT item_id, author_id, category_id, publisher_id, i.title, i.published, c.name AS categories, c.description, p.name AS publishers, "
+    "a.name AS authors FROM item_authors JOIN items i USING (item_id) JOIN categories c USING (category_id) "
+    "JOIN publishers p USING (publisher_id) JOIN authors a USING (author_id)",
+)
+
 # -- the whole run ---------------------------------------------------------------------------------
 
 ORACLES["borrowed_totals"] = over(

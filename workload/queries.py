@@ -17,6 +17,7 @@ from cleanroom.operators import (
     dedup,
     documents,
     maintain,
+    merge,
     normalize,
     reports,
     rules,
@@ -720,9 +721,46 @@ def dedup_report(spark, sf_dir):
     return dedup.deduplicate(raw(spark, sf_dir, "page_titles")).report
 
 
+@query
+def similar_sorted(spark, sf_dir):
+    """Pairs whose words, in order, are similar: the order in which they were written counts for nothing."""
+    keys = dedup.keyed(table(spark, sf_dir, "part"), "p_partkey", "p_type", "p_name", dedup.SORTED)
+    classes = settle(dedup.key_classes(keys), "classes")
+    return dedup.scored(dedup.similar_pairs(classes)).select("block", "lo", "hi", "score")
+
+
+@query
+def similar_mean(spark, sf_dir):
+    """Pairs whose titles and authors, each by itself, are similar in the mean."""
+    keys = dedup.keyed(table(spark, sf_dir, "part"), "p_partkey", "p_type", "p_brand", dedup.MEAN)
+    classes = settle(dedup.key_classes(keys), "classes")
+    return dedup.similar_by_mean(classes)
+
+
+@query
+def dedup_most_complete(spark, sf_dir):
+    """The catalog without near-duplicates, where the row with the fewest nulls stays."""
+    catalog = raw(spark, sf_dir, "catalog")
+    found = dedup.deduplicate(catalog, prefer=dedup.incompleteness(catalog))
+    return found.survivors.select("id", "title", "author", "publisher", "published")
+
+
 # -- maintenance -----------------------------------------------------------------------
 
 
+@query
+def catalog_merge(spark, sf_dir):
+    """The catalog loaded in two batches, odd parts first: every link with all ids and values."""
+    catalog = raw(spark, sf_dir, "catalog")
+    first = normalize.Normalizer({"catalog": catalog.where("ordinal % 2 = 1")}, AS_OF)
+    existing = {name: settle(first[name], name) for name in merge.CATALOG_TABLES}
+    batch = normalize.accepted(normalize.clean_catalog(catalog.where("ordinal % 2 = 0"), AS_OF))
+    merged = merge.merge_catalog(existing, batch)
+    named = {n: merged[n].withColumnRenamed("name", n) for n in ("categories", "publishers", "authors")}
+    links = merged["item_authors"].join(merged["items"], "item_id")
+    return links.join(named["categories"], "category_id").join(named["publishers"], "publisher_id").join(named["authors"], "author_id")
+
+
 @query
 def orphan_counts(spark, sf_dir):
     """Foreign keys of the given tables, and of the normalized ones."""
