@@ -51,19 +51,42 @@ def _code_points(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return points.reshape(len(texts), width).T, lengths
 
 
+def _symbols(points: np.ndarray, lengths: np.ndarray, number: np.ndarray) -> np.ndarray:
+    """Symbol numbers from 1; 0 where a text is over."""
+    return np.where(np.arange(len(points))[:, None] < lengths, number[points], 0)
+
+
 def _common_lengths(left: pd.Series, right: pd.Series) -> np.ndarray:
+    """Bit-parallel: one bit per character of the right text, all pairs of a slice at once."""
     a, len_a = _code_points(left)
     b, len_b = _code_points(right)
-    rows = len(left)
-    # Padding sits at the end, so the wanted cell is (len_a, len_b) of each table.
-    best = np.zeros(rows, dtype=np.int32)
-    line = np.zeros((b.shape[0] + 1, rows), dtype=np.int32)
-    for i in range(a.shape[0]):
-        step = np.maximum(line[1:], line[:-1] + (b == a[i]))
-        np.maximum.accumulate(step, axis=0, out=line[1:])
-        done = np.flatnonzero(len_a == i + 1)
-        best[done] = line[len_b[done], done]
-    return best
+    seen = np.zeros(int(max(a.max(), b.max())) + 1, bool)
+    seen[a] = seen[b] = True
+    size, limbs, rows = int(seen.sum()) + 1, -(-len(b) // 64), len(left)
+    if size * limbs * rows > 4 * _CELLS and rows > 1:
+        half = rows // 2
+        return np.concatenate([_common_lengths(left.iloc[part], right.iloc[part]) for part in (slice(half), slice(half, None))])
+    number, row = np.cumsum(seen), np.arange(rows)
+    places = [np.zeros(size * rows, np.uint64) for _ in range(limbs)]
+    for j, symbol in enumerate(_symbols(b, len_b, number)):
+        places[j // 64][symbol * rows + row] |= np.uint64(1 << (j % 64))
+    for limb in places:
+        limb[:rows] = 0
+    free = [np.full(rows, ~np.uint64(0)) for _ in range(limbs)]
+    for symbol in _symbols(a, len_a, number):
+        at, carry = symbol * rows + row, np.zeros(rows, np.uint64)
+        for k in range(limbs):
+            v, met = free[k], places[k][at]
+            total = v + (v & met)
+            more = total + carry
+            carry = ((total < v) | (more < total)).astype(np.uint64)
+            free[k] = more | (v & ~met)
+    out = np.zeros(rows, np.int32)
+    for k in range(limbs):
+        bits = np.clip(len_b - 64 * k, 0, 64)
+        inside = np.where(bits == 64, ~np.uint64(0), (np.uint64(1) << (bits % 64).astype(np.uint64)) - np.uint64(1))
+        out += np.bitwise_count(~free[k] & inside).astype(np.int32)
+    return out
 
 
 @F.pandas_udf(T.IntegerType())

@@ -62,6 +62,11 @@ FOREIGN_KEYS = [
     ("reviews", "item_id", "items"),
     ("loan_audit", "loan_id", "loans"),
 ]
+#: Foreign keys that take their rows along when what they refer to goes; others forbid it.
+CASCADES = {
+    ("item_authors", "item_id"), ("item_authors", "author_id"), ("stock", "branch_id"), ("stock", "item_id"), ("reviews", "user_id"),
+    ("reviews", "item_id"),
+}
 KEY_OF = {
     "categories": "category_id",
     "publishers": "publisher_id",

@@ -7,7 +7,7 @@ record is removed when an earlier *kept* record of its block is similar.
 How the work stays spread out when one block holds a large part of all rows:
 
 * equal keys collapse first, in a map-side-combined aggregate;
-* keys of a block meet in one of two ways, whichever lets fewer of them meet (counted, per
+* keys of a block meet in one of two ways, whichever costs less (meetings are counted, per
   block, before anything is joined):
 
   - through *signatures*, linear in the length of a key.  A deletion destroys at most two
@@ -47,7 +47,9 @@ from cleanroom.session import settle
 # Fixed value: least similarity of a duplicate.
 THRESHOLD = 85
 
-CELL_ROWS = 4000
+CELL_ROWS = 1000
+# Meetings of two keys that cost as much as one row of signatures (measured: 20 ns and 10 us).
+PIECE_COST = 200
 # Copies of each decided id, so that the edges of one hub record are spread out.
 HUB_SALTS = 16
 
@@ -304,15 +306,21 @@ def candidate_pairs(
     if test is not None:
         fits = fits & test()
     index, probe = length_bands(sized, threshold)
-    by_bands = _met(index, probe, sized, fits, cell_rows)
+    by_bands = lambda: _met(index, probe, sized, fits, cell_rows)
     if not reach(threshold).enough:
-        return by_bands
-    grams = settle(signatures(classes, threshold), "signatures")
-    costs = _meetings(grams, grams, "by_grams").join(_meetings(index, probe, "by_bands"), "b")
-    dense = settle(costs.filter("by_grams > by_bands").select("b"), "dense")
-    index, probe = (side.join(dense, "b", "left_semi") for side in (index, probe))
-    sparse = grams.join(dense, "b", "left_anti")
-    return _met(sparse, sparse, sized, fits, cell_rows).distinct().union(_met(index, probe, sized, fits, cell_rows))
+        return by_bands()
+    pieces = sized.groupBy("b").agg(F.sum(2 * F.col("n")).alias("pieces"))
+    meetings = _meetings(index, probe, "by_bands").join(pieces, "b")
+    crowded = settle(meetings.filter(F.col("by_bands") > F.col("pieces") * PIECE_COST).select("b", "by_bands"), "crowded")
+    if crowded.isEmpty():
+        return by_bands()
+    some = classes.withColumn("b", F.xxhash64("block")).join(crowded.select("b"), "b", "left_semi").drop("b")
+    grams = settle(signatures(some, threshold), "signatures")
+    costs = crowded.join(_meetings(grams, grams, "by_grams"), "b", "left")
+    sparse = settle(costs.filter("by_grams is null or by_grams <= by_bands").select("b"), "sparse")
+    index, probe = (side.join(sparse, "b", "left_anti") for side in (index, probe))
+    own = grams.join(sparse, "b", "left_semi")
+    return _met(own, own, sized, fits, cell_rows).distinct().union(by_bands())
 
 
 def _with_texts(pairs: DataFrame, classes: DataFrame, *texts: str) -> DataFrame:
@@ -329,7 +337,7 @@ def similar_pairs(classes: DataFrame, threshold: int = THRESHOLD, cell_rows: int
     """
     same = _with_texts(candidate_pairs(classes, threshold, cell_rows), classes, "key")
     near = same.filter(_close_enough(F.col("lo_key"), F.col("hi_key"), threshold))
-    return _confirm(near.select("block", "lo", "hi", "lo_key", "hi_key"), threshold)
+    return _confirm(_parallel(near.select("block", "lo", "hi", "lo_key", "hi_key"), "lo", "hi"), threshold)
 
 
 def _most_similar(length: Column, distance: Column) -> Column:
@@ -356,7 +364,7 @@ def similar_by_mean(classes: DataFrame, threshold: int = THRESHOLD, cell_rows: i
     edits = lambda t: F.levenshtein(f"lo_{t}", f"hi_{t}")
     size = lambda t: F.char_length(f"lo_{t}") + F.char_length(f"hi_{t}")
     left = pairs.filter(_most_similar(size("key"), edits("key")) + _most_similar(size("other"), edits("other")) >= 2 * threshold)
-    scores = left.select(
+    scores = _parallel(left, "lo", "hi").select(
         "block", "lo", "hi", sim.ratio(F.col("lo_key"), F.col("hi_key")).alias("title_score"), sim.ratio(F.col("lo_other"), F.col("hi_other")).alias("author_score")
     )
     return scores.filter(F.col("title_score") + F.col("author_score") >= 2 * threshold)

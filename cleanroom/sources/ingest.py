@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cleanroom.functions.coerce import INT4_MAX, parse_int
 from cleanroom.operators.ids import dense_ids
@@ -82,8 +83,16 @@ def _problem(column: str, limit) -> Column:
 def load_sheet(df: DataFrame, sheet: str, keep: tuple[str, ...] = ("ordinal",)) -> Ingested:
     """Raw rows of one sheet, and those the raw table cannot hold.
 
-    Rows whose every cell is null are skipped without a trace.
+    Rows whose every cell is null are skipped without a trace.  A line that the reader has
+    marked as broken is a reject as it stood in the file.
     """
+    if BROKEN in df.columns:
+        marked, df = df, df.filter(F.col(BROKEN).isNull()).drop(BROKEN)
+        loaded = load_sheet(df, sheet, keep)
+        lines = marked.filter(F.col(BROKEN).isNotNull()).select(
+            F.lit(sheet).alias("sheet"), *keep, F.col(BROKEN).alias("row"), F.lit("unclosed quote").alias("reason")
+        )
+        return Ingested(loaded.rows, loaded.rejects.unionByName(lines))
     own = [c for c in df.columns if c not in keep]
     filled = df.dropna(how="all", subset=own) if own else df
     spec = RAW_COLUMNS[sheet]
@@ -106,21 +115,36 @@ def load_sheet(df: DataFrame, sheet: str, keep: tuple[str, ...] = ("ordinal",))
     return Ingested(rows, rejects)
 
 
+#: The column of lines whose cells cannot be told apart.
+BROKEN = "_broken_line"
+
+
 def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", line_breaks: bool = False, **options) -> DataFrame:
     """One sheet, every column as text; a missing path raises on analysis.
 
     Rows keep their read order in ``ordinal`` unless the source has that column.
     ``line_breaks`` reads cells that hold some; such a file cannot be split over tasks.
+    Without them, CSV lines with a quote that stays open are marked in their own column,
+    which ``load_sheet`` turns into rejects.
     """
+    reader = spark.read.format(fmt)
+    marks = fmt == "csv" and not line_breaks
     if fmt == "csv":
         options = {"header": "true", "multiLine": str(line_breaks).lower(), "escape": '"'} | options
-    df = spark.read.format(fmt).options(**options).load(path)
+    if marks:
+        names = spark.read.format(fmt).options(**options).load(path).schema
+    if marks := marks and len(names) > 0:
+        reader = reader.schema(T.StructType([*names.fields]).add(BROKEN, "string")).option("columnNameOfCorruptRecord", BROKEN)
+    df = reader.options(**options).load(path)
     if "ordinal" not in df.columns:
         df = read_order(df)
-    return df.select(
-        F.col("ordinal").cast("bigint").alias("ordinal"),
-        *[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns if c != "ordinal"],
-    )
+    own = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns if c not in ("ordinal", BROKEN)]
+    if marks:
+        # Short lines are padded, and are no worse for it; a quote that stays open swallows cells.
+        quotes = F.char_length(BROKEN) - F.char_length(F.replace(F.col(BROKEN), F.lit('"'), F.lit("")))
+        # Spark marks lines only where all cells are read, so all are named; the mark is not null here.
+        own.append(F.when(quotes % 2 == 1, F.coalesce(BROKEN, *[F.col(f"`{n}`") for n in names.names])).alias(BROKEN))
+    return df.select(F.col("ordinal").cast("bigint").alias("ordinal"), *own)
 
 
 def load_sheets(

@@ -63,16 +63,6 @@ def removed_ids(spark, rows, **options):
     return gone, found.report.first()
 
 
-@pytest.fixture(params=["cheaper", "bands", "signatures"])
-def way(request, monkeypatch):
-    """How keys of a block meet: the cheaper way, or always one of them."""
-    if request.param != "cheaper":
-        cost = {"bands": "by_bands", "signatures": "by_grams"}[request.param]
-        counted = dedup._meetings
-        monkeypatch.setattr(dedup, "_meetings", lambda x, y, name: counted(x, y, name).withColumn(name, F.lit(0 if name == cost else 1)))
-    return request.param
-
-
 @pytest.mark.parametrize(
     ("threshold", "options"),
     [
@@ -84,7 +74,7 @@ def way(request, monkeypatch):
         (60, {"cell_rows": 7}),
     ],
 )
-def test_equals_sequential_pass(spark, way, threshold, options):
+def test_equals_sequential_pass(spark, threshold, options):
     rows = dirty(180, seed=threshold)
     df = spark.createDataFrame(rows, "id bigint, title string, author string")
     keys = [tuple(r) for r in dedup.keyed(df, "id", "title", "author").collect()]
@@ -163,6 +153,19 @@ def test_scores(spark):
     assert [r.score for r in dedup.scored(df).collect()] == want
 
 
+@pytest.mark.parametrize("cheaper", [None, "by_bands", "by_grams"])
+def test_ways_to_meet(spark, monkeypatch, cheaper):
+    """Signatures and bands find the same pairs, and so does the choice between them."""
+    rows = dirty(180, seed=12)
+    classes = dedup.key_classes(dedup.keyed(spark.createDataFrame(rows, "id bigint, title string, author string"), "id", "title", "author"))
+    want = {(r.lo, r.hi) for r in dedup.similar_pairs(classes).collect()}
+    counted = dedup._meetings
+    monkeypatch.setattr(dedup, "PIECE_COST", 0)
+    if cheaper:
+        monkeypatch.setattr(dedup, "_meetings", lambda x, y, name: counted(x, y, name).withColumn(name, F.lit(1 if name == cheaper else 2)))
+    assert {(r.lo, r.hi) for r in dedup.similar_pairs(classes, cell_rows=3).collect()} == want
+
+
 def test_counts_bound_the_distance(spark):
     """Differing bits of unary counts never exceed the distance, also with many equal characters."""
     rnd = random.Random(6)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from cleanroom.functions import masking
 from cleanroom.operators.ids import dense_ids
 from cleanroom.plans import full_run
 from cleanroom.plans.config import RAW_COLUMNS, RULES, load
@@ -88,12 +89,60 @@ def test_dense_ids_follow_the_ordinal(spark):
 def test_document_sink_replaces(spark, tmp_path):
     docs = spark.sql("SELECT 1 AS id, named_struct('name', 'x') AS part, array(named_struct('name', 'y')) AS many")
     target = str(tmp_path / "out")
+    read = lambda name="books": sinks.read_documents(spark, target, name, docs.schema)
+    assert read().collect() == []
     assert sinks.write_documents({"books": docs}, target) == {"books": 1}
-    assert json.loads(spark.read.text(f"{target}/books").first()[0]) == {
-        "id": 1, "part": {"name": "x"}, "many": [{"name": "y"}]
-    }
+    folder = sinks.Collection(spark, target, "books").current()
+    assert json.loads(spark.read.text(folder).first()[0]) == {"id": 1, "part": {"name": "x"}, "many": [{"name": "y"}]}
+    assert sinks.write_documents({"books": docs.union(docs), "more": docs}, target) == {"books": 2, "more": 1}
+    assert read().count() == 2 and len([p for p in (tmp_path / "out/books").iterdir() if p.is_dir()]) == 1
     assert sinks.write_documents({"books": docs.limit(0)}, target) == {"books": 0}
-    assert spark.read.text(f"{target}/books").count() == 0
+    assert not (tmp_path / "out/books").exists() and read().collect() == [] and read("more").count() == 1
+
+
+def test_document_sink_survives_a_lost_run(spark, tmp_path):
+    """A run that fails half-way leaves the documents that were there; the next one tidies up."""
+    docs = spark.range(6).select("id", F.lit("x").alias("name"))
+    target = str(tmp_path / "out")
+    sinks.write_documents({"books": docs}, target)
+    before = sinks.Collection(spark, target, "books").current()
+    lost = F.when(F.col("id") == 5, F.raise_error(F.lit("lost"))).otherwise(F.col("name")).alias("name")
+    with pytest.raises(Exception, match="lost"):
+        sinks.write_documents({"books": docs.repartition(6, "id").select("id", lost)}, target)
+    assert sinks.Collection(spark, target, "books").current() == before
+    assert sinks.read_documents(spark, target, "books", docs.schema).count() == 6
+    staged = sinks.Collection(spark, target, "books").stage()
+    docs.limit(1).write.json(staged)  # written, but the run was lost before the swap
+    assert sinks.read_documents(spark, target, "books", docs.schema).count() == 6
+    sinks.write_documents({"books": docs.limit(2)}, target)
+    assert sinks.read_documents(spark, target, "books", docs.schema).count() == 2
+    assert len([p for p in (tmp_path / "out/books").iterdir() if p.is_dir()]) == 1
+
+
+def test_broken_lines_are_rejects(spark, tmp_path):
+    lines = ["branch,location,title,quantity", "A,L,T,3", 'B,"x ""q"" y",T', "", 'C,"L,T,3', '"E,1",L,T,5']
+    (tmp_path / "stock.csv").write_text("\n".join(lines) + "\n")
+    loaded = ingest.load_sheet(ingest.read_sheet(spark, str(tmp_path / "stock.csv")), "stock")
+    rows = sorted((r.ordinal, r.branch, r.location, r.title, r.quantity) for r in loaded.rows.collect())
+    assert rows == [(0, "A", "L", "T", "3"), (1, "B", 'x "q" y', "T", None), (3, "E,1", "L", "T", "5")]
+    assert [tuple(r) for r in loaded.rejects.collect()] == [("stock", 2, 'C,"L,T,3', "unclosed quote")]
+    assert loaded.rejects.count() == 1
+
+
+def test_masking_policy(spark):
+    rows = [("ab@c.de", "+34 600-123-456", "X123", 7, "12", "kept"), (None, None, None, None, None, None)]
+    df = spark.createDataFrame(rows, "correo string, phone string, code string, user_id int, telefono string, `a.b` string")
+    listed = {"t": ["correo", "phone", "code", "user_id", "telefono", "a.b"]}
+    got = masking.apply_policy(df, "t", listed)
+    assert got.columns == df.columns
+    assert [tuple(r) for r in got.collect()] == [("a***@c.de", "+** ***-**3-456", "X1**", 7, "**", "kept"), (None,) * 6]
+    assert [tuple(r) for r in masking.masked_counts(df, "t", listed).collect()] == [("t", c, 1) for c in ("correo", "phone", "code", "telefono")]
+    named = masking.apply_policy(df, "t", {"t": {"code": "hash", "a.b": "id"}}).first()
+    assert len(named.code) == 64 and named["a.b"] == "ke**" and named.phone == rows[0][1]
+    assert masking.apply_policy(df, "other", listed).collect() == df.collect()
+    for wrong in ({"t": ["absent"]}, {"t": {"code": "absent"}}):
+        with pytest.raises(ValueError, match="absent"):
+            masking.apply_policy(df, "t", wrong)
 
 
 def test_generator_rates_and_keys(spark):

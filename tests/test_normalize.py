@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from cleanroom.operators import constraints, documents, maintain, normalize, reports
+from cleanroom.operators import constraints, documents, maintain, merge, normalize, reports
 
 AS_OF = "2024-06-01"
 TODAY = datetime.date(2024, 6, 1)
@@ -236,3 +236,50 @@ def test_update_and_delete(spark):
     assert rows(done.tables["stock"], "item_id") == [(2,)]
     assert rows(done.tables["item_authors"], "item_id") == [(3,)]
     assert rows(done.blocked, "item_id") == [(2,)]
+
+
+def test_delete_through_the_graph(spark):
+    """Cascades are followed from table to table; what stays behind blocks, what goes along does not."""
+    one = lambda schema, *rows: spark.createDataFrame(rows, schema)
+    tables = {
+        "a": one("a int", (1,), (2,), (3,), (4,), (5,)),
+        "b": one("b int, a int", (10, 1), (20, 2), (21, 2), (30, 3), (40, 4)),
+        "c": one("b int, n int", (10, 0), (20, 0), (None, 0)),
+        "d": one("d int, b int, a int", (7, 21, 5), (8, 40, 4), (9, None, 5)),
+        "e": one("d int", (8,)),
+    }
+    keys = [("b", "a", "a"), ("c", "b", "b"), ("d", "b", "b"), ("d", "a", "a"), ("e", "d", "d")]
+    key_of = {"a": "a", "b": "b", "d": "d"}
+    ids = one("a int", (1,), (2,), (4,), (5,), (9,), (1,))
+    # d goes with its a, but not with its b: 7 blocks 2 (by way of 21), 8 goes along with 4 and blocks nothing itself.
+    done = maintain.delete_rows("a", ids, tables, keys, {("b", "a"), ("c", "b"), ("d", "a"), ("e", "d")}, key_of)
+    assert rows(done.blocked, "a", "table", "column", "rows") == [(2, "d", "b", 1)]
+    assert rows(done.tables["a"], "a") == [(2,), (3,)] and rows(done.tables["b"], "b") == [(20,), (21,), (30,)]
+    assert sorted(r.b or 0 for r in done.tables["c"].collect()) == [0, 20]
+    assert done.tables["d"].collect() == [] and done.tables["e"].collect() == []
+    # e forbids: 4 cannot go, as 8 would.
+    done = maintain.delete_rows("a", ids, tables, keys, {("b", "a"), ("c", "b"), ("d", "a")}, key_of)
+    assert rows(done.blocked, "a", "table", "column", "rows") == [(2, "d", "b", 1), (4, "e", "d", 1)]
+    assert rows(done.tables["a"], "a") == [(2,), (3,), (4,)] and rows(done.tables["d"], "d") == [(8,)]
+    with pytest.raises(ValueError, match="circle"):
+        maintain.delete_rows("a", ids, tables, [("b", "a", "a"), ("a", "b", "b")], {("b", "a"), ("a", "b")}, key_of)
+
+
+def test_merge_into_existing_tables(spark):
+    """Two batches give what one load of both gives, with the ids of the first kept."""
+    schema = "ordinal bigint, title string, author string, publisher string, category_and_description string, published string"
+    batch = lambda *r: spark.createDataFrame([(i, *x) for i, x in r], schema)
+    one = [(1, ("A", "ana", "p", "novela|vieja", "2001-01-01")), (2, ("B", "luis", "q", "poesia|larga", None))]
+    two = [
+        (1, ("B", "eva", "p", "novela", "1999-05-05")), (2, ("C", "ana", "r", "ensayo|x", None)), (3, ("A", "ana", "p", "ensayo", None)),
+        (4, (None, "nadie", "s", "otra|y", None)),
+    ]
+    first = normalize.Normalizer({"catalog": batch(*one)}, AS_OF)
+    rest = normalize.accepted(normalize.clean_catalog(batch(*two), AS_OF))
+    merged = merge.merge_catalog({n: first[n] for n in merge.CATALOG_TABLES}, rest)
+    whole = normalize.Normalizer({"catalog": batch(*one, *[(i + 10, x) for i, x in two])}, AS_OF)
+    for name in merge.CATALOG_TABLES:
+        assert sorted(map(tuple, merged[name].collect()), key=repr) == sorted(map(tuple, whole[name].select(merged[name].columns).collect()), key=repr), name
+    assert {r.title: r.published for r in merged["items"].collect()} == {"A": None, "B": datetime.date(1999, 5, 5), "C": None}
+    again = merge.merge_catalog(merged, rest)
+    assert all(again[n].exceptAll(merged[n]).isEmpty() and again[n].count() == merged[n].count() for n in merge.CATALOG_TABLES)

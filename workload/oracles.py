@@ -439,23 +439,32 @@ ORACLES["normalize_counters"] = over(
     "UNION ALL SELECT 'loans', count(*) FROM loans UNION ALL SELECT 'inventory', count(*) FROM stock2 "
     "UNION ALL SELECT 'reviews', count(*) FROM reviews1",
 )
+_STOCKED = "(SELECT b.branch_id, i.item_id, s.quantity FROM stock1 s LEFT JOIN items i ON i.title = s.title LEFT JOIN branches b ON b.name = s.branch)"
+_REVIEWED = "(SELECT v.user_id, i.item_id, v.rating, v.comment FROM reviews0 v LEFT JOIN items i ON i.title = v.title)"
+#: Source, and the condition under which a row fails each check.
+_CHECKS = {
+    "items": ("judged", {"title_present": "title IS NULL", "title_length": "length(title) > 255", "published_not_future": f"published > {DAY}"}),
+    "users": ("loans1", {
+        "name_present": "name IS NULL", "email_present": "email IS NULL", "name_length": "length(name) > 180",
+        "email_length": "length(email) > 255", "email_format": f"NOT {storable('email')}",
+    }),
+    "loans": ("loans", {
+        **{f"{c}_present": f"{c} IS NULL" for c in ("user_id", "item_id", "checkout", "status")}, "status_length": "length(status) > 20",
+        "status_domain": "status NOT IN ('ACTIVO', 'DEVUELTO', 'VENCIDO')", "returned_after_checkout": "returned < checkout",
+    }),
+    "stock": (_STOCKED, {**{f"{c}_present": f"{c} IS NULL" for c in ("branch_id", "item_id", "quantity")}, "quantity_positive": "quantity < 0"}),
+    "reviews": (_REVIEWED, {
+        **{f"{c}_present": f"{c} IS NULL" for c in ("user_id", "item_id", "rating")}, "comment_length": "length(comment) > 1000",
+        "rating_range": "rating NOT BETWEEN 1 AND 5",
+    }),
+}
 ORACLES["constraint_violations"] = over(
     ALL,
-    f"""
-SELECT 'items' AS "table", 3 AS checks,
-  CAST(sum(CAST(title IS NULL AS INT) + CAST(length(title) > 255 AS INT) + CAST(coalesce(published > {DAY}, false) AS INT)) AS BIGINT) AS rows FROM judged
-UNION ALL SELECT 'users', 5, CAST(sum(CAST(name IS NULL AS INT) + CAST(email IS NULL AS INT) + CAST(length(name) > 180 AS INT)
-  + CAST(length(email) > 255 AS INT) + CAST(NOT {storable('email')} AS INT)) AS BIGINT) FROM loans1
-UNION ALL SELECT 'loans', 7, CAST(sum(CAST(user_id IS NULL OR item_id IS NULL OR checkout IS NULL OR status IS NULL AS INT)
-  + CAST(length(status) > 20 AS INT) + CAST(status NOT IN ('ACTIVO', 'DEVUELTO', 'VENCIDO') AS INT)
-  + CAST(coalesce(returned < checkout, false) AS INT)) AS BIGINT) FROM loans
-UNION ALL SELECT 'stock', 4, CAST(sum(CAST(branch_id IS NULL OR item_id IS NULL OR quantity IS NULL AS INT)
-  + CAST(quantity < 0 AS INT)) AS BIGINT) FROM
-  (SELECT b.branch_id, i.item_id, s.quantity FROM stock1 s LEFT JOIN items i ON i.title = s.title LEFT JOIN branches b ON b.name = s.branch)
-UNION ALL SELECT 'reviews', 5, CAST(sum(CAST(user_id IS NULL OR item_id IS NULL OR rating IS NULL AS INT)
-  + CAST(length(comment) > 1000 AS INT) + CAST(rating NOT BETWEEN 1 AND 5 AS INT)) AS BIGINT) FROM
-  (SELECT v.user_id, i.item_id, v.rating, v.comment FROM reviews0 v LEFT JOIN items i ON i.title = v.title)
-""",
+    " UNION ALL ".join(
+        f"""SELECT '{t}' AS "table", '{check}' AS "check", (SELECT count(*) FROM {source} WHERE {fails}) AS rows"""
+        for t, (source, checks) in _CHECKS.items()
+        for check, fails in checks.items()
+    ),
 )
 
 # -- reports ------------------------------------------------------------------------------
@@ -695,6 +704,54 @@ ORACLES["export_authors"] = over(BOOKS, "SELECT * FROM authors")
 ORACLES["export_stock"] = over(f"{BOOKS},{STOCK_TABLE}", "SELECT * FROM stock")
 ORACLES["export_reviews"] = over(ALL, f"SELECT *, strftime({DAY}, '%d/%m/%Y %H:%M:%S') AS fecha_resena FROM reviews")
 ORACLES["document_sink"] = ORACLES["user_documents"]
+
+
+def _cells(columns: list[str]) -> str:
+    return "concat_ws(' | ', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns) + ")"
+
+
+_DOCUMENT_COLUMNS = {
+    "users": ("user_documents", ["email", "name", "user_id"]),
+    "books": ("catalog_documents", [
+        "authors", "book_id", "category_description", "category_name", "n_authors", "published_at", "publisher_name", "title",
+    ]),
+    "loans": ("loan_documents", ["book_id", "checkout_date", "loan_id", "return_date", "status", "user_id"]),
+    "inventory": ("stock_documents", ["book_id", "branch_id", "total_quantity"]),
+}
+ORACLES["document_sink_all"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS collection, {_cells(columns)} AS document FROM ({ORACLES[query]}) {name}" for name, (query, columns) in _DOCUMENT_COLUMNS.items()
+)
+ORACLES["rebuild_tables"] = over(
+    f"{BOOKS},{USERS},{STOCK_TABLE}",
+    "SELECT s.branch_id, s.item_id, s.quantity, i.title, i.published, u.email FROM stock s JOIN items i ON i.item_id = s.item_id "
+    "LEFT JOIN users u ON u.user_id = s.branch_id",
+)
+ORACLES["ingest_values"] = f"""
+SELECT 'catalog' AS sheet, {_cells(['title', 'author', 'category_and_description', 'publisher', 'published'])} AS cells
+FROM ({CATALOG}) r WHERE length(published) <= 50 OR published IS NULL
+UNION ALL SELECT 'stock', {_cells(['branch', 'location', 'title', 'quantity'])}
+FROM ({STOCK}) r WHERE ordinal % 10 <> 0 AND length(coalesce(branch, '')) <= 100
+"""
+_LINE = "p_partkey || ',{quote}' || p_brand || ',' || p_name || ',' || p_size"
+ORACLES["ingest_broken"] = (
+    f"SELECT 'row' AS kind, {_LINE.format(quote='')} AS line FROM part WHERE p_partkey % 7 <> 3 "
+    f"UNION ALL SELECT 'unclosed quote', {_LINE.format(quote=chr(34))} FROM part WHERE p_partkey % 7 = 3"
+)
+_CONTACTS = """(SELECT *, c_custkey AS c_id, CASE WHEN c_custkey % 5 <> 0 THEN '+34 ' || lpad(CAST(c_custkey AS VARCHAR), 6, '9') || '-' || (c_custkey % 100) END AS c_phone,
+  CASE WHEN c_custkey % 7 <> 0 THEN lower(c_name) || '@mail.com' END AS c_email, 'C' || c_custkey AS c_code
+  FROM (SELECT c_custkey, c_name FROM customer))"""
+# Walks a number from its end: the last four digits stay, the others become stars.
+_DIGITS = (
+    "array_to_string(list_transform(range(1, length(c_phone) + 1), lambda i: CASE WHEN c_phone[i] NOT BETWEEN '0' AND '9' THEN c_phone[i] "
+    "WHEN length(regexp_replace(substr(c_phone, i + 1), '[^0-9]', '', 'g')) >= 4 THEN '*' ELSE c_phone[i] END), '')"
+)
+ORACLES["mask_policy"] = (
+    "SELECT sha256(CAST(c_custkey AS VARCHAR)) AS c_custkey, substr(c_name, 1, 2) || repeat('*', length(c_name) - 2) AS c_name, c_id, "
+    f"{_DIGITS} AS c_phone, CASE WHEN c_email IS NOT NULL THEN {mask('c_email')} END AS c_email, c_code FROM {_CONTACTS}"
+)
+ORACLES["mask_policy_by_name"] = " UNION ALL ".join(
+    f"""SELECT 'customer' AS "table", '{c}' AS "column", (SELECT count({c}) FROM {_CONTACTS}) AS masked""" for c in ("c_phone", "c_email", "c_code")
+)
 ORACLES["ingest_files"] = f"""
 SELECT 'catalog' AS sheet, (SELECT count(*) FROM ({CATALOG}) r WHERE length(published) <= 50 OR published IS NULL) AS rows
 UNION ALL SELECT 'stock', (SELECT count(*) FROM ({STOCK}) r WHERE ordinal % 10 <> 0 AND length(coalesce(branch, '')) <= 100)
@@ -799,6 +856,23 @@ remaining AS (
 SELECT t AS "table", count(*) AS rows, CAST(coalesce(sum(id), 0) AS BIGINT) AS id_sum FROM remaining GROUP BY t
 """
 
+ORACLES["delete_by_graph"] = """
+WITH l AS (SELECT l_orderkey * 10 + l_linenumber AS line_id, min(l_partkey) AS part_id, max(l_returnflag) AS flag, max(l_quantity) AS q FROM lineitem GROUP BY 1),
+parts AS (SELECT p_partkey AS part_id, p_size FROM part),
+claims AS (SELECT * FROM l WHERE flag = 'A' AND q > 45),
+blocked AS (
+  SELECT 'claims.line_id' AS what, part_id AS key, count(*) AS rows FROM claims JOIN parts USING (part_id) WHERE part_id % 3 = 0 GROUP BY part_id
+  UNION ALL SELECT 'labels.part_id', part_id, count(*) FROM parts WHERE p_size > 48 AND part_id % 3 = 0 GROUP BY part_id),
+gone AS (SELECT part_id FROM parts WHERE part_id % 3 = 0 AND part_id NOT IN (SELECT key FROM blocked)),
+kept AS (SELECT * FROM l WHERE part_id NOT IN (SELECT part_id FROM gone))
+SELECT * FROM blocked
+UNION ALL SELECT 'parts', part_id, count(*) FROM parts WHERE part_id NOT IN (SELECT part_id FROM gone) GROUP BY part_id
+UNION ALL SELECT 'lines', line_id, count(*) FROM kept GROUP BY line_id
+UNION ALL SELECT 'returns', line_id, count(*) FROM kept WHERE flag = 'R' GROUP BY line_id
+UNION ALL SELECT 'claims', line_id, count(*) FROM claims GROUP BY line_id
+UNION ALL SELECT 'labels', part_id, count(*) FROM parts WHERE p_size > 48 AND part_id NOT IN (SELECT part_id FROM gone) GROUP BY part_id
+"""
+
 # -- generator --------------------------------------------------------------------------------------
 
 

@@ -24,7 +24,7 @@ from cleanroom.operators import (
 )
 from cleanroom.operators.ids import dense_ids
 from cleanroom.plans import full_run
-from cleanroom.plans.config import EXPORT_HEADERS, RULES, SCRIPT_RULES
+from cleanroom.plans.config import EXPORT_HEADERS, RAW_COLUMNS, RULES, SCRIPT_RULES
 from cleanroom.session import checkpoint_root, configure, settle
 from cleanroom.sources import generate, ingest, sinks
 from workload.raw_views import AS_OF, raw, raw_tables, table
@@ -253,6 +253,32 @@ def mask_documents(spark, sf_dir):
     )
 
 
+SENSITIVE = {"customer": {"c_name": "id", "c_phone": "phone", "c_email": "email", "c_custkey": "hash"}}
+
+
+@query
+def mask_policy(spark, sf_dir):
+    """Customers under a policy that says which columns are sensitive."""
+    return masking.apply_policy(_contacts(spark, sf_dir), "customer", SENSITIVE)
+
+
+@query
+def mask_policy_by_name(spark, sf_dir):
+    """How many values a policy masks that lists columns only: their names tell the kind."""
+    listed = {"customer": ["c_phone", "c_email", "c_code", "c_id", "c_name"]}
+    return masking.masked_counts(_contacts(spark, sf_dir), "customer", listed)
+
+
+def _contacts(spark, sf_dir) -> DataFrame:
+    key = F.col("c_custkey")
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", key.alias("c_id"),
+        F.when(key % 5 != 0, F.concat(F.lit("+34 "), F.lpad(key.cast("string"), 6, "9"), F.lit("-"), (key % 100).cast("string"))).alias("c_phone"),
+        F.when(key % 7 != 0, F.concat(F.lower("c_name"), F.lit("@mail.com"))).alias("c_email"),
+        F.concat(F.lit("C"), key.cast("string")).alias("c_code"),
+    )
+
+
 @query
 def explode_borrowed(spark, sf_dir):
     loans = raw(spark, sf_dir, "loans").select("ordinal", "borrowed")
@@ -398,9 +424,7 @@ def constraint_violations(spark, sf_dir):
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.groupBy("table").agg(
-        F.count("*").alias("checks"), F.sum("rows").cast("bigint").alias("rows")
-    )
+    return out
 
 
 # -- reports ---------------------------------------------------------------------
@@ -511,7 +535,10 @@ def order_audit(spark, sf_dir):
 
 @query
 def catalog_documents(spark, sf_dir):
-    docs = documents.documents("books", _normalized(spark, sf_dir))
+    return _flat_books(documents.documents("books", _normalized(spark, sf_dir)))
+
+
+def _flat_books(docs: DataFrame) -> DataFrame:
     return docs.select(
         "book_id", "title", "published_at",
         F.col("category.name").alias("category_name"),
@@ -578,12 +605,81 @@ def document_sink(spark, sf_dir):
     folder = _folder(spark, "documents")
     for _ in range(2):
         sinks.write_documents(docs, folder)
-    return spark.read.schema(docs["users"].schema).json(f"{folder}/users")
+    return sinks.read_documents(spark, folder, "users", docs["users"].schema)
+
+
+@query
+def document_sink_all(spark, sf_dir):
+    """All four collections: written, replaced and read back; an emptied collection is gone."""
+    t = _normalized(spark, sf_dir)
+    docs = {name: settle(df, name) for name, df in documents.all_documents({n: t[n] for n in normalize.TABLES}).items()}
+    folder = _folder(spark, "collections")
+    sinks.write_documents({name: df.limit(3) for name, df in docs.items()}, folder)
+    sinks.write_documents(docs | {"gone": docs["users"]}, folder)
+    sinks.write_documents({"gone": docs["users"].limit(0)}, folder)
+    read = {name: sinks.read_documents(spark, folder, name, docs.get(name, docs["users"]).schema) for name in (*docs, "gone")}
+    out = None
+    for name, df in read.items():
+        flat = _flat_books(df) if name == "books" else df
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in sorted(flat.columns)]
+        part = flat.select(F.lit(name).alias("collection"), F.concat_ws(SEP, *cells).alias("document"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def rebuild_tables(spark, sf_dir):
+    """Typed tables written, built again over themselves and read back."""
+    t = _normalized(spark, sf_dir)
+    folder = _folder(spark, "tables")
+    tables = {name: t[name] for name in ("items", "users", "stock")}
+    sinks.write_tables({name: df.limit(2) for name, df in tables.items()}, folder)
+    sinks.write_tables(tables, folder)
+    items, users, stock = (spark.read.schema(df.schema).parquet(f"{folder}/{name}") for name, df in tables.items())
+    named = stock.join(items, "item_id").select("branch_id", "item_id", "quantity", "title", "published")
+    return named.join(users.select(F.col("user_id").alias("branch_id"), "email"), "branch_id", "left")
 
 
 @query
 def ingest_files(spark, sf_dir):
     """Sheets written as CSV and read back: blank rows are skipped, an unmapped sheet counts 0."""
+    _, counts = _sheets_read_back(spark, sf_dir)
+    out = None
+    for name, df in counts.items():
+        part = df.select(F.lit(name).alias("sheet"), "rows")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def ingest_values(spark, sf_dir):
+    """The values of those sheets, as they were read back."""
+    tables, _ = _sheets_read_back(spark, sf_dir)
+    out = None
+    for name in ("catalog", "stock"):
+        columns = [c for c, _ in RAW_COLUMNS[name]]
+        cells = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns]
+        part = tables[name].select(F.lit(name).alias("sheet"), F.concat_ws(SEP, *cells).alias("cells"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query
+def ingest_broken(spark, sf_dir):
+    """Lines of a CSV file, of which every seventh has a quote that stays open: rows and rejects."""
+    folder = _folder(spark, "broken")
+    open_quote = F.when(F.col("p_partkey") % 7 == 3, F.lit('"')).otherwise(F.lit(""))
+    cells = F.concat_ws(",", F.col("p_partkey").cast("string"), F.concat(open_quote, F.col("p_brand")), "p_name", F.col("p_size").cast("string"))
+    lines = table(spark, sf_dir, "part").select(cells.alias("value"))
+    lines.write.option("header", False).text(folder)
+    names = [c for c, _ in RAW_COLUMNS["stock"]]
+    read = ingest.read_sheet(spark, folder, header="false").toDF("ordinal", *names, ingest.BROKEN)
+    loaded = ingest.load_sheet(read, "stock")
+    good = loaded.rows.select(F.lit("row").alias("kind"), F.concat_ws(",", *names).alias("line"))
+    return good.unionByName(loaded.rejects.select(F.col("reason").alias("kind"), F.col("row").alias("line")))
+
+
+def _sheets_read_back(spark, sf_dir):
     folder = _folder(spark, "sheets")
     blank = F.col("ordinal") % 10 == 0
     sheets = {
@@ -597,12 +693,8 @@ def ingest_files(spark, sf_dir):
         writer = df.write.option("header", True).option("escape", '"').option("nullValue", "\\N").option("emptyValue", '""')
         writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{name}")
     read = {name: ingest.read_sheet(spark, f"{folder}/{name}", nullValue="\\N") for name in sheets}
-    _, _, counts = ingest.load_sheets(read)
-    out = None
-    for name, df in counts.items():
-        part = df.select(F.lit(name).alias("sheet"), "rows")
-        out = part if out is None else out.unionByName(part)
-    return out
+    tables, _, counts = ingest.load_sheets(read)
+    return tables, counts
 
 
 @query
@@ -829,6 +921,30 @@ def item_delete(spark, sf_dir):
     return out
 
 
+@query
+def delete_by_graph(spark, sf_dir):
+    """Delete every third part through a declared graph: lines go with their part, returns go with
+    their line, and a part with a claim against one of its lines, or with a label, stays."""
+    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    lines = table(spark, sf_dir, "lineitem").groupBy(line.alias("line_id")).agg(
+        F.min("l_partkey").alias("part_id"), F.max("l_returnflag").alias("flag"), F.max("l_quantity").alias("quantity")
+    )
+    tables = {
+        "parts": table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part_id"), "p_name"),
+        "lines": lines.select("line_id", "part_id"),
+        "returns": lines.where("flag = 'R'").select("line_id", "quantity"),
+        "claims": lines.where("flag = 'A' and quantity > 45").select("line_id", "quantity"),
+        "labels": table(spark, sf_dir, "part").where("p_size > 48").select(F.col("p_partkey").alias("part_id"), "p_size"),
+    }
+    keys = [("lines", "part_id", "parts"), ("returns", "line_id", "lines"), ("claims", "line_id", "lines"), ("labels", "part_id", "parts")]
+    wanted = tables["parts"].where("part_id % 3 = 0").select("part_id")
+    done = maintain.delete_rows("parts", wanted, tables, keys, {("lines", "part_id"), ("returns", "line_id")}, {"parts": "part_id", "lines": "line_id"})
+    out = done.blocked.select(F.concat_ws(".", "table", "column").alias("what"), F.col("part_id").alias("key"), "rows")
+    for name, key in (("parts", "part_id"), ("lines", "line_id"), ("returns", "line_id"), ("claims", "line_id"), ("labels", "part_id")):
+        out = out.union(done.tables[name].groupBy(key).agg(F.count("*").alias("rows")).select(F.lit(name).alias("what"), F.col(key).alias("key"), "rows"))
+    return out
+
+
 # -- generator ---------------------------------------------------------------------------
 
 
