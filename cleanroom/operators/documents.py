@@ -61,6 +61,20 @@ def documents(name: str, tables: dict[str, DataFrame], mapping: dict | None = No
     return base.select(*out)
 
 
+def repeated_keys(tables: dict[str, DataFrame], mapping: dict | None = None) -> DataFrame | None:
+    """``(collection, key, rows)``: values of a collection's primary key that more than one document would have.
+
+    None if no collection declares a key.
+    """
+    out = None
+    for name, spec in (mapping or MAPPING).items():
+        if key := spec.get("primary_key"):
+            found = tables[spec["source"]].groupBy(F.col(key).cast("string").alias("key")).agg(F.count("*").alias("rows")).filter("rows > 1")
+            part = found.select(F.lit(name).alias("collection"), "key", "rows")
+            out = part if out is None else out.union(part)
+    return out
+
+
 def all_documents(tables: dict[str, DataFrame], mapping: dict | None = None) -> dict[str, DataFrame]:
     spec = mapping or MAPPING
     return {name: documents(name, tables, spec) for name in spec}

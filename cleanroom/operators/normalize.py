@@ -211,12 +211,15 @@ def storable_stock(stock_rows: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def build_stock(stock_rows: DataFrame, branches: DataFrame, items: DataFrame) -> DataFrame:
+    """Last quantity of each (branch, item), and how many rows were written to it (``attempts``)."""
     names = branches.select("branch_id", F.col("name").alias("branch"))
     rows = storable_stock(stock_rows, items).select(
         "branch", "item_id", "ordinal", F.col("quantity").cast("int").alias("quantity")
     )
-    latest = rows.groupBy("branch", "item_id").agg(F.max_by("quantity", "ordinal").alias("quantity"))
-    return latest.join(names, "branch").select("branch_id", "item_id", "quantity")
+    latest = rows.groupBy("branch", "item_id").agg(
+        F.max_by("quantity", "ordinal").alias("quantity"), F.count("*").alias("attempts")
+    )
+    return latest.join(names, "branch").select("branch_id", "item_id", "quantity", "attempts")
 
 
 # -- reviews -------------------------------------------------------------------
@@ -247,15 +250,16 @@ def storable_reviews(review_rows: DataFrame, users: DataFrame, items: DataFrame)
 
 
 def build_reviews(review_rows: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """First storable review of each (user, item)."""
+    """First storable review of each (user, item), and how many there were (``attempts``)."""
     return (
         storable_reviews(review_rows, users, items)
         .groupBy("user_id", "item_id")
         .agg(
             F.min_by(F.struct("comment", "rating"), "ordinal").alias("first"),
             F.min("ordinal").alias("ordinal"),
+            F.count("*").alias("attempts"),
         )
-        .select("user_id", "item_id", "first.*", "ordinal")
+        .select("user_id", "item_id", "first.*", "ordinal", "attempts")
     )
 
 
@@ -373,32 +377,41 @@ class Normalizer:
         )
 
     @cached_property
-    def stock(self) -> DataFrame:
+    def unique_stock(self) -> DataFrame:
         return self.keep(build_stock(self.stock_rows, self.branches, self.titles), "stock")
 
+    @cached_property
+    def stock(self) -> DataFrame:
+        return self.unique_stock.drop("attempts")
+
     @cached_property
     def review_rows(self) -> DataFrame:
         return clean_reviews(self.raw["reviews"])
 
+    @cached_property
+    def unique_reviews(self) -> DataFrame:
+        return self.keep(build_reviews(self.review_rows, self.users, self.titles), "reviews")
+
     @cached_property
     def reviews(self) -> DataFrame:
-        first = self.keep(build_reviews(self.review_rows, self.users, self.titles), "reviews")
-        return dense_ids(first, "review_id").select(
+        return dense_ids(self.unique_reviews, "review_id").select(
             "review_id", "user_id", "item_id", "comment", "rating",
             day(self.as_of).cast("timestamp").alias("created"),
         )
 
     def counters(self) -> DataFrame:
-        """``(entity, rows)``: accepted attempts, counted before upserts collapse them."""
+        """``(entity, rows)``: accepted attempts.
+
+        They are counted in the aggregates that collapse them, so this reads one narrow
+        column of tables that are there anyway; raw tables are scanned and cleaned once.
+        """
+        one = F.count(F.lit(1))
         found = {
-            "books": self.catalog_rows,
-            "users": self.bound_names,
-            "loans": self.unique_loans,
-            "inventory": storable_stock(self.stock_rows, self.titles),
-            "reviews": storable_reviews(self.review_rows, self.users, self.titles),
+            "books": self.catalog_cleaned.agg(F.count_if(F.col("reject_reason").isNull()).alias("rows")),
+            "users": self.bound_names.agg(one.alias("rows")),
+            "loans": self.unique_loans.agg(one.alias("rows")),
+            "inventory": self.unique_stock.agg(F.coalesce(F.sum("attempts"), F.lit(0)).alias("rows")),
+            "reviews": self.unique_reviews.agg(F.coalesce(F.sum("attempts"), F.lit(0)).alias("rows")),
         }
-        parts = [
-            df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("entity"), "rows")
-            for name, df in found.items()
-        ]
+        parts = [df.select(F.lit(name).alias("entity"), F.col("rows").cast("bigint").alias("rows")) for name, df in found.items()]
         return reduce(DataFrame.unionByName, parts)

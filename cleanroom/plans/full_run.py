@@ -53,13 +53,19 @@ def run(
 
 
 def write(result: Run, target: str) -> dict[str, dict[str, int]]:
-    """Write the tables, then from these the masked export and the documents, below ``target``."""
+    """Write the tables, then from these the masked export and the documents, below ``target``.
+
+    A collection whose declared key repeats raises before any document is written.
+    """
     base = target.rstrip("/")
     sinks.write_tables(result.tables, f"{base}/tables")
     spark = result.audit.sparkSession
     written = {
         name: spark.read.schema(df.schema).parquet(f"{base}/tables/{name}") for name, df in result.tables.items()
     }
+    repeated = documents.repeated_keys(written, result.mapping)
+    if repeated is not None and (bad := repeated.first()):
+        raise ValueError(f"{bad.collection} would hold {bad.rows} documents with the key {bad.key}")
     return {
         "export": sinks.export_tables(written, f"{base}/export"),
         "documents": sinks.write_documents(documents.all_documents(written, result.mapping), f"{base}/documents"),

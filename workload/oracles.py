@@ -721,6 +721,18 @@ _DOCUMENT_COLUMNS = {
 ORACLES["document_sink_all"] = " UNION ALL ".join(
     f"SELECT '{name}' AS collection, {_cells(columns)} AS document FROM ({ORACLES[query]}) {name}" for name, (query, columns) in _DOCUMENT_COLUMNS.items()
 )
+ORACLES["document_keys"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS collection, CAST({key} AS VARCHAR) AS key, count(*) AS rows FROM {source} GROUP BY {key} HAVING count(*) > 1"
+    for name, source, key in (("orders", "orders", "o_orderkey"), ("lines", "lineitem", "l_orderkey"), ("talks", "conversations", "conv_id"))
+)
+ORACLES["broken_keys"] = """
+SELECT * FROM (
+  SELECT 'loans' AS child, 'user_id' AS key, 'users' AS parent, (SELECT count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)) AS orphans
+  UNION ALL SELECT 'loans', 'item_id', 'items', 0
+  UNION ALL SELECT 'stock', 'branch_id', 'branches', (SELECT count(*) FROM lineitem WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier))
+  UNION ALL SELECT 'stock', 'item_id', 'items', (SELECT count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_size > 3)))
+WHERE orphans > 0
+"""
 ORACLES["rebuild_tables"] = over(
     f"{BOOKS},{USERS},{STOCK_TABLE}",
     "SELECT s.branch_id, s.item_id, s.quantity, i.title, i.published, u.email FROM stock s JOIN items i ON i.item_id = s.item_id "

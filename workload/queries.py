@@ -627,6 +627,31 @@ def document_sink_all(spark, sf_dir):
     return out
 
 
+@query
+def document_keys(spark, sf_dir):
+    """Keys of collections that more than one document would have."""
+    tables = {n: table(spark, sf_dir, n) for n in ("orders", "lineitem", "conversations")}
+    mapping = {
+        "orders": {"source": "orders", "primary_key": "o_orderkey"}, "lines": {"source": "lineitem", "primary_key": "l_orderkey"},
+        "talks": {"source": "conversations", "primary_key": "conv_id"}, "turns": {"source": "conversations"},
+    }
+    return documents.repeated_keys(tables, mapping)
+
+
+@query
+def broken_keys(spark, sf_dir):
+    """Foreign keys of raw loans and stock, by their titles' ids, that point nowhere; whole ones are not listed."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("item_id"), F.col("l_suppkey").alias("branch_id"))
+    tables = {
+        "items": table(spark, sf_dir, "part").where("p_size > 3").select(F.col("p_partkey").alias("item_id")),
+        "branches": table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("branch_id")),
+        "users": table(spark, sf_dir, "customer").where("c_acctbal > 0").select(F.col("c_custkey").alias("user_id")),
+        "stock": lines,
+        "loans": table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("user_id"), F.lit(None).cast("bigint").alias("item_id")),
+    }
+    return constraints.broken_foreign_keys(tables)
+
+
 @query
 def rebuild_tables(spark, sf_dir):
     """Typed tables written, built again over themselves and read back."""
