@@ -163,7 +163,11 @@ def explode_borrowed(loans: DataFrame, column: str = "borrowed") -> DataFrame:
     )
 
 
-def build_loans(loans: DataFrame, bound: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+def plain_join(rows: DataFrame, unique: DataFrame, key: str) -> DataFrame:
+    return rows.join(unique, key)
+
+
+def build_loans(loans: DataFrame, bound: DataFrame, users: DataFrame, items: DataFrame, join=plain_join) -> DataFrame:
     """Loans of known titles by bound users, one per (user, item, checkout, status).
 
     ``(ordinal, position)`` is where each of them first appears.
@@ -172,12 +176,8 @@ def build_loans(loans: DataFrame, bound: DataFrame, users: DataFrame, items: Dat
         "name_key", "user_id", F.col("ordinal").alias("bound_at")
     )
     needed = evaluated_once(loans.select("ordinal", "name_key", "borrowed", "checkout", "status"))
-    rows = (
-        explode_borrowed(needed)
-        .join(items.select("item_id", "title"), "title")
-        .join(people, "name_key")
-        .filter(F.col("ordinal") >= F.col("bound_at"))
-    )
+    titled = join(explode_borrowed(needed), items.select("item_id", "title"), "title")
+    rows = join(titled, people, "name_key").filter(F.col("ordinal") >= F.col("bound_at"))
     place = F.min(F.struct("ordinal", "position")).alias("place")
     unique = rows.groupBy("user_id", "item_id", "checkout", "status").agg(place)
     unique = unique.select("user_id", "item_id", "checkout", "status", "place.*")
@@ -203,17 +203,15 @@ def clean_stock(raw: DataFrame) -> DataFrame:
     )
 
 
-def storable_stock(stock_rows: DataFrame, items: DataFrame) -> DataFrame:
+def storable_stock(stock_rows: DataFrame, items: DataFrame, join=plain_join) -> DataFrame:
     """Rows that reach the stock table: known title, quantity within an INT."""
-    return stock_rows.filter(fits_int(F.col("quantity"))).join(
-        items.select("item_id", "title"), "title"
-    )
+    return join(stock_rows.filter(fits_int(F.col("quantity"))), items.select("item_id", "title"), "title")
 
 
-def build_stock(stock_rows: DataFrame, branches: DataFrame, items: DataFrame) -> DataFrame:
+def build_stock(stock_rows: DataFrame, branches: DataFrame, items: DataFrame, join=plain_join) -> DataFrame:
     """Last quantity of each (branch, item), and how many rows were written to it (``attempts``)."""
     names = branches.select("branch_id", F.col("name").alias("branch"))
-    rows = storable_stock(stock_rows, items).select(
+    rows = storable_stock(stock_rows, items, join).select(
         "branch", "item_id", "ordinal", F.col("quantity").cast("int").alias("quantity")
     )
     latest = rows.groupBy("branch", "item_id").agg(
@@ -236,23 +234,23 @@ def clean_reviews(raw: DataFrame) -> DataFrame:
     return evaluated_once(cleaned)
 
 
-def storable_reviews(review_rows: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+def storable_reviews(review_rows: DataFrame, users: DataFrame, items: DataFrame, join=plain_join) -> DataFrame:
     """Reviews that reach the table: known title, existing position, short comment.
 
     A reviewer is named by position; user ids are dense, so the id is the position.
     """
+    short = review_rows.filter(fits(F.col("comment"), MAX_LENGTH["reviews"]["comment"]))
     return (
-        review_rows.filter(fits(F.col("comment"), MAX_LENGTH["reviews"]["comment"]))
-        .join(items.select("item_id", "title"), "title")
+        join(short, items.select("item_id", "title"), "title")
         .join(users.select(F.col("user_id").alias("position")), "position", "left_semi")
         .withColumnRenamed("position", "user_id")
     )
 
 
-def build_reviews(review_rows: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
+def build_reviews(review_rows: DataFrame, users: DataFrame, items: DataFrame, join=plain_join) -> DataFrame:
     """First storable review of each (user, item), and how many there were (``attempts``)."""
     return (
-        storable_reviews(review_rows, users, items)
+        storable_reviews(review_rows, users, items, join)
         .groupBy("user_id", "item_id")
         .agg(
             F.min_by(F.struct("comment", "rating"), "ordinal").alias("first"),
@@ -277,11 +275,12 @@ class Normalizer:
     ``raw`` holds ``catalog``, ``loans``, ``stock`` and ``reviews``.  ``keep(df,
     label)`` materializes what several tables read: by default a table in the
     checkpoint folder, so that cleaning runs once and a lost executor costs a
-    re-read.
+    re-read.  ``join`` looks titles and names up; ``skew.spread_join`` is for raw tables in
+    which one of them holds a large part of all rows.
     """
 
-    def __init__(self, raw: dict[str, DataFrame], as_of, keep=settle):
-        self.raw, self.as_of, self.keep = raw, as_of, keep
+    def __init__(self, raw: dict[str, DataFrame], as_of, keep=settle, join=plain_join):
+        self.raw, self.as_of, self.keep, self.join = raw, as_of, keep, join
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in TABLES:
@@ -356,7 +355,7 @@ class Normalizer:
 
     @cached_property
     def unique_loans(self) -> DataFrame:
-        built = build_loans(self.loan_rows, self.bound_names, self.users, self.titles)
+        built = build_loans(self.loan_rows, self.bound_names, self.users, self.titles, self.join)
         return self.keep(built, "loans")
 
     @cached_property
@@ -378,7 +377,7 @@ class Normalizer:
 
     @cached_property
     def unique_stock(self) -> DataFrame:
-        return self.keep(build_stock(self.stock_rows, self.branches, self.titles), "stock")
+        return self.keep(build_stock(self.stock_rows, self.branches, self.titles, self.join), "stock")
 
     @cached_property
     def stock(self) -> DataFrame:
@@ -390,7 +389,7 @@ class Normalizer:
 
     @cached_property
     def unique_reviews(self) -> DataFrame:
-        return self.keep(build_reviews(self.review_rows, self.users, self.titles), "reviews")
+        return self.keep(build_reviews(self.review_rows, self.users, self.titles, self.join), "reviews")
 
     @cached_property
     def reviews(self) -> DataFrame:

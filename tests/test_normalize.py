@@ -5,7 +5,7 @@ import random
 
 import pytest
 
-from cleanroom.operators import constraints, documents, maintain, merge, normalize, reports
+from cleanroom.operators import constraints, documents, maintain, merge, normalize, reports, skew
 
 AS_OF = "2024-06-01"
 TODAY = datetime.date(2024, 6, 1)
@@ -283,3 +283,25 @@ def test_merge_into_existing_tables(spark):
     assert {r.title: r.published for r in merged["items"].collect()} == {"A": None, "B": datetime.date(1999, 5, 5), "C": None}
     again = merge.merge_catalog(merged, rest)
     assert all(again[n].exceptAll(merged[n]).isEmpty() and again[n].count() == merged[n].count() for n in merge.CATALOG_TABLES)
+
+
+def test_hot_keys_are_spread(spark):
+    """Half of all rows lend one title: the join's result is that of a plain one, and its tasks are even."""
+    from pyspark.sql import functions as F
+
+    rows = spark.range(40_000).select("id", F.when(F.col("id") % 2 == 0, F.lit("hot")).when(F.col("id") % 97 == 1, F.lit(None)).otherwise(F.concat(F.lit("t"), F.col("id") % 500)).alias("title"))
+    items = spark.createDataFrame([("hot", 1), *((f"t{i}", i) for i in range(300))], "title string, item_id int")
+    assert skew.hot_keys(rows, "title") == ["hot"] and skew.hot_keys(rows.where("id % 2 = 1"), "title") == [] and skew.hot_keys(rows.limit(0), "title") == []
+    wanted = rows.join(items, "title")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spread = skew.spread_join(rows, items, "title")
+        assert spread.columns == wanted.columns
+        assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, wanted.collect()))
+        sizes = [sorted(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()) for df in (wanted, spread)]
+        assert sizes[0][-1] > 2 * sizes[0][len(sizes[0]) // 2] and sizes[1][-1] <= 2 * sizes[1][len(sizes[1]) // 2]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -430,6 +430,15 @@ ORACLES["item_authors"] = over(BOOKS, "SELECT * FROM item_authors")
 ORACLES["dim_users"] = over(USERS, "SELECT * FROM users")
 _LENT = ",".join((BOOKS, USERS, LOAN_TABLE))
 ORACLES["fact_loans"] = over(_LENT, "SELECT * FROM loans")
+_POPULAR = f"(SELECT title FROM ({CATALOG}) r WHERE id = 1)"
+_LENT_ALIKE = _LENT.replace(
+    "SELECT ordinal, name_key, checkout, status, unnest(string_split(coalesce(borrowed, ''), ',')) AS piece,\n"
+    "    unnest(range(len(string_split(coalesce(borrowed, ''), ',')))) AS pos FROM loans1",
+    "SELECT ordinal, name_key, checkout, status, unnest(string_split(coalesce(borrowed, ''), ',')) AS piece, "
+    "unnest(range(len(string_split(coalesce(borrowed, ''), ',')))) AS pos FROM "
+    f"(SELECT * REPLACE (CASE WHEN ordinal % 3 = 0 THEN {_POPULAR} ELSE borrowed END AS borrowed) FROM loans1)",
+)
+ORACLES["fact_loans_spread"] = over(_LENT_ALIKE, "SELECT * FROM loans")
 ORACLES["dim_branches"] = over(f"{BOOKS},{STOCK_TABLE}", "SELECT * FROM branches")
 ORACLES["fact_stock"] = over(f"{BOOKS},{STOCK_TABLE}", "SELECT * FROM stock")
 ORACLES["fact_reviews"] = over(ALL, f"SELECT *, '{AS_OF} 00:00:00' AS created FROM reviews")

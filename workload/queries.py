@@ -21,6 +21,7 @@ from cleanroom.operators import (
     normalize,
     reports,
     rules,
+    skew,
 )
 from cleanroom.operators.ids import dense_ids
 from cleanroom.plans import full_run
@@ -385,6 +386,16 @@ def fact_loans(spark, sf_dir):
     return _normalized(spark, sf_dir).loans
 
 
+@query
+def fact_loans_spread(spark, sf_dir):
+    """The same loans where one in three rows lends the same title, whose rows are dealt to many tasks."""
+    raws = raw_tables(spark, sf_dir)
+    popular = raws["catalog"].where("id = 1").first().title
+    lent = F.when(F.col("ordinal") % 3 == 0, F.lit(popular)).otherwise(F.col("borrowed")).alias("borrowed")
+    raws["loans"] = raws["loans"].select(*[lent if c == "borrowed" else c for c in raws["loans"].columns])
+    return normalize.Normalizer(raws, AS_OF, join=skew.spread_join).loans
+
+
 @query
 def dim_branches(spark, sf_dir):
     return _normalized(spark, sf_dir).branches
