@@ -8,13 +8,16 @@ standard deviation of the smoothed ratios, form the content clusters.
 
 Ratios alone lose short paragraphs and take long notices, so two things the page says of
 itself come first: lines inside elements whose name, role, id or class says that they
-are not content are never taken; and if the page marks an article or main part, its
-clusters reach over all its other lines.  Without such a mark, a cluster also takes the
-lines of low ratio between two of its lines and the headings before it.
+are not content are never taken; and where the page marks articles or main parts and at least
+half of the clusters' text lies in them, the clusters choose among these regions and
+reach over all lines of each that holds one.  Otherwise (a page of plain elements, also
+beside marked teasers) a cluster takes the lines of low ratio between two of its lines
+and the headings before it.
 
 Defined cases: a null or empty page, and one without text, gives an empty text; broken
 markup is read as far as the parser goes (elements that are not closed end with what
-holds them); repeated rows give repeated results; other columns are ignored.
+holds them, end tags without a start are passed over) in time linear in its length; an
+empty table gives no rows; repeated rows give repeated results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -51,19 +54,34 @@ SPACES = re.compile(r"\s+")
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, link characters, aside, in article, heading) per block."""
+    """Collects (text, tags, link characters, aside, marked region or 0, heading) per block."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, bool, bool]] = []
-        self.open: list[tuple[str, bool, bool, bool, bool]] = []  # name, silent, aside, article, link
+        self.lines: list[tuple[str, int, int, bool, int, bool]] = []
+        self.open: list[tuple[str, bool, bool, int, bool]] = []  # name, silent, aside, marked region, link
+        #: Where open elements are, by name, those that are blocks and those that are blocks
+        #: but not headings, so that no tag looks through all that are open.
+        self.where: dict[str, list[int]] = {}
+        self.blocks: list[int] = []
+        self.holders: list[int] = []
+        self.regions = 0
         self.parts: list[str] = []
         self.tags = self.linked = 0
         self.heading = False
 
     @property
-    def state(self) -> tuple[str, bool, bool, bool, bool]:
-        return self.open[-1] if self.open else ("", False, False, False, False)
+    def state(self) -> tuple[str, bool, bool, int, bool]:
+        return self.open[-1] if self.open else ("", False, False, 0, False)
+
+    def cut(self, k: int) -> None:
+        """Close the elements from ``k`` on."""
+        for name, *_ in self.open[k:]:
+            self.where[name].pop()
+        for at in (self.blocks, self.holders):
+            while at and at[-1] >= k:
+                at.pop()
+        del self.open[k:]
 
     def end_line(self) -> None:
         text = SPACES.sub(" ", "".join(self.parts)).strip()
@@ -91,9 +109,17 @@ class Lines(HTMLParser):
         page = tag in ("html", "body") or marks_article
         # A header inside an article may hold its heading; elsewhere it is the site's.
         inner_header = tag == "header" and article
-        own = (tag in ASIDE and not inner_header) or about.get("role") in ASIDE_ROLE or (bool(ASIDE_NAME.search(named)) and not page)
+        own = (tag in ASIDE and not inner_header) or about.get("role") in ASIDE_ROLE or (bool(ASIDE_NAME.search(named)) and not page and not inner_header)
         hidden = "hidden" in about or about.get("aria-hidden") == "true" or "display:none" in (about.get("style") or "").replace(" ", "")
-        self.open.append((tag, silent or tag in SILENT or (hidden and not page), aside or own, article or marks_article, link or tag == "a"))
+        if marks_article and not article:
+            self.regions += 1
+            article = self.regions
+        self.where.setdefault(tag, []).append(len(self.open))
+        if tag in BLOCKS:
+            self.blocks.append(len(self.open))
+            if tag not in HEADINGS:
+                self.holders.append(len(self.open))
+        self.open.append((tag, silent or tag in SILENT or (hidden and not page), aside or own, article, link or tag == "a"))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -102,15 +128,13 @@ class Lines(HTMLParser):
 
     def implied_end(self, tag):
         """What an element's start ends: an open paragraph, an item of the same list, a cell of the same row."""
-        ends = CLOSES.get(tag, set()) | {"p"}
-        for k in range(len(self.open) - 1, -1, -1):
-            name = self.open[k][0]
-            if name in ends:
-                del self.open[k:]
-                if name == "p":
-                    continue
+        ends = CLOSES.get(tag, ())
+        while self.holders:
+            name = self.open[self.holders[-1]][0]
+            if name != "p" and name not in ends:
                 return
-            if name in BLOCKS and name not in HEADINGS:
+            self.cut(self.holders[-1])
+            if name != "p":
                 return
 
     def handle_endtag(self, tag):
@@ -119,13 +143,9 @@ class Lines(HTMLParser):
         if tag in BLOCKS:
             self.end_line()
         self.tags += 1
-        for k in range(len(self.open) - 1, -1, -1):
-            name = self.open[k][0]
-            if name == tag:
-                if tag not in BLOCKS and any(o[0] in BLOCKS for o in self.open[k + 1 :]):
-                    return  # an inline end tag does not close the blocks inside
-                del self.open[k:]
-                return
+        if at := self.where.get(tag):  # an inline end tag does not close the blocks inside
+            if tag in BLOCKS or not self.blocks or self.blocks[-1] < at[-1]:
+                self.cut(at[-1])
 
     def handle_data(self, data):
         _, silent, _, _, link = self.state
@@ -164,9 +184,11 @@ def content(html: str | None, sigma: float = SIGMA) -> list[str]:
     ratio = np.array([max(len(line[0]) - line[2], 0) / max(line[1], 1) for line in lines])
     smooth = smoothed(np.where(usable, ratio, 0.0), sigma)
     chosen = usable & (smooth >= smooth.std()) & (ratio > 0)
-    article = usable & np.array([line[4] for line in lines])
-    if article.any():
-        chosen = article
+    region, size = np.array([line[4] for line in lines]), np.array([len(line[0]) for line in lines])
+    marked = usable & (region > 0)
+    if marked.any() and size[chosen & marked].sum() >= size[chosen & ~marked].sum():
+        held = np.unique(region[chosen & marked])
+        chosen = marked & np.isin(region, held) if len(held) else marked
     elif chosen.any():
         at = np.flatnonzero(chosen)
         first, last = at[0], at[-1]

@@ -248,6 +248,27 @@ def test_main_text():
     assert plain_page[0] == "Title" and "Short." in plain_page and len(plain_page) == 12
 
 
+def test_clusters_choose_the_region():
+    entry = '<article><header class="entry-header"><h1>Real title</h1></header><p>Words of the article, %s.</p></article>' % ("and more of them " * 9)
+    assert tag_ratio.content(PAGE % entry)[0] == "Real title"
+    long = "".join(f"<p>{'Plain words of a page without any mark of its own. ' * 4}</p>" for _ in range(4))
+    got = tag_ratio.content(PAGE % f"<article><a href='x'>Teaser card</a></article><div><h2>Title</h2>{long}</div>")
+    assert got[0] == "Title" and len(got) == 5
+    two = f"<article><a href='x'>Teaser card</a></article><article><h2>Title</h2>{long}<p>Short.</p></article>"
+    assert tag_ratio.content(PAGE % two)[0] == "Title" and tag_ratio.content(PAGE % two)[-1] == "Short."
+
+
+def test_broken_markup_takes_linear_time(spark):
+    import time
+
+    n = 100_000
+    for page in ("<b>x</i>" * n, "<b>" * n + "<p>x</p>" * n, "<b>" + "<div>" * n + "</b>" * n, "<ul><li>" * n + "</p>" * n):
+        start = time.perf_counter()
+        tag_ratio.content(page)
+        assert time.perf_counter() - start < 30  # hours, if every tag looked through all that are open
+    assert tag_ratio.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
 def test_pages_of_all_kinds(spark):
     ready(spark)
     pages = [(1, "u", None, 1), (2, None, "", 1), (3, "u", "no markup at all", 1), (4, "u", "<p>un<closed", 1), (None, "u", "<article>x", 1), (6, "u", "<<>>&&&", 1)]
