@@ -8,14 +8,18 @@ block holds never meet a weight and are left out of the vectors.
 Documents of a task are gathered into trees.  A tree parts its documents by the nearer of
 two far ones (or in halves, where that leaves few on one side), down to small leaves, in
 the metric ``y = sqrt(w) x``: then ``score = sum sqrt(w) y`` over the item's terms, and inside a
-ball with centre c and radius r it is at most ``sum sqrt(w) c + sqrt(sum w) r``.  Search is
+ball with centre c and radius r it is at most ``sum sqrt(w) c + sqrt(sum w) r``.  Vectors of
+texts are nearly orthogonal, and most of such a radius lies along terms that an item does
+not have; so a ball also keeps its reach along each coordinate (centre plus radius there,
+the largest value), whose sum over the item's terms alone is a second bound, and the
+lower one counts.  Search is
 best-first: of the open nodes that with the highest bound comes next, a leaf's documents
 are scored in integers, and a tree is left as soon as no bound reaches the item's
 ``top``-th score so far, which goes on from tree to tree within the task.
 
 Safe rounding: ``y`` is held in 32 bits (relative error 2^-24 a coordinate) and distances
 are summed in 32 bits; radii grow by ``SLACK`` of themselves and of the longest vector,
-far more than both errors, and bounds are compared after adding a relative and an
+far more than both errors; reaches are whole numbers that 32 bits hold; and bounds are compared after adding a relative and an
 absolute slack of their own.  A node whose bound equals the ``top``-th score is visited, since it
 may hold an equal score with a smaller id.
 
@@ -131,6 +135,20 @@ class Tree:
                 todo += [(first + half, last, node), (first, first + half, node)]
         self.centres, self.radii = np.array(centres), np.array(radii)
         self.x = x[self.order]
+        self.most = np.empty((len(self.spans), x.shape[1]), np.float32)
+        for node in range(len(self.spans) - 1, -1, -1):  # children come after their parent
+            first, last = self.spans[node]
+            below = self.children[node]
+            self.most[node] = np.maximum(*(self.most[c] for c in below)) if below else self.x[first:last].max(0)
+
+    def bounds(self, asked: np.ndarray, weights: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """The highest score that a node's documents can have, by node and item.
+
+        ``asked`` has the roots of the items' weights by term and item, ``weights`` the
+        weights, ``lengths`` the roots of the weights' sums.
+        """
+        ball = self.centres @ asked + np.outer(self.radii, lengths)
+        return np.minimum(ball, self.most.astype(np.float64) @ weights) * (1 + 1e-9) + 1
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, none: np.ndarray, top: int) -> np.ndarray:
@@ -166,16 +184,17 @@ def _search(docs: DataFrame, items: list[tuple[int, list[str]]], top: int) -> Da
 
     def search(batches):
         shape = max(1, min(4096, CELLS // max(len(vocabulary), 1)))
-        lengths = [math.sqrt(float(weights[t].sum())) for t in terms]
+        lengths = np.array([math.sqrt(float(weights[t].sum())) for t in terms])
         best = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)) for _ in terms]
         asked = np.zeros((len(vocabulary), len(terms)))
         for k, own in enumerate(terms):
             asked[own, k] = roots[own]
+        heavy = np.where(asked > 0, weights[:, None], 0).astype(np.float64)
 
         def visit(x: np.ndarray, ids: np.ndarray, none: np.ndarray) -> None:
             tree = Tree(x, roots)
             ids, none = ids[tree.order], none[tree.order]
-            bounds = (tree.centres @ asked + np.outer(tree.radii, lengths)) * (1 + 1e-9) + 1
+            bounds = tree.bounds(asked, heavy, lengths)
             for k, own in enumerate(terms):
                 scores, places, missing = best[k]
                 floor = scores[-1] if len(scores) == top else 1

@@ -107,7 +107,11 @@ def test_ball_bounds_hold_and_prune():
     assert sorted(tree.order.tolist()) == list(range(480)) and (tree.x == x[tree.order]).all()
     own = np.flatnonzero(centres[3])
     scores = tree.x[:, own].astype(np.int64) @ weights[own]
-    bounds = tree.centres[:, own] @ np.sqrt(weights[own]) + tree.radii * np.sqrt(weights[own].sum())
+    heavy = np.zeros((60, 1))
+    heavy[own, 0] = weights[own]
+    ball = tree.bounds(np.sqrt(heavy), np.full_like(heavy, 1e18), np.sqrt([heavy.sum()]))[:, 0]
+    bounds = tree.bounds(np.sqrt(heavy), heavy, np.sqrt([heavy.sum()]))[:, 0]
+    assert (bounds <= ball).all()
     assert all(scores[a:b].max() <= bound for (a, b), bound in zip(tree.spans, bounds))
     leaves = [k for k, c in enumerate(tree.children) if not c]
     assert sum(bounds[k] >= np.sort(scores)[-10] for k in leaves) < len(leaves) / 2
