@@ -12,7 +12,9 @@ shards.  Here texts are routed so that equal windows meet in one shard
 (:mod:`cleanroom.llm.repeats` narrows what has to be searched: stretches that repeat in
 full under the same trigger are settled by their hashes, and windows whose core occurs
 once are left out), so each window is indexed and streamed once.  The shards' number
-grows with the windows; a window that many texts share sends one row per task.
+grows with the windows; a window that many texts share sends one row per task.  A report is
+accepted only where two hashes of the whole windows agree as well, and equal windows were
+routed by such a hash: the index confirms what hashing has brought together.
 
 Defined cases: a null text has no words; texts of fewer words than a window keep all; a
 null id is before all others and stays null; rows with equal id and text are one

@@ -3,14 +3,13 @@
 Texts are cut into phrases by rolling-hash triggers (:mod:`cleanroom.llm.repeats`): a
 trigger word begins every phrase and lies in the next one's overlap, so no phrase suffix
 longer than a window is a prefix of another.  Highly repetitive text collapses to a
-dictionary of distinct phrases and a parse, the sequence of their occurrences.  Corpus
-order comes from both: suffixes that begin in equal phrases follow the parse, that is
-(document, position), and the first occurrence of a phrase is found from its hash alone;
-suffixes that begin in different phrases follow the dictionary, whose suffixes, cut at
-the match length, are ordered by a shuffle on them.  A run of the suffix array whose
-common prefix reaches the match length is then one group, its earliest member the
-occurrence that stays.  The suffix array of the whole corpus is never laid out: only
-suffixes of phrases that share a trigger with a different phrase are listed.
+dictionary of distinct phrases and a parse, the sequence of their occurrences.  The order
+among occurrences is that of the parse: (document, position), and the first occurrence of
+a phrase is found from its hash alone.  Phrases that share a trigger with a different
+phrase are looked into: their blocks, and then their single windows, are grouped by hashes,
+and the earliest member of a group stays.  So hash grouping takes the place of the
+suffix arrays of dictionary and parse: neither array is laid out, and nothing is ordered by
+its bytes.
 
 Triggers are least hashes of a sliding span, not residues modulo a number, since residues
 leave some 100-byte windows without any trigger.
