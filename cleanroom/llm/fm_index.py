@@ -1,20 +1,19 @@
 """Substring de-duplication of words with compressed FM-indexes, one per shard.
 
-A window that also starts earlier is found by backward search: the shard's texts are
-indexed by their Burrows-Wheeler transform in a wavelet matrix of packed bits with rank
-counts, and the words of a streamed text, read from the back, narrow an interval of the
-suffix order.  The number of steps until it would be empty is the matching statistic of
-that place, cut at the window; where it reaches the window, the interval holds every
-occurrence in the shard, and all but the earliest are reported.
+Stretches of documents are streamed against an index of their shard, which holds its texts
+as a Burrows-Wheeler transform in a wavelet matrix of packed bits with rank counts.  The
+words before each end of a window, read backwards, narrow an interval of the suffix order;
+the search goes on while the interval holds an occurrence that starts earlier in the corpus
+(a range minimum over the suffix array, whose text is laid out in corpus order).  How far it
+comes is the matching statistic of that end; where it reaches the window's length, the window
+also starts earlier, and neighbouring ones are reported as one interval.
 
 A shard that each document would have to visit makes the work grow with documents times
-shards.  Here texts are routed so that equal windows meet in one shard
-(:mod:`cleanroom.llm.repeats` narrows what has to be searched: stretches that repeat in
-full under the same trigger are settled by their hashes, and windows whose core occurs
-once are left out), so each window is indexed and streamed once.  The shards' number
-grows with the windows; a window that many texts share sends one row per task.  A report is
-accepted only where two hashes of the whole windows agree as well, and equal windows were
-routed by such a hash: the index confirms what hashing has brought together.
+shards.  Here stretches are routed by their trigger (:mod:`cleanroom.llm.repeats`), so equal
+windows meet in one shard of bounded size, and what is indexed and streamed there are the
+distinct stretches whose trigger has several.  Hashes settle stretches that repeat from end
+to end and, of a trigger with more than ``repeats.CROWD`` different stretches, blocks; in all
+else the statistics decide.
 
 Defined cases: a null text has no words; texts of fewer words than a window keep all; a
 null id is before all others and stays null; rows with equal id and text are one
@@ -31,42 +30,26 @@ from pyspark.sql import functions as F
 
 from cleanroom.llm.common import text_chunks
 from cleanroom.llm.kernels import covered, per_row, rows_of, runs, words
-from cleanroom.llm.repeats import (
-    ALONE,
-    NULL_ID,
-    OPEN,
-    RANGES,
-    REPEATED,
-    chunk_ranges,
-    keyed,
-    level,
-    narrowed,
-    single,
-    with_ranges,
-    word_symbols,
-)
+from cleanroom.llm.repeats import CROWD, NULL_ID, Shard, chunk_ranges, keyed, repeated, with_ranges, word_symbols
 
 WINDOW = 20
 TRIGGER_WORDS = 8
 BLOCK = 4
-SHARD_WINDOWS = 2048
-LEAST_SHARDS = 256
-SEPARATOR, FIRST_SYMBOL = 0, 1
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling."""
+def suffix_array(text: np.ndarray, reach: int) -> np.ndarray:
+    """Suffixes in the order of their first ``reach`` symbols or more, by prefix doubling."""
     n, step = len(text), 1
     rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
     while True:
         key = rank * (n + 1)
         key[:-step] += rank[step:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         new = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
         rank = np.empty(n, np.int64)
         rank[order] = new
         step *= 2
-        if new[-1] == n - 1 or step >= n:
+        if new[-1] == n - 1 or step >= min(n, reach):
             return order
 
 
@@ -86,10 +69,10 @@ class BitVector:
 
 
 class FMIndex:
-    """Backward search over a text of symbols 0 .. ``symbols`` - 1."""
+    """Backward search over a text of symbols 0 .. ``symbols`` - 1, for patterns of up to ``reach`` symbols."""
 
-    def __init__(self, text: np.ndarray, symbols: int):
-        order = suffix_array(text)
+    def __init__(self, text: np.ndarray, symbols: int, reach: int):
+        order = suffix_array(text, reach)
         bwt = text[order - 1]  # position -1 is the last symbol: the text is read as a ring
         self.size = len(text)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=symbols))])
@@ -101,6 +84,10 @@ class FMIndex:
             bwt = np.concatenate([bwt[bits == 0], bwt[bits == 1]])
         every = np.arange(symbols)
         self.origin = self._walk(np.zeros(symbols, np.int64), every)
+        self.minima = [order.astype(np.int32)]  # of the suffix array, over 1, 2, 4, ... entries
+        while 2 ** len(self.minima) <= self.size:
+            half, width = self.minima[-1], 2 ** (len(self.minima) - 1)
+            self.minima.append(np.minimum(half[:-width], half[width:]))
 
     def _walk(self, i: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         for d, (bits, zeros) in zip(range(self.depth - 1, -1, -1), self.levels):
@@ -113,57 +100,45 @@ class FMIndex:
         base = self.first[symbol] - self.origin[symbol]
         return base + self._walk(low, symbol), base + self._walk(high, symbol)
 
-    def matches(self, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per row of ``texts``: how many symbols match from its end, and their interval."""
-        n, width = texts.shape
+    def earliest(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """The first place in the text of what ``[low, high)`` stands for; the text's end if there is none."""
+        out = np.full(len(low), self.size, np.int64)
+        width = np.frexp(np.maximum(high - low, 0).astype(np.float64))[1] - 1  # -1 if empty
+        for d in np.unique(width[width >= 0]):
+            some = np.flatnonzero(width == d)
+            out[some] = np.minimum(self.minima[d][low[some]], self.minima[d][high[some] - (1 << d)])
+        return out
+
+    def statistics(self, text: np.ndarray, begin: np.ndarray, end: np.ndarray, own: bool) -> np.ndarray:
+        """How many symbols before each ``end`` of ``text``, back to ``begin``, match the index.
+
+        With ``own`` the text is the indexed one, and a match counts if it starts earlier there.
+        """
+        n = len(end)
         low, high, length = np.zeros(n, np.int64), np.full(n, self.size, np.int64), np.zeros(n, np.int64)
-        alive = np.arange(n)
-        for k in range(width - 1, -1, -1):
-            l, h = self.extend(low[alive], high[alive], texts[alive, k])  # noqa: E741
-            on = h > l
+        alive = np.flatnonzero(end > begin)
+        while len(alive):
+            at = end[alive] - length[alive] - 1
+            l, h = self.extend(low[alive], high[alive], text[at])  # noqa: E741
+            on = self.earliest(l, h) < (at if own else self.size)
             alive = alive[on]
             low[alive], high[alive] = l[on], h[on]
             length[alive] += 1
-        return length, low, high
-
-
-def search(rows: pa.Table) -> pa.Table:
-    """Index the windows of one shard, stream them, and report all but the earliest of each interval."""
-    column = {n: rows.column(n).to_numpy() for n in ("gram", "phrase", "doc", "tag", "lo")}
-    codes = np.frombuffer(b"".join(rows.column("codes").to_pylist()), "<u4").reshape(rows.num_rows, -1)
-    alphabet, symbols = np.unique(codes, return_inverse=True)
-    symbols = symbols.reshape(codes.shape).astype(np.int64) + FIRST_SYMBOL
-    text = np.concatenate([symbols, np.full((len(symbols), 1), SEPARATOR)], axis=1).ravel()
-    length, low, _ = FMIndex(text, len(alphabet) + FIRST_SYMBOL).matches(symbols)
-    order = np.lexsort((column["lo"], column["tag"], column["doc"], low))
-    low = low[order]
-    new = np.concatenate([[True], low[1:] != low[:-1]])
-    head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-    same = lambda n: column[n][order] == column[n][head]
-    # The hashes of whole windows confirm what 32 bits of each word have found.
-    found = (length[order] == codes.shape[1]) & same("gram") & same("phrase")
-    found &= ~(same("doc") & same("tag") & same("lo"))
-    late = order[found]
-    start = pa.array(column["lo"][late].astype(np.int32))
-    return pa.table({
-        "doc": column["doc"][late], "tag": column["tag"][late], "place": start, "lo": start, "hi": start,
-        "kind": np.full(len(late), REPEATED, np.int32),
-    })
-
-
-def searched(docs: DataFrame, unclear: DataFrame, runs_: DataFrame, window: int) -> DataFrame:
-    """The windows of ``unclear`` ranges that also start earlier, by one index per shard."""
-    width = F.sum(F.col("hi") - F.col("lo") + 1)
-    upper = runs_.where(F.col("kind") == OPEN).agg(width).first()[0] or 0
-    shards = LEAST_SHARDS + upper // (8 * SHARD_WINDOWS)  # an eighth of the open windows, or less, is left by the blocks
-    rows = level(docs, unclear, word_symbols, window, single, codes=True)
-    meet = rows.where(F.col("kind").isin(OPEN, ALONE)).withColumn("shard", F.pmod("gram", F.lit(shards)))
-    # Settled windows travel with their hashes, and any shard lets them pass.
-    done = rows.where(F.col("kind") == REPEATED).select(*[x.split()[0] for x in RANGES.split(", ")])
-    return meet.groupBy("shard").applyInArrow(search, RANGES).union(done)
-
-
-def cut_repeats(docs: DataFrame, *more: str, window: int = WINDOW, trigger: int = TRIGGER_WORDS, block: int = BLOCK) -> DataFrame:
+            alive = alive[end[alive] - length[alive] > begin[alive]]
+        return length
+
+
+def intervals(shard: Shard, window: int) -> pa.Table:
+    """Index a shard, stream its stretches, and report where matching statistics reach the window."""
+    start, of = shard.places(window)
+    index = FMIndex(shard.symbols, shard.alphabet, int((shard.end - shard.begin).max()))
+    found = index.statistics(shard.symbols, shard.begin[of], start + window, own=True) >= window
+    return shard.report(start[found], of[found])
+
+
+def cut_repeats(
+    docs: DataFrame, *more: str, window: int = WINDOW, trigger: int = TRIGGER_WORDS, block: int = BLOCK, crowd: int = CROWD
+) -> DataFrame:
     """Documents without the words of ``window``-word sequences that also start earlier.
 
     Returns doc_id, kept (the remaining words, joined by one space), n_words, n_removed,
@@ -171,8 +146,8 @@ def cut_repeats(docs: DataFrame, *more: str, window: int = WINDOW, trigger: int
     named in ``more``.
     """
     source = keyed(docs, *more)
-    repeated, unclear, open_runs = narrowed(source, word_symbols, window, trigger, block)
-    joined = with_ranges(source, repeated.union(searched(source, unclear, open_runs, window)))
+    search = lambda shard: intervals(shard, window)
+    joined = with_ranges(source, repeated(source, word_symbols, window, trigger, block, search, crowd=crowd))
     where = {n: joined.columns.index(n) for n in ("doc", "text", "ranges", *more)}
     kinds = {f.name: f.dataType.simpleString() for f in joined.schema.fields}
     schema = "doc long, kept string, n_words long, n_removed long, spans array<struct<start: long, end: long>>"

@@ -3,13 +3,16 @@
 Texts are cut into phrases by rolling-hash triggers (:mod:`cleanroom.llm.repeats`): a
 trigger word begins every phrase and lies in the next one's overlap, so no phrase suffix
 longer than a window is a prefix of another.  Highly repetitive text collapses to a
-dictionary of distinct phrases and a parse, the sequence of their occurrences.  The order
-among occurrences is that of the parse: (document, position), and the first occurrence of
-a phrase is found from its hash alone.  Phrases that share a trigger with a different
-phrase are looked into: their blocks, and then their single windows, are grouped by hashes,
-and the earliest member of a group stays.  So hash grouping takes the place of the
-suffix arrays of dictionary and parse: neither array is laid out, and nothing is ordered by
-its bytes.
+dictionary of distinct phrases and a parse, the sequence of their occurrences; of equal
+phrases the first one in the parse enters the dictionary, found by hashes.
+
+Only dictionary phrases that share their trigger can have a window in common.  They are
+routed by trigger to shards of bounded size, laid out in the order of the parse, and the
+suffixes of each shard are ordered by their bytes, as far as a match is long (prefix
+doubling).  Suffixes alike so far are a run of the suffix array; the parse orders them, and
+all but the earliest of a run are removed.  So the order of the corpus' suffixes is that of
+dictionary suffixes, then of the parse.  A trigger with more than ``repeats.CROWD`` different
+phrases is first cut into blocks, which are settled by hashes.
 
 Triggers are least hashes of a sliding span, not residues modulo a number, since residues
 leave some 100-byte windows without any trigger.
@@ -29,13 +32,44 @@ from pyspark.sql import functions as F
 
 from cleanroom.llm.common import text_chunks
 from cleanroom.llm.kernels import covered, runs
-from cleanroom.llm.repeats import NULL_ID, byte_symbols, chunk_ranges, compared, keyed, narrowed, with_ranges
+from cleanroom.llm.repeats import CROWD, NULL_ID, Shard, byte_symbols, chunk_ranges, keyed, repeated, with_ranges
 
 MATCH_BYTES = 100
 TRIGGER_BYTES = 32
 BLOCK = 8
 
 
+def suffix_ranks(text: np.ndarray, reach: int) -> tuple[np.ndarray, int]:
+    """Ranks of all suffixes by their first symbols, and how many: the largest power of two up to ``reach``."""
+    rank, step, bits = text.astype(np.int64), 1, int(text.max(initial=1)).bit_length()
+    while 2 * step <= reach:
+        if 2 * bits > 62:
+            rank = np.unique(rank, return_inverse=True)[1]
+            bits = max(int(rank.max()).bit_length(), 1)
+        pair = rank << bits
+        pair[:-step] |= rank[step:]
+        rank, step, bits = pair, 2 * step, 2 * bits
+    return rank, step
+
+
+def suffix_order(text: np.ndarray, start: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """``start`` by the ``reach`` symbols there, ties by place; and where a run of equal ones begins."""
+    rank, step = suffix_ranks(text, reach)
+    head, tail = rank[start], rank[start + reach - step]
+    order = np.lexsort((start, tail, head))
+    head, tail = head[order], tail[order]
+    return start[order], np.concatenate([[True], (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])])
+
+
+def later_occurrences(shard: Shard, match: int) -> pa.Table:
+    """All but the earliest of each run of the shard's suffix array."""
+    start, of = shard.places(match)
+    place, new = suffix_order(shard.symbols, start, match)
+    late = np.zeros(len(shard.symbols), bool)
+    late[place[~new]] = True
+    return shard.report(start[late[start]], of[late[start]])
+
+
 def whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
     """``gone``, and the other bytes of characters that it cuts."""
     char = np.cumsum((data & 0xC0) != 0x80)
@@ -44,7 +78,8 @@ def whole_characters(data: np.ndarray, gone: np.ndarray) -> np.ndarray:
 
 
 def cut_repeats(
-    docs: DataFrame, *more: str, match: int = MATCH_BYTES, trigger: int = TRIGGER_BYTES, block: int = BLOCK, characters: bool = False
+    docs: DataFrame, *more: str, match: int = MATCH_BYTES, trigger: int = TRIGGER_BYTES, block: int = BLOCK,
+    characters: bool = False, crowd: int = CROWD,
 ) -> DataFrame:
     """Documents without the bytes of ``match``-byte strings that also start earlier.
 
@@ -55,9 +90,8 @@ def cut_repeats(
     of the removed runs), and the columns named in ``more``.
     """
     source = keyed(docs, *more)
-    repeated, unclear, _ = narrowed(source, byte_symbols, match, trigger, block)
-    ranges = repeated.union(compared(source, unclear, byte_symbols, match))
-    joined = with_ranges(source, ranges)
+    search = lambda shard: later_occurrences(shard, match)
+    joined = with_ranges(source, repeated(source, byte_symbols, match, trigger, block, search, raw=True, crowd=crowd))
     where = {n: joined.columns.index(n) for n in ("doc", "text", "ranges", *more)}
     schema = "doc long, kept binary, n_bytes long, n_removed long, spans array<struct<start: long, end: long>>"
     kinds = {f.name: f.dataType.simpleString() for f in joined.schema.fields}

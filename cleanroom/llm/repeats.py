@@ -11,14 +11,16 @@ phrases overlap by all but one symbol of a window.
   occurrence of each phrase is found by its hashes: each task keeps the first it sees and
   settles the others at once, so a phrase sends at most one row per task to the shuffle.
 * *Dictionary*: equal windows of different phrases share the trigger.  Only phrases whose
-  trigger has two or more different phrases are looked into; most text has none.
+  trigger has two or more different phrases are looked into; most text has none.  The first
+  occurrences of these phrases are routed by their trigger to shards of bounded size, in
+  which the operator's own structure (suffix order or index) finds the equal windows.
 
-* *Blocks*: those phrases are cut into blocks of a few windows at fixed distances from the
-  trigger.  The windows of a block have all but a few symbols in common, so blocks are
-  settled in the same way, by that core; what stays open lies at the edge of a match.
+* *Crowds*: a trigger with more than ``CROWD`` different phrases would make its shard grow
+  without bound.  Its phrases are cut into blocks of a few windows at fixed distances from
+  the trigger, and those routed by the core that a block's windows share.  Should a core be
+  crowded as well, its single windows are grouped by 64 + 64 bits of their hashes.
 
-The result is ranges of window starts that repeat (``kind`` 1) and ranges to compare
-window by window (``kind`` 0): by the shuffle on whole windows, or by indexes per shard.
+The result is ranges of window starts that repeat.
 
 A document is known by its id and the hash of its text, and ids order documents (a null
 is before all others).  Rows that have both in common are one document listed twice.
@@ -34,7 +36,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cleanroom.llm.common import settle, text_chunks
+from cleanroom.llm.common import settle, text_chunks, text_views
 from cleanroom.llm.kernels import Spans, byte_codes, mixed, word_codes, words
 
 #: Rows that a task holds before it settles phrases among them.
@@ -44,7 +46,12 @@ MOST_WINDOWS = 1 << 21
 NULL_ID = -(1 << 63)
 PHRASE = "gram long, phrase long, doc long, tag long, place int, lo int, hi int, kind int"
 NAMES = [x.split()[0] for x in PHRASE.split(", ")]
-REPEATED, OPEN, ALONE, SEEN = 1, 0, 2, 3
+REPEATED, OPEN, MARK, CROWDED = 1, 0, 2, 3
+FIRST_OF_ALL = -(1 << 63)
+#: Different phrases of one trigger (or core) that meet in one shard at most.
+CROWD = 4096
+#: Symbols that a shard holds on average, and shards at least.
+SHARD_SYMBOLS, LEAST_SHARDS = 1 << 17, 48
 
 
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
@@ -118,53 +125,48 @@ def _first_of_equal(gram, phrase, doc, tag, place) -> tuple[np.ndarray, np.ndarr
     return order, new_gram, first, new_phrase
 
 
-def _settle_task(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """Phrases that this task has seen before repeat; grams with several phrases here are open."""
+def _settle_task(rows: dict[str, np.ndarray], crowd: int) -> dict[str, np.ndarray]:
+    """Phrases that this task has seen before repeat; grams that are crowded here are crowded."""
     gram = rows["gram"]
     order = np.argsort(gram)
     twice = gram[order][1:] == gram[order][:-1]
     shared = np.zeros(len(gram), bool)
     shared[order[1:][twice]] = shared[order[:-1][twice]] = True
-    kind = np.full(len(gram), ALONE, np.int32)
+    kind = np.full(len(gram), OPEN, np.int32)
     some = np.flatnonzero(shared)
-    marks = []
+    marks = np.zeros(0, np.int64)
     if len(some):
         part = [rows[n][some] for n in ("gram", "phrase", "doc", "tag", "place")]
         order, new_gram, first, new_phrase = _first_of_equal(*part)
         here = some[order]
         group = np.cumsum(new_gram) - 1
-        several = np.bincount(group, new_phrase)[group] > 1
-        kind[here] = np.where(first, OPEN, REPEATED)
-        alone = first & ~several & new_phrase
-        kind[here[first & ~several & ~new_phrase]] = -1  # the same document listed again
-        kind[here[alone]] = ALONE
-        marks = here[new_gram & several]  # one row tells other tasks that this gram is open
-    out = {n: np.concatenate([v, v[marks]]) if len(marks) else v for n, v in rows.items()}
-    out["kind"] = np.concatenate([kind, np.full(len(marks), SEEN, np.int32)])
+        crowded = np.bincount(group, new_phrase)[group] > crowd
+        kind[here] = np.where(first, np.where(crowded, CROWDED, OPEN), REPEATED)
+        kind[here[first & ~new_phrase]] = -1  # the same document listed again
+        marks = here[new_gram & crowded]  # one row tells other tasks that this gram is crowded
+    out = {n: np.concatenate([v, v[marks]]) for n, v in rows.items()}
+    out["phrase"][len(kind) :] = FIRST_OF_ALL
+    out["kind"] = np.concatenate([kind, np.full(len(marks), MARK, np.int32)])
     keep = out["kind"] >= 0
     return {n: v[keep] for n, v in out.items()}
 
 
+def _settled(kind: np.ndarray) -> np.ndarray:
+    return (kind == REPEATED) | (kind == CROWDED)
+
+
 def _spread(rows: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     """What is settled needs no meeting: its rows go to any task."""
-    done = rows["kind"] <= REPEATED
     away = mixed(rows["doc"].astype(np.uint64) ^ mixed(rows["place"].astype(np.uint64))).view(np.int64)
-    rows["gram"] = np.where(done, away, rows["gram"])
+    rows["gram"] = np.where(_settled(rows["kind"]), away, rows["gram"])
     return rows
 
 
 def _batch(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-    arrays, names = [pa.array(rows[n]) for n in NAMES], list(NAMES)
-    if "codes" in rows:  # those of settled rows stay behind
-        own = rows["codes"][rows["kind"] > REPEATED]
-        ends = np.cumsum(np.where(rows["kind"] > REPEATED, own.shape[1] * own.itemsize, 0))
-        offsets = np.concatenate([[0], ends]).astype(np.int32)
-        arrays.append(pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(own.tobytes())]))
-        names.append("codes")
-    return pa.RecordBatch.from_arrays(arrays, names)
+    return pa.RecordBatch.from_arrays([pa.array(rows[n]) for n in NAMES], NAMES)
 
 
-def parse(docs: DataFrame, symbols_of: Callable, window: int, gram: int) -> DataFrame:
+def parse(docs: DataFrame, symbols_of: Callable, window: int, gram: int, crowd: int = CROWD) -> DataFrame:
     """The phrases of all documents, settled as far as one task can see."""
 
     def run(batches):
@@ -174,7 +176,7 @@ def parse(docs: DataFrame, symbols_of: Callable, window: int, gram: int) -> Data
         def flush() -> Iterator[pa.RecordBatch]:
             rows = {n: np.concatenate([h[n] for h in held]) for n in NAMES[:-1]}
             held.clear()
-            rows = _spread(_settle_task(rows))
+            rows = _spread(_settle_task(rows, crowd))
             for at in range(0, len(rows["kind"]), 50_000):
                 yield _batch({n: v[at : at + 50_000] for n, v in rows.items()})
 
@@ -200,47 +202,71 @@ def parse(docs: DataFrame, symbols_of: Callable, window: int, gram: int) -> Data
     return docs.select("doc", "tag", "text").mapInArrow(run, PHRASE)
 
 
-def _resolve(batches):
-    """Sorted by gram: phrases of one gram settle, whatever task they came from."""
-    rest: dict[str, np.ndarray] | None = None
-
-    def close(rows: dict[str, np.ndarray]) -> pa.RecordBatch:
-        done, kind = rows["kind"] <= REPEATED, rows["kind"].copy()
-        meet = np.flatnonzero(~done)
-        if len(meet):
-            part = [rows[n][meet] for n in ("gram", "phrase", "doc", "tag", "place")]
-            order, new_gram, first, new_phrase = _first_of_equal(*part)
-            here = meet[order]
-            group = np.cumsum(new_gram) - 1
-            several = (np.bincount(group, new_phrase) > 1) | (np.bincount(group, kind[here] == SEEN) > 0)
-            state = np.where(first, np.where(several[group], OPEN, -1), REPEATED)
-            kind[here] = np.where(kind[here] == SEEN, -1, state)
-        keep = kind >= 0
-        return pa.RecordBatch.from_arrays(
-            [pa.array(rows[n][keep]) for n in ("doc", "tag", "place", "lo", "hi")] + [pa.array(kind[keep])],
-            ["doc", "tag", "place", "lo", "hi", "kind"],
-        )
+RANGES = "doc long, tag long, place int, lo int, hi int, kind int"
+RANGE_NAMES = [x.split()[0] for x in RANGES.split(", ")]
+
+
+def _resolve(batches, crowd: int):
+    """Sorted by gram, phrase and place: phrases of one gram settle, whatever task they came from.
+
+    Only the first occurrences of one gram are held, ``crowd`` at most: beyond these the gram
+    is known to be crowded, and the rest of it passes through.
+    """
+    held: dict[str, np.ndarray] | None = None  # first occurrences of the last gram
+    last: dict[str, np.ndarray] | None = None  # the first occurrence of the last phrase
+    hot: int | None = None  # the last gram that was crowded
+
+    def out(rows, kind) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(rows[n]) for n in RANGE_NAMES[:-1]] + [pa.array(kind)], RANGE_NAMES)
+
+    def close(rows) -> pa.RecordBatch:
+        """All that is held of some grams."""
+        group = np.cumsum(np.concatenate([[True], rows["gram"][1:] != rows["gram"][:-1]])) - 1
+        mark = rows["kind"] == MARK
+        count = np.bincount(group, ~mark)
+        crowded = ((count > crowd) | (np.bincount(group, mark) > 0))[group] | (rows["gram"] == hot if hot is not None else False)
+        keep = ((count > 1)[group] | crowded) & ~mark
+        return out({n: v[keep] for n, v in rows.items()}, np.where(crowded, CROWDED, OPEN)[keep].astype(np.int32))
 
     for batch in batches:
         rows = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in NAMES}
-        if rest is not None:
-            rows = {n: np.concatenate([rest[n], rows[n]]) for n in NAMES}
+        done = _settled(rows["kind"])
+        if done.any():
+            yield out({n: v[done] for n, v in rows.items()}, rows["kind"][done])
+            rows = {n: v[~done] for n, v in rows.items()}
         if not len(rows["gram"]):
             continue
-        cut = int(np.searchsorted(rows["gram"], rows["gram"][-1]))
-        rest = {n: v[cut:] for n, v in rows.items()}
+        extra = 0 if last is None else 1
+        if extra:
+            rows = {n: np.concatenate([last[n], v]) for n, v in rows.items()}
+        new = np.concatenate([[True], (rows["gram"][1:] != rows["gram"][:-1]) | (rows["phrase"][1:] != rows["phrase"][:-1])])
+        head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        first = (rows["doc"] == rows["doc"][head]) & (rows["tag"] == rows["tag"][head]) & (rows["place"] == rows["place"][head])
+        last = {n: v[head[-1:]] for n, v in rows.items()}
+        again = ~first & (rows["kind"] != MARK)
+        if again.any():
+            yield out({n: v[again] for n, v in rows.items()}, np.full(int(again.sum()), REPEATED, np.int32))
+        new[:extra] = False
+        found = {n: v[new] for n, v in rows.items()}
+        held = found if held is None else {n: np.concatenate([held[n], found[n]]) for n in NAMES}
+        now = int(rows["gram"][-1])
+        cut = int(np.searchsorted(held["gram"], now))
         if cut:
-            yield close({n: v[:cut] for n, v in rows.items()})
-    if rest is not None and len(rest["gram"]):
-        yield close(rest)
-
-
-RANGES = "doc long, tag long, place int, lo int, hi int, kind int"
+            yield close({n: v[:cut] for n, v in held.items()})
+            held = {n: v[cut:] for n, v in held.items()}
+        if hot != now and (len(held["gram"]) > crowd or (held["kind"] == MARK).any()):
+            hot = now
+        if hot == now and len(held["gram"]):
+            yield close(held)
+            held = None
+    if held is not None and len(held["gram"]):
+        yield close(held)
 
 
-def resolve(rows: DataFrame) -> DataFrame:
-    """``doc, tag, place, lo, hi, kind``: what repeats (1) and what is to be looked into (0)."""
-    return rows.repartition("gram").sortWithinPartitions("gram").mapInArrow(_resolve, RANGES)
+def resolve(rows: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """``doc, tag, place, lo, hi, kind``: what repeats, what is to be looked into, and what of it is crowded."""
+    rows = rows.repartition("gram").sortWithinPartitions("gram", "phrase", "doc", "tag", "place")
+    return rows.mapInArrow(lambda batches: _resolve(batches, crowd), RANGES)
 
 
 def per_document(ranges: DataFrame) -> DataFrame:
@@ -293,13 +319,21 @@ def single(symbols, base, place, lo, hi, window, block):
     return at, start, start, start, Spans(symbols, 0)(whole, whole + window), Spans(symbols, 1)(whole, whole + window)
 
 
-def level(
-    docs: DataFrame, ranges: DataFrame, symbols_of: Callable, window: int, cut: Callable, block: int = 0, codes: bool = False
-) -> DataFrame:
-    """The rows that ``cut`` makes of the given ranges, settled as far as one task can see.
+def _chunks(batches, where: dict[str, int], symbols_of: Callable):
+    """Symbols and ranges of some documents at a time: bytes, symbols, base, id, tag, place, lo, hi (one entry per range)."""
+    for batch in batches:
+        some = batch.filter(batch.column(where["ranges"]).is_valid())
+        if not some.num_rows:
+            continue
+        ids, tags = (some.column(where[n]).to_numpy(zero_copy_only=False) for n in ("doc", "tag"))
+        for first, last, data, offsets in text_chunks(some.column(where["text"])):
+            symbols, bounds = symbols_of(data, offsets)
+            row, place, lo, hi = chunk_ranges(some.column(where["ranges"]), first, last)
+            yield data, symbols, bounds[row], ids[first + row], tags[first + row], place, lo, hi
 
-    ``codes`` adds the symbols of a window that is not settled, 32 bits of each.
-    """
+
+def level(docs: DataFrame, ranges: DataFrame, symbols_of: Callable, window: int, cut: Callable, block: int = 0, crowd: int = CROWD) -> DataFrame:
+    """The rows that ``cut`` makes of the given ranges, settled as far as one task can see."""
     joined = with_ranges(docs, ranges)
     where = {n: joined.columns.index(n) for n in ("doc", "tag", "text", "ranges")}
 
@@ -310,44 +344,136 @@ def level(
         def flush() -> Iterator[pa.RecordBatch]:
             rows = {n: np.concatenate([h[n] for h in held]) for n in held[0]}
             held.clear()
-            rows = _spread(_settle_task(rows))
+            rows = _spread(_settle_task(rows, crowd))
             for at in range(0, len(rows["kind"]), 50_000):
                 yield _batch({n: v[at : at + 50_000] for n, v in rows.items()})
 
-        for batch in batches:
-            some = batch.filter(batch.column(where["ranges"]).is_valid())
-            if not some.num_rows:
-                continue
-            ids, tags = (some.column(where[n]).to_numpy(zero_copy_only=False) for n in ("doc", "tag"))
-            for first, last, data, offsets in text_chunks(some.column(where["text"])):
-                symbols, bounds = symbols_of(data, offsets)
-                row, place, lo, hi = chunk_ranges(some.column(where["ranges"]), first, last)
-                at, place, lo, hi, key, whole = cut(symbols, bounds[row], place, lo, hi, window, block)
-                held.append({
-                    "gram": key.view(np.int64), "phrase": whole.view(np.int64), "doc": ids[first + row[at]], "tag": tags[first + row[at]],
-                    "place": place.astype(np.int32), "lo": lo.astype(np.int32), "hi": hi.astype(np.int32),
-                })
-                if codes:
-                    begin = bounds[row][at] + lo
-                    held[-1]["codes"] = symbols.astype(np.uint32)[begin[:, None] + np.arange(window)]
-                size += len(at)
-                if size >= (HELD // 4 if codes else HELD):
-                    size = 0
-                    yield from flush()
+        for _, symbols, base, doc, tag, place, lo, hi in _chunks(batches, where, symbols_of):
+            at, place, lo, hi, key, whole = cut(symbols, base, place, lo, hi, window, block)
+            held.append({
+                "gram": key.view(np.int64), "phrase": whole.view(np.int64), "doc": doc[at], "tag": tag[at],
+                "place": place.astype(np.int32), "lo": lo.astype(np.int32), "hi": hi.astype(np.int32),
+            })
+            size += len(at)
+            if size >= HELD:
+                size = 0
+                yield from flush()
         if held:
             yield from flush()
 
-    return joined.mapInArrow(run, PHRASE + ", codes binary" * codes)
+    return joined.mapInArrow(run, PHRASE)
+
+
+def at_trigger(gram: int) -> Callable:
+    """A cut that leaves runs whole and keys them by their trigger."""
+
+    def cut(symbols, base, place, lo, hi, window, block):
+        key = Spans(symbols, 0)(base + place, base + place + gram)
+        return np.arange(len(lo)), place, lo, hi, key, key
 
+    return cut
 
-def narrowed(docs: DataFrame, symbols_of: Callable, window: int, gram: int, block: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Ranges that repeat, the few ranges whose windows have to be compared one by one, and the written runs."""
-    runs = settle(resolve(parse(docs, symbols_of, window, gram)), "ranges")
-    blocks = resolve(level(docs, runs.where(F.col("kind") == OPEN), symbols_of, window, _blocks, block))
-    repeated = runs.where(F.col("kind") == REPEATED).union(blocks.where(F.col("kind") == REPEATED))
-    return repeated, blocks.where(F.col("kind") == OPEN), runs
 
+def stretches(docs: DataFrame, ranges: DataFrame, symbols_of: Callable, window: int, cut: Callable, block: int, raw: bool) -> DataFrame:
+    """The text of the given ranges with the key under which equal windows meet: key, doc, tag, lo, codes.
 
-def compared(docs: DataFrame, open_ranges: DataFrame, symbols_of: Callable, window: int) -> DataFrame:
-    """The windows of ``open_ranges`` that also start earlier."""
-    return resolve(level(docs, open_ranges, symbols_of, window, single)).where(F.col("kind") == REPEATED)
+    ``codes`` are the bytes themselves (``raw``), or 64 bits of each word.
+    """
+    joined = with_ranges(docs, ranges)
+    where = {n: joined.columns.index(n) for n in ("doc", "tag", "text", "ranges")}
+
+    def run(batches):
+        for data, symbols, base, doc, tag, place, lo, hi in _chunks(batches, where, symbols_of):
+            own = data if raw else symbols
+            at, _, lo, hi, key, _ = cut(symbols, base, place, lo, hi, window, block)
+            for some in (slice(i, i + 20_000) for i in range(0, len(at), 20_000)):
+                length = hi[some] - lo[some] + window
+                ends = np.cumsum(length)
+                take = np.arange(ends[-1]) + np.repeat(base[at[some]] + lo[some] - (ends - length), length)
+                offsets = (np.concatenate([[0], ends]) * own.itemsize).astype(np.int32)
+                codes = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(own[take].tobytes())])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[some].view(np.int64)), pa.array(doc[at[some]]), pa.array(tag[at[some]]), pa.array(lo[some].astype(np.int32)), codes],
+                    ["key", "doc", "tag", "lo", "codes"],
+                )
+
+    return joined.mapInArrow(run, "key long, doc long, tag long, lo int, codes binary")
+
+
+class Shard:
+    """The distinct stretches of one shard, one after another in the order of the corpus.
+
+    ``begin`` and ``end`` are their places in ``symbols``; a separator follows each.
+    """
+
+    def __init__(self, rows: pa.Table, raw: bool):
+        doc, tag, lo = (rows.column(n).to_numpy() for n in ("doc", "tag", "lo"))
+        order = np.lexsort((lo, tag, doc))
+        doc, tag, lo = doc[order], tag[order], lo[order]
+        # A document that is listed twice sends its stretches twice.
+        one = np.concatenate([[True], (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]) | (lo[1:] != lo[:-1])])
+        order, self.doc, self.tag, self.lo = order[one], doc[one], tag[one], lo[one].astype(np.int64)
+        data, offsets = text_views(rows.column("codes"))
+        codes = data if raw else np.frombuffer(data.tobytes(), np.uint64)
+        offsets = offsets // codes.itemsize
+        length = np.diff(offsets)[order]
+        self.end = np.cumsum(length + 1) - 1
+        self.begin = self.end - length
+        take = np.repeat(offsets[order] - self.begin, length + 1) + np.arange(self.end[-1] + 1)
+        take[self.end] = 0
+        alphabet, symbols = np.unique(codes, return_inverse=True)
+        self.symbols = symbols.astype(np.int64)[take] + 1
+        self.symbols[self.end] = 0
+        self.alphabet = len(alphabet) + 1
+
+    def places(self, reach: int) -> tuple[np.ndarray, np.ndarray]:
+        """Every place from which ``reach`` symbols lie in one stretch, and its stretch."""
+        count = self.end - self.begin - reach + 1
+        of = np.repeat(np.arange(len(count)), count)
+        return self.begin[of] + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count), of
+
+    def report(self, start: np.ndarray, of: np.ndarray) -> pa.Table:
+        """Maximal intervals of window starts (ascending places) that repeat."""
+        new = np.concatenate([[True], (start[1:] != start[:-1] + 1) | (of[1:] != of[:-1])]) if len(start) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        final = np.concatenate([first[1:], [len(start)]])[: len(first)] - 1
+        row = of[first]
+        lo, hi = ((start[x] - self.begin[row] + self.lo[row]).astype(np.int32) for x in (first, final))
+        return pa.table({
+            "doc": self.doc[row], "tag": self.tag[row], "place": lo, "lo": lo, "hi": hi, "kind": np.full(len(row), REPEATED, np.int32),
+        })
+
+
+def repeated(
+    docs: DataFrame, symbols_of: Callable, window: int, gram: int, block: int, search: Callable[[Shard], pa.Table],
+    raw: bool = False, crowd: int = CROWD,
+) -> DataFrame:
+    """Ranges of window starts that also start earlier; ``search`` finds those of one shard."""
+
+    def shards(ranges: DataFrame, cut: Callable, symbols: int) -> DataFrame:
+        rows = stretches(docs, ranges, symbols_of, window, cut, block, raw)
+        rows = rows.withColumn("shard", F.pmod("key", F.lit(max(LEAST_SHARDS, symbols // SHARD_SYMBOLS)))).drop("key")
+        return rows.groupBy("shard").applyInArrow(lambda table: search(Shard(table, raw)), RANGES)
+
+    def of(ranges: DataFrame, kind: int) -> DataFrame:
+        return ranges.where(F.col("kind") == kind)
+
+    def sizes(ranges: DataFrame) -> dict[int, int]:
+        """Symbols by kind: three rows at most."""
+        total = F.sum(F.col("hi") - F.col("lo") + window)
+        return {r.kind: r.n for r in ranges.groupBy("kind").agg(total.alias("n")).collect()}
+
+    runs = settle(resolve(parse(docs, symbols_of, window, gram, crowd), crowd), "ranges")
+    size = sizes(runs)
+    found = of(runs, REPEATED)
+    if OPEN in size:
+        found = found.union(shards(of(runs, OPEN), at_trigger(gram), size[OPEN]))
+    if CROWDED in size:
+        blocks = settle(resolve(level(docs, of(runs, CROWDED), symbols_of, window, _blocks, block, crowd), crowd), "blocks")
+        size = sizes(blocks)
+        found = found.union(of(blocks, REPEATED))
+        if OPEN in size:
+            found = found.union(shards(of(blocks, OPEN), _blocks, size[OPEN]))
+        if CROWDED in size:
+            found = found.union(of(resolve(level(docs, of(blocks, CROWDED), symbols_of, window, single)), REPEATED))
+    return found
