@@ -6,13 +6,14 @@ vector; the products of the vectors are the weights of all pairs, summed in line
 half of (the square of the sum less the sum of the squares), per dimension.
 
 The model is fitted on labelled rows whose id's CRC-32 is not held out, of which at most
-``sample`` are taken, in the order of a hash of the id.  That bound makes what comes to
-the driver, and the model, a fixed size; every text is scored by the executors.
+``sample`` are taken, in the order of a hash of the id, with one text each.  That bound makes
+what comes to the driver, and the model, a fixed size; every text is scored by the executors.
 
 Defined cases: a null text is an empty one and gets a score as well; a null id is never
 held out and never learned from; labels that contradict each other are left out; without
 two classes among the labels every score is the share of label 1 (a half if there is no
-label); repeated rows get the same score; an empty table gives no rows; other columns
+label); repeated rows get the same score, and of several texts under one id that with the
+least hash is learned from; an empty table gives no rows; other columns
 are never read.
 """
 
@@ -174,10 +175,8 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
 
     def extract(batches):
         for batch in batches:
-            mask = np.array([i in chosen for i in batch.column(0).to_pylist()], bool)
-            some = batch.filter(pa.array(mask))
-            ids = some.column(0).to_pylist()
-            for first, last, data, offsets in text_chunks(some.column(1)):
+            ids = batch.column(0).to_pylist()
+            for first, last, data, offsets in text_chunks(batch.column(1)):
                 bounds, bucket, value, statistics = features(data, offsets, buckets)
                 cut = lambda x, i: x[bounds[i] : bounds[i + 1]].tolist()
                 rows = range(last - first)
@@ -191,8 +190,13 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
                     ["doc_id", "bucket", "value", "statistics"],
                 )
 
-    # A repeated id counts once.
-    found = typed(docs).mapInArrow(extract, "doc_id long, bucket array<int>, value array<float>, statistics array<double>")
+    if not chosen:
+        return fit([], settings)
+    # Only chosen ids leave the scan, and a repeated one is reduced before it is shuffled.
+    ids = docs.sparkSession.createDataFrame([(i,) for i in chosen], "doc_id long")
+    some = typed(docs).join(F.broadcast(ids), "doc_id", "left_semi")
+    some = some.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first"))
+    found = some.select("doc_id", F.col("first.text").alias("text")).mapInArrow(extract, "doc_id long, bucket array<int>, value array<float>, statistics array<double>")
     rows = {}
     for part in found.toArrow().to_batches(max_chunksize=500):
         for i, b, v, s in zip(*(part.column(k) for k in range(4))):

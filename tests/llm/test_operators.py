@@ -224,6 +224,10 @@ def test_classifier(spark, documents, nothing):
 
     assert all(r.held == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in scored)
     assert factorisation.score(nothing, machine).collect() == []
+    # Of several texts under one id one is learned from, whatever the order of the rows.
+    more = docs.union(spark.createDataFrame([(i % 9, f"other {i}", None) for i in range(300)], docs.schema))
+    first, second = (factorisation.train(d, known) for d in (more.repartition(5), more.coalesce(1).orderBy(F.desc("text"))))
+    assert first.bias == second.bias and (first.w == second.w).all() and (first.mean != machine.mean).any()
     alone = factorisation.train(docs, known.limit(0))
     assert {r.score for r in factorisation.score(docs, alone).collect()} == {0.5}
 
