@@ -7,10 +7,13 @@ The references come from the whole corpus: a word is common if it makes up at le
 them, whatever the corpus holds.  They are found exactly in two passes.  A word of that
 share reaches half of it in blocks that hold half of its language's words or more, so
 words below half the share of a block need not leave the block, and few candidates are
-left to be counted in full.
+left to be counted in full.  Candidates and references are tables with a row of bounded
+size per language, joined to the texts by language: Spark broadcasts them while they are
+small and splits a hot language otherwise, and a task holds those of few languages at a
+time, however many values the column has.
 
-Defined cases: a null or empty text has no words and fails the base rules; a null or
-unknown language is compared with every reference and takes the nearest; a text shorter
+Defined cases: a null or empty text has no words and fails the base rules; a text with a
+null language has no reference, so the base rules alone judge it; a text shorter
 than ``min_chars`` characters or ``min_words`` words is not judged by a histogram;
 repeated rows are judged alike; an empty table gives no rows; other columns are ignored.
 """
@@ -148,48 +151,78 @@ def _word_counts(docs: DataFrame, share: float, most: int = 200_000) -> DataFram
     return docs.select("text", "lang").mapInArrow(count, "lang string, word binary, n long")
 
 
-def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str, tuple[list[float], dict[bytes, float]]]:
-    """Per language: the share of each character class and of each common word, over all documents.
+class Held:
+    """What a task keeps per language, made from the first row of it; begun anew when full."""
+
+    def __init__(self, make, most: int = 64):
+        self.make, self.most, self.kept = make, most, {}
+
+    def get(self, lang: str, *row):
+        if lang not in self.kept:
+            if len(self.kept) >= self.most:
+                self.kept.clear()
+            self.kept[lang] = self.make(*(x.as_py() for x in row))
+        return self.kept[lang]
 
-    What comes to the driver is bounded by the numbers of languages, classes and common words.
+
+def reference_table(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """A row per language with words: ``classes``, the share of each character class, and
+    ``words`` with their ``shares``, the common words in the order of their bytes; over all documents.
     """
     docs = _inputs(docs)
     blocks = _word_counts(docs, rules.common_share / 2).groupBy("lang", "word").agg(F.sum("n").alias("n"))
     blocks = settle(blocks.where("lang is not null"), "blocks")
     sizes = blocks.where("word is null and n > 0").select("lang", F.col("n").alias("total"))
-    totals = {r.lang: r.total for r in sizes.collect()}
-    if not totals:
-        return {}
     likely = blocks.where("word is not null").join(sizes, "lang").where(F.col("n") >= F.col("total") * (rules.common_share / 2))
-    wanted: dict[str, dict[bytes, int]] = {k: {} for k in totals}
-    for r in likely.collect():
-        wanted[r.lang][bytes(r.word)] = len(wanted[r.lang])
+    # A language whose words are all rare has a row without candidates.
+    wanted = sizes.join(likely.groupBy("lang").agg(F.collect_list("word").alias("wanted")), "lang", "left")
+    wanted = settle(wanted.select("lang", "total", F.coalesce("wanted", F.array().cast("array<binary>")).alias("wanted")), "candidates")
+
+    def count(batches, most: int = 200_000):
+        held = Held(frozenset)
+        classes: dict[str, np.ndarray] = {}
+        found: dict[str, Counter] = {}
+
+        def flush():
+            rows = [(k, CLASSES[i].encode(), True, int(n)) for k, c in classes.items() for i, n in enumerate(c) if n]
+            rows += [(k, w, False, n) for k, c in found.items() for w, n in c.items()]
+            classes.clear()
+            found.clear()
+            kinds = {"lang": pa.string(), "key": pa.binary(), "is_class": pa.bool_(), "n": pa.int64()}
+            columns = zip(list(zip(*rows)) or [()] * 4, kinds.items())
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in columns], list(kinds))
 
-    def count(batches):
-        classes = {k: np.zeros(len(CLASSES), np.int64) for k in wanted}
-        found: dict[str, Counter] = {k: Counter() for k in wanted}
         for batch in batches:
             langs = batch.column(1).to_pylist()
             for first, _, data, offsets in text_chunks(batch.column(0)):
                 raw, counts = data.tobytes(), class_counts(data, offsets)
                 for i in range(len(offsets) - 1):
-                    if (lang := langs[first + i]) in wanted:
-                        classes[lang] += counts[i]
-                        found[lang].update(filter(wanted[lang].__contains__, raw[offsets[i] : offsets[i + 1]].split()))
-        rows = [(k, CLASSES[i].encode(), True, int(n)) for k, c in classes.items() for i, n in enumerate(c) if n]
-        rows += [(k, w, False, n) for k, c in found.items() for w, n in c.items()]
-        kinds = {"lang": pa.string(), "key": pa.binary(), "is_class": pa.bool_(), "n": pa.int64()}
-        columns = zip(list(zip(*rows)) or [()] * 4, kinds.items())
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in columns], list(kinds))
-
-    counted = docs.select("text", "lang").mapInArrow(count, "lang string, key binary, is_class boolean, n long")
-    out = {k: ([0.0] * len(CLASSES), {}) for k in totals}
-    for r in counted.groupBy("lang", "key", "is_class").agg(F.sum("n").alias("n")).collect():
-        if r.is_class:
-            out[r.lang][0][CLASSES.index(bytes(r.key).decode())] = r.n
-        elif r.n >= rules.common_share * totals[r.lang]:
-            out[r.lang][1][bytes(r.key)] = r.n / totals[r.lang]
-    return {k: ([n / max(sum(c), 1) for n in c], dict(sorted(w.items()))) for k, (c, w) in out.items()}
+                    lang = langs[first + i]
+                    words_of = held.get(lang, batch.column(2)[first + i])
+                    classes[lang] = classes.get(lang, 0) + counts[i]
+                    found.setdefault(lang, Counter()).update(filter(words_of.__contains__, raw[offsets[i] : offsets[i + 1]].split()))
+            if sum(map(len, found.values())) + len(CLASSES) * len(classes) > most:
+                yield flush()
+        yield flush()
+
+    texts = docs.join(wanted, "lang").select("text", "lang", "wanted")
+    counted = texts.mapInArrow(count, "lang string, key binary, is_class boolean, n long")
+    counted = counted.groupBy("lang", "key", "is_class").agg(F.sum("n").alias("n")).join(wanted.drop("wanted"), "lang")
+    common = ~F.col("is_class") & (F.col("n") >= F.lit(rules.common_share) * F.col("total"))
+    word = F.struct(F.col("key").alias("word"), (F.col("n") / F.col("total")).alias("share"))
+    of_class = [F.sum(F.when(F.col("is_class") & (F.col("key") == F.lit(c.encode())), F.col("n")).otherwise(0)) for c in CLASSES]
+    rows = counted.groupBy("lang").agg(
+        F.array(*of_class).alias("counts"), F.sum(F.when(F.col("is_class"), F.col("n"))).alias("chars"),
+        F.array_sort(F.collect_list(F.when(common, word))).alias("common"),
+    )
+    share = F.transform("counts", lambda n: F.coalesce(n / F.col("chars"), F.lit(0.0)))
+    return rows.select("lang", share.alias("classes"), F.col("common.word").alias("words"), F.col("common.share").alias("shares"))
+
+
+def references(docs: DataFrame, rules: Rules = Rules()) -> dict[str, tuple[list[float], dict[bytes, float]]]:
+    """The reference table as a mapping on the driver, to look at; ``judge`` does not use it."""
+    rows = reference_table(docs, rules).collect()
+    return {r.lang: (list(r.classes), {bytes(w): s for w, s in zip(r.words, r.shares)}) for r in rows}
 
 
 def distance(p: np.ndarray, q: np.ndarray) -> float:
@@ -202,47 +235,44 @@ def distance(p: np.ndarray, q: np.ndarray) -> float:
 
 def judge(docs: DataFrame, rules: Rules = Rules(), *more: str) -> DataFrame:
     """Base counts, distances and verdict of every document; columns named in ``more`` come along as ``_name``."""
-    refs = references(docs, rules)
     rows = _inputs(docs, *more)
     names = [x.split()[0] for x in BASE_SCHEMA.split(", ")] + [f"_{c}" for c in more]
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    refs = settle(reference_table(docs, rules), "references")
+    rows = rows.join(refs, "lang", "left").select("doc_id", "text", "lang", "classes", "words", "shares", *names[len(names) - len(more) :])
+
+    def prepared(classes, common, shares):
+        return np.array(classes), {w: i for i, w in enumerate(common)}, np.append(shares, max(0.0, 1 - np.sum(shares)))
 
     def score(batches):
-        ready = {}
-        for lang, (classes, common) in refs.items():
-            shares = np.array([*common.values()])
-            ready[lang] = (np.array(classes), {w: i for i, w in enumerate(common)}, np.append(shares, max(0.0, 1 - shares.sum())))
+        held = Held(prepared)
         for batch in batches:
-            ids, langs = batch.column(0), batch.column(2).to_pylist()
+            ids, langs, known = batch.column(0), batch.column(2).to_pylist(), batch.column(3).is_valid().to_pylist()
             for first, last, data, offsets in text_chunks(batch.column(1)):
                 base, counts, raw = base_counts(data, offsets), class_counts(data, offsets), data.tobytes()
                 n = base["n_words"]
                 failed = (n < 50) | (100 * base["n_repeat_words"] > 50 * n)
                 far = np.full((2, last - first), np.nan)
                 for i in range(last - first):
-                    chars = counts[i].sum()
-                    lang = langs[first + i]
-                    among = [ready[lang]] if lang in ready else list(ready.values())
-                    if not among:
+                    if not known[first + i]:
                         continue
+                    classes, place, shares = held.get(langs[first + i], *(batch.column(k)[first + i] for k in (3, 4, 5)))
+                    chars = counts[i].sum()
                     if chars >= rules.min_chars:
-                        far[0, i] = min(distance(counts[i] / chars, r[0]) for r in among)
+                        far[0, i] = distance(counts[i] / chars, classes)
                     if n[i] >= rules.min_words:
                         own = raw[offsets[i] : offsets[i + 1]].split()
-                        best = []
-                        for _, place, shares in among:
-                            hist = np.zeros(len(shares))
-                            for w, c in Counter(filter(place.__contains__, own)).items():
-                                hist[place[w]] = c
-                            hist[-1] = len(own) - hist.sum()
-                            best.append(distance(hist / len(own), shares))
-                        far[1, i] = min(best)
+                        hist = np.zeros(len(shares))
+                        for w, c in Counter(filter(place.__contains__, own)).items():
+                            hist[place[w]] = c
+                        hist[-1] = len(own) - hist.sum()
+                        far[1, i] = distance(hist / len(own), shares)
                 with np.errstate(invalid="ignore"):
                     odd = (far[0] > rules.max_class_distance) | (far[1] > rules.max_word_distance)
                 columns = [ids.slice(first, last - first), *(pa.array(v.astype(np.int64)) for v in base.values())]
                 columns += [pa.array(failed), pa.array(~failed & ~odd)]
                 columns += [pa.array(x, pa.float64(), mask=np.isnan(x)) for x in far]
-                columns += [batch.column(3 + k).slice(first, last - first) for k in range(len(more))]
+                columns += [batch.column(6 + k).slice(first, last - first) for k in range(len(more))]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
     return rows.mapInArrow(score, BASE_SCHEMA + "".join(f", `_{c}` {kinds[f'_{c}']}" for c in more))

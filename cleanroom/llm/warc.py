@@ -2,8 +2,10 @@
 
 Archives are gzipped WARC 1.1 files under a shared folder.  Records are composed by
 SQL functions and written as text whose line separator is the blank lines between
-records; files are cut after a number of records, so that one fits a task when it is
-read whole.  De-duplication shuffles headers only: the response of each payload digest
+records.  A file is read whole by one task, so files are cut after a number of records
+that goes down with the size of their payloads: records of a size class share a folder,
+and no file holds more than 64 MB of payloads unless it is a single record.
+De-duplication shuffles headers only: the response of each payload digest
 is found by an aggregate that is combined before the shuffle, joined back to the
 headers, and the decisions meet the payloads by record id, which no hot digest skews.
 
@@ -29,7 +31,8 @@ from cleanroom.session import checkpoint_root
 
 CRLF = "\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-RECORDS_PER_FILE = 500
+#: Most payload bytes of a size class (the last has no bound) and records of a file of it.
+SIZES = ((1 << 17, 500), (1 << 20, 64), (1 << 23, 8), (None, 1))
 RECORD_SCHEMA = (
     "record_id string, record_type string, page_id long, target_uri string, date string, payload_digest string,"
     " payload_bytes long, refers_to_record string, refers_to_page long"
@@ -67,7 +70,12 @@ def as_records(pages: DataFrame, date: str) -> DataFrame:
     )
 
 
-def write_archives(records: DataFrame, path: str, records_per_file: int = RECORDS_PER_FILE) -> None:
+def size_class(n_bytes: Column) -> Column:
+    """The place of a payload's size class among ``SIZES``."""
+    return sum((F.when(n_bytes > most, 1).otherwise(0) for most, _ in SIZES[:-1]), F.lit(0))
+
+
+def write_archives(records: DataFrame, path: str, records_per_file: int = SIZES[0][1]) -> None:
     """Write records as WARC files; a revisit has a block of HTTP headers and no payload."""
     http = F.concat(
         F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Content-Length: "),
@@ -159,16 +167,22 @@ def decide(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
 def deduplicate(pages: DataFrame, folder: str, min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
     """Archive ``pages``, resolve revisits, write archives with fresh headers and read them back.
 
-    ``folder`` gets ``full`` and ``deduplicated``; the result has one row per record.
+    ``folder`` gets ``full`` and ``deduplicated``, with a folder for each size class that
+    occurs; the result has one row per record.
     """
     spark = pages.sparkSession
     full, lean = f"{folder}/full", f"{folder}/deduplicated"
-    write_archives(as_records(pages, date), full)
+    of_page = size_class(F.octet_length(F.coalesce(F.col("html").cast("string"), F.lit(""))))
+    found = [r.place for r in pages.select(of_page.alias("place")).distinct().collect()] or [0]  # of four at most
+    for place in found:
+        write_archives(as_records(pages.where(of_page == place), date), f"{full}/size={place}", SIZES[place][1])
     with arrow_rows(spark, 1):  # a row is a whole file
         headers = settle(read_archives(spark, full), "headers")
         decisions = settle(decide(headers, min_bytes), "decisions")
-        records = read_archives(spark, full, payload=True).drop("record_type", "refers_to_record", "refers_to_page")
-        write_archives(records.join(decisions, "record_id"), lean)
+        for place in found:
+            records = read_archives(spark, f"{full}/size={place}", payload=True)
+            records = records.drop("record_type", "refers_to_record", "refers_to_page").join(decisions, "record_id")
+            write_archives(records, f"{lean}/size={place}", SIZES[place][1])
         return settle(read_archives(spark, lean), "records")
 
 
