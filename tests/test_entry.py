@@ -16,6 +16,7 @@ CHOSEN = [
     "fact_reviews", "normalize_counters", "most_borrowed_top10", "fine_totals", "catalog_documents",
     "export_orders", "audit_report", "ingest_files", "sql_fines", "run_summary", "constraint_violations", "mask_documents", "similar_pairs", "dedup_pages", "item_update", "item_delete", "dirty_profile",
     "catalog_merge", "mask_policy", "delete_by_graph", "ingest_broken", "similar_mean", "document_keys",
+    "dirty_catalog", "dirty_loans", "dirty_stock", "dirty_reviews",
 ]
 
 

@@ -11,6 +11,7 @@ from cleanroom.functions.text import WHITESPACE, WHITESPACE_CLASS
 from cleanroom.operators.reports import FINE_MESSAGE, LATE_MESSAGE
 from cleanroom.operators.rules import LATEST, MESSAGES, SCRIPT_KEYWORD, SCRIPT_NO_KEY, SCRIPT_TEXT_TYPE
 from cleanroom.plans.config import RULES
+from cleanroom.sources import generate
 from workload.queries import DATES_AS_OF, DOCUMENT_RULES, ORDERS_AS_OF, SEED
 from workload.raw_views import AS_OF, oracle_view
 
@@ -897,8 +898,8 @@ UNION ALL SELECT 'labels', part_id, count(*) FROM parts WHERE p_size > 48 AND pa
 # -- generator --------------------------------------------------------------------------------------
 
 
-def draw(purpose: str) -> str:
-    digits = f"md5('{SEED}:' || r || ':{purpose}')[1:8]"
+def draw(purpose: str, row: str = "r") -> str:
+    digits = f"md5('{SEED}:' || {row} || ':{purpose}')[1:8]"
     return f"(CAST(('0x' || {digits}) AS UBIGINT) / 4294967296.0)"
 
 
@@ -940,3 +941,90 @@ ORACLES["dirty_profile"] = over(
         for t, m, c in _MEASURES
     ),
 )
+
+
+def below(n, purpose: str, row: str = "r") -> str:
+    return f"CAST(floor({draw(purpose, row)} * {n}) AS BIGINT)"
+
+
+def pick(words: tuple[str, ...], purpose: str, row: str = "r") -> str:
+    return f"[{', '.join(map(quoted, words))}][1 + {below(len(words), purpose, row)}]"
+
+
+def drawn_title(row: str = "r") -> str:
+    word, noun = pick(generate.TITLE_WORDS, "title-word", row), pick(generate.NOUNS, "title-noun", row)
+    return f"({word} || ' y ' || {noun} || ' ' || (1 + {below(generate.MAX_VOLUME, 'title-volume', row)}))"
+
+
+def drawn_name(purpose: str, row: str = "r") -> str:
+    return f"({pick(generate.FIRST_NAMES, f'{purpose}-first', row)} || ' ' || {pick(generate.LAST_NAMES, f'{purpose}-last', row)})"
+
+
+def sentence(words: int, purpose: str) -> str:
+    return "(" + " || ' ' || ".join(f"lower({pick(generate.NOUNS, f'{purpose}-{i}')})" for i in range(words)) + " || '.')"
+
+
+def noisy(e: str, purpose: str) -> str:
+    return (
+        f"CASE WHEN {draw(f'{purpose}-pad')} < 0.2 THEN '   ' || {e} || '  ' || chr(9) WHEN {draw(f'{purpose}-upper')} < 0.2 THEN upper({e}) "
+        f"WHEN {draw(f'{purpose}-nan')} < 0.1 THEN 'NaN' ELSE {e} END"
+    )
+
+
+def days_ago(n: int, purpose: str) -> str:
+    return f"({DAY} - CAST({below(n, purpose)} AS INTEGER))"
+
+
+_ROWS = """
+top AS (SELECT coalesce(max(p_partkey), 0) AS top FROM part),
+numbered AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS r, top, top + r + 1 AS own FROM orders, top)
+"""
+ORACLES["dirty_catalog"] = over(
+    _ROWS + f""",
+made AS (SELECT r, CASE WHEN {draw('catalog-id')} < 0.1 THEN top + 1 + {below('(r + 1)', 'catalog-old-id')} ELSE own END AS id
+  FROM numbered WHERE {draw('catalog-twice')} >= 0.05),
+first AS (SELECT * FROM made QUALIFY row_number() OVER (PARTITION BY id ORDER BY r) = 1)""",
+    f"""
+SELECT r * 2 AS ordinal, id, {noisy(drawn_title(), 'title')} AS title, {noisy(drawn_name('author'), 'author')} AS author,
+  {pick(generate.CATEGORIES, 'category')} || '|' || {sentence(8, 'description')} AS category_and_description,
+  {pick(generate.COMPANIES, 'publisher')} AS publisher,
+  CASE WHEN {draw('unknown-date')} < 0.1 THEN 'Desconocida' WHEN {draw('no-date')} < 0.1 THEN 'N/A'
+    WHEN {draw('slashed-date')} < 0.2 THEN strftime({days_ago(9125, 'published-2')}, '%d/%m/%Y')
+    ELSE CAST({days_ago(9125, 'published')} AS VARCHAR) END AS published
+FROM first""",
+)
+_COPY = "(r || '-' || copy)"
+_BORROWED = [drawn_title(below("(r + 1)", f"borrowed-{i}")) for i in range(3)]
+ORACLES["dirty_loans"] = over(
+    _ROWS + f""",
+copies AS (SELECT *, 0 AS copy FROM numbered UNION ALL SELECT *, 1 FROM numbered WHERE {draw('loan-twice')} < 0.05),
+made AS (SELECT *, {_BORROWED[0]} AS a, {_BORROWED[1]} AS b, {_BORROWED[2]} AS c,
+  lower({pick(generate.FIRST_NAMES, 'mail-first')}) || own AS mail, {days_ago(46, 'checkout')} AS day FROM copies)""",
+    f"""
+SELECT r * 2 + copy AS ordinal, CAST(CASE WHEN {draw('loan-id')} < 0.05 THEN own - 1 ELSE own END AS INTEGER) AS loan_id,
+  {drawn_name('user', _COPY)} AS user_name,
+  CASE WHEN {draw('mail-at')} < 0.1 THEN mail || '_at_correo.example' WHEN {draw('mail-null')} < 0.1 THEN NULL
+    ELSE mail || '@correo.example' END AS email,
+  array_to_string(([a] || CASE WHEN b <> a THEN [b] ELSE [] END || CASE WHEN c NOT IN (a, b) THEN [c] ELSE [] END)[1:1 + {below(3, 'borrowed-count')}], ', ') AS borrowed,
+  CASE WHEN {draw('no-checkout')} < 0.1 THEN 'Sin fecha' WHEN {draw('slashed-checkout')} < 0.1 THEN strftime(day, '%d/%m/%Y')
+    ELSE CAST(day AS VARCHAR) END AS checkout,
+  {pick(generate.STATES, 'status', _COPY)} AS status
+FROM made""",
+)
+ORACLES["dirty_stock"] = over(
+    _ROWS + f", made AS (SELECT *, 'Sede ' || (1 + {below(generate.BRANCHES, 'branch')}) AS name FROM numbered)",
+    f"""
+SELECT r AS ordinal, CASE WHEN {draw('branch-noise')} < 0.1 THEN '  ' || lower(name) || ' ' || chr(9) ELSE name END AS branch,
+  {pick(generate.STREETS, 'street')} || ' ' || (1 + {below(150, 'number')}) AS location, {drawn_title()} AS title,
+  CASE WHEN {draw('negative')} < 0.1 THEN '-5' WHEN {draw('word')} < 0.1 THEN 'Diez' WHEN {draw('null')} < 0.1 THEN NULL
+    ELSE CAST({below(generate.MAX_STOCK + 1, 'quantity')} AS VARCHAR) END AS quantity
+FROM made""",
+)
+ORACLES["dirty_reviews"] = over(
+    _ROWS,
+    f"""
+SELECT r AS ordinal, CASE WHEN {draw('unknown-user')} < 0.1 THEN 'Usuario_Desconocido' WHEN {draw('null-user')} < 0.1 THEN NULL
+    ELSE CAST(own AS VARCHAR) END AS user_ref, {drawn_title()} AS title, {sentence(12, 'comment')} AS comment,
+  CASE WHEN {draw('odd-rating')} < 0.3 THEN {pick(generate.ODD_RATINGS, 'which-odd')} ELSE CAST(1 + {below(5, 'rating')} AS VARCHAR) END AS rating
+FROM numbered""",
+)

@@ -984,14 +984,43 @@ def delete_by_graph(spark, sf_dir):
 # -- generator ---------------------------------------------------------------------------
 
 
-@query
-def dirty_profile(spark, sf_dir):
-    """Anomaly rates of rows generated from the numbered orders."""
+def _generated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Dirty tables drawn from the numbered orders; ids go on after those of parts."""
     numbered = dense_ids(
         table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("ordinal")), "position"
     ).select((F.col("position") - 1).alias("row"))
     taken = generate.highest_id(table(spark, sf_dir, "part"), "p_partkey")
-    made = generate.generate(numbered, SEED, AS_OF, max_id=taken)
+    return generate.generate(numbered, SEED, AS_OF, max_id=taken)
+
+
+@query
+def dirty_catalog(spark, sf_dir):
+    """Every generated catalog row whose id was free."""
+    return _generated(spark, sf_dir)["catalog"]
+
+
+@query
+def dirty_loans(spark, sf_dir):
+    """Every generated loan, repeated ones included."""
+    return _generated(spark, sf_dir)["loans"]
+
+
+@query
+def dirty_stock(spark, sf_dir):
+    """Every generated stock row."""
+    return _generated(spark, sf_dir)["stock"]
+
+
+@query
+def dirty_reviews(spark, sf_dir):
+    """Every generated review."""
+    return _generated(spark, sf_dir)["reviews"]
+
+
+@query
+def dirty_profile(spark, sf_dir):
+    """Anomaly rates of rows generated from the numbered orders."""
+    made = _generated(spark, sf_dir)
     probes = {
         "catalog": {
             "padded_title": F.col("title").startswith("   "),
