@@ -26,7 +26,11 @@ How the work stays spread out when one block holds a large part of all rows:
   the distance.  Counts are held in unary in four numbers, where that sum is the number
   of differing bits, so the test is a few machine instructions within the join;
 * signatures and bands carry ids, lengths and counts only; keys are joined back once per
-  pair that is left, and crowded ones are cut into a grid of bounded cells.
+  pair that is left, and crowded ones are cut into a grid of bounded cells;
+* records are judged in batches, in their order, each four times as large as all before it.
+  A batch first meets the records that were kept so far, which are no duplicates of each
+  other, and only what is like none of them is compared within the batch.  So the pairs
+  that are looked at follow rows times *kept* rows of a block, not the square of its rows.
 """
 
 from __future__ import annotations
@@ -52,6 +56,8 @@ CELL_ROWS = 1000
 PIECE_COST = 200
 # Copies of each decided id, so that the edges of one hub record are spread out.
 HUB_SALTS = 16
+# Keys of the first batch, about, and how much more than all before it the next one holds.
+BATCH_ROWS, BATCH_GROWTH = 1 << 14, 4
 
 
 @dataclass
@@ -284,43 +290,54 @@ def sized_classes(classes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     return settle(lean.select("b", "id", *[c.alias(n) for n, c in out.items()]), "sized")
 
 
-def _met(x: DataFrame, y: DataFrame, sized: DataFrame, test: Column, cell_rows: int) -> DataFrame:
-    """``(lo, hi)`` of rows of both sides that share a signature and pass ``test`` on their sizes."""
+def _met(x: DataFrame, y: DataFrame, sized: DataFrame, test: Column, cell_rows: int, ordered: bool = True) -> DataFrame:
+    """``(lo, hi)`` of rows of both sides that share a signature and pass ``test`` on their sizes.
+
+    ``ordered``: both sides hold the same rows, and each pair is wanted from its smaller id only.
+    """
     index, probe = _cells(x.select("sig", "id"), y.select("sig", "id"), cell_rows)
     with_sizes = lambda side, name: _parallel(side.join(sized.drop("b"), "id"), "sig", "row_cell", "col_cell").alias(name)
     same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("sig", "row_cell", "col_cell")]
-    met = with_sizes(index, "x").join(with_sizes(probe, "y"), [*same, F.col("x.id") < F.col("y.id"), test])
+    once = [F.col("x.id") < F.col("y.id")] if ordered else []
+    met = with_sizes(index, "x").join(with_sizes(probe, "y"), [*same, *once, test])
     return met.select(F.col("x.id").alias("lo"), F.col("y.id").alias("hi"))
 
 
 def candidate_pairs(
-    classes: DataFrame, threshold: int = THRESHOLD, cell_rows: int = CELL_ROWS, test: Callable[[], Column] | None = None
+    classes: DataFrame, threshold: int = THRESHOLD, cell_rows: int = CELL_ROWS, test: Callable[[], Column] | None = None, kept: DataFrame | None = None
 ) -> DataFrame:
     """Distinct ``(lo, hi)`` of keys that meet and whose lengths and character counts fit.
 
-    ``test`` gives another condition on the sizes ``x`` and ``y`` of a pair.
+    ``test`` gives another condition on the sizes ``x`` and ``y`` of a pair.  With ``kept``,
+    other classes, a pair is one of these (``lo``) and one of ``classes``.
     """
-    sized = sized_classes(classes, threshold)
+    every = classes if kept is None else classes.unionByName(kept)
+    sized = sized_classes(every, threshold)
+    if kept is None:
+        sides = lambda x, y: (x, y)
+    else:
+        old = kept.select("id")
+        sides = lambda x, y: (x.join(old, "id", "left_semi"), y.join(old, "id", "left_anti"))
+    met = lambda x, y: _met(x, y, sized, fits, cell_rows, ordered=kept is None)
     most = sim.max_distance(F.col("x.n") + F.col("y.n"), threshold)
     fits = (F.abs(F.col("x.n") - F.col("y.n")) <= most) & (least_distance("x", "y") <= most)
     if test is not None:
         fits = fits & test()
-    index, probe = length_bands(sized, threshold)
-    by_bands = lambda: _met(index, probe, sized, fits, cell_rows)
+    index, probe = sides(*length_bands(sized, threshold))
     if not reach(threshold).enough:
-        return by_bands()
+        return met(index, probe)
     pieces = sized.groupBy("b").agg(F.sum(2 * F.col("n")).alias("pieces"))
     meetings = _meetings(index, probe, "by_bands").join(pieces, "b")
     crowded = settle(meetings.filter(F.col("by_bands") > F.col("pieces") * PIECE_COST).select("b", "by_bands"), "crowded")
     if crowded.isEmpty():
-        return by_bands()
-    some = classes.withColumn("b", F.xxhash64("block")).join(crowded.select("b"), "b", "left_semi").drop("b")
-    grams = settle(signatures(some, threshold), "signatures")
-    costs = crowded.join(_meetings(grams, grams, "by_grams"), "b", "left")
+        return met(index, probe)
+    some = every.withColumn("b", F.xxhash64("block")).join(crowded.select("b"), "b", "left_semi").drop("b")
+    x, y = sides(*[settle(signatures(some, threshold), "signatures")] * 2)
+    costs = crowded.join(_meetings(x, y, "by_grams"), "b", "left")
     sparse = settle(costs.filter("by_grams is null or by_grams <= by_bands").select("b"), "sparse")
     index, probe = (side.join(sparse, "b", "left_anti") for side in (index, probe))
-    own = grams.join(sparse, "b", "left_semi")
-    return _met(own, own, sized, fits, cell_rows).distinct().union(by_bands())
+    x, y = (side.join(sparse, "b", "left_semi") for side in (x, y))
+    return met(x, y).distinct().union(met(index, probe))
 
 
 def _with_texts(pairs: DataFrame, classes: DataFrame, *texts: str) -> DataFrame:
@@ -330,12 +347,12 @@ def _with_texts(pairs: DataFrame, classes: DataFrame, *texts: str) -> DataFrame:
     return both.withColumnRenamed("lo_block", "block").drop("hi_block")
 
 
-def similar_pairs(classes: DataFrame, threshold: int = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """All pairs ``(block, lo, hi, lo_key, hi_key)`` of similar key classes.
+def similar_pairs(classes: DataFrame, threshold: int = THRESHOLD, cell_rows: int = CELL_ROWS, kept: DataFrame | None = None) -> DataFrame:
+    """All pairs ``(block, lo, hi, lo_key, hi_key)`` of similar key classes, or of one of ``kept`` and one of ``classes``.
 
-    ``classes`` is read several times; pass a written table.
+    ``classes`` and ``kept`` are read several times; pass written tables.
     """
-    same = _with_texts(candidate_pairs(classes, threshold, cell_rows), classes, "key")
+    same = _with_texts(candidate_pairs(classes, threshold, cell_rows, kept=kept), classes if kept is None else classes.unionByName(kept), "key")
     near = same.filter(_close_enough(F.col("lo_key"), F.col("hi_key"), threshold))
     return _confirm(_parallel(near.select("block", "lo", "hi", "lo_key", "hi_key"), "lo", "hi"), threshold)
 
@@ -346,8 +363,9 @@ def _most_similar(length: Column, distance: Column) -> Column:
     return F.coalesce(F.floor(share + 0.5), F.lit(100))
 
 
-def similar_by_mean(classes: DataFrame, threshold: int = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """All pairs ``(block, lo, hi, title_score, author_score)`` whose scores have a mean of at least ``threshold``.
+def similar_by_mean(classes: DataFrame, threshold: int = THRESHOLD, cell_rows: int = CELL_ROWS, kept: DataFrame | None = None) -> DataFrame:
+    """All pairs ``(block, lo, hi, title_score, author_score)`` whose scores have a mean of at least ``threshold``;
+    with ``kept`` as in ``similar_pairs``.
 
     Either score is at most 100, so titles alone must reach ``2 threshold - 100``; where
     two titles meet, what their counts leave to the author's score is asked of its counts.
@@ -359,7 +377,8 @@ def similar_by_mean(classes: DataFrame, threshold: int = THRESHOLD, cell_rows: i
         bound = lambda n, prefix: _most_similar(F.col(f"x.{n}") + F.col(f"y.{n}"), least_distance("x", "y", prefix))
         return bound("n", "u") + bound("m", "v") >= 2 * threshold
 
-    pairs = _with_texts(candidate_pairs(classes, 2 * threshold - 100, cell_rows, enough), classes, "key", "other")
+    every = classes if kept is None else classes.unionByName(kept)
+    pairs = _with_texts(candidate_pairs(classes, 2 * threshold - 100, cell_rows, enough, kept), every, "key", "other")
     # A Levenshtein distance is a lower bound, too; what it leaves open is measured.
     edits = lambda t: F.levenshtein(f"lo_{t}", f"hi_{t}")
     size = lambda t: F.char_length(f"lo_{t}") + F.char_length(f"hi_{t}")
@@ -430,6 +449,43 @@ def eliminate(edges: DataFrame, rounds: list[int] | None = None) -> DataFrame:
     return removed
 
 
+def in_batches(classes: DataFrame, batch_rows: int = BATCH_ROWS) -> tuple[DataFrame, int]:
+    """Classes in the order of their places (``place``, or ``id``) cut into batches: a written table with ``batch``, and the last batch.
+
+    Spark's range partitions are the grain, so no task orders or counts more than its own rows.
+    """
+    grains = max(1, -(-classes.count() // batch_rows))
+    place = "place" if "place" in classes.columns else "id"
+    ranged = classes.repartitionByRange(grains, place).withColumn("batch", F.spark_partition_id())
+    # Partition 0 is a batch, and the next ones end at 1 + 4, 1 + 4 + 20, ... partitions.
+    batch = F.ceil(F.log(BATCH_GROWTH + 1.0, F.col("batch") + F.lit(1.0)) - F.lit(1e-9)).cast("int")
+    numbered = settle(ranged.withColumn("batch", batch), "batches")
+    return numbered, numbered.agg(F.max("batch")).first()[0] or 0
+
+
+def kept_classes(
+    classes: DataFrame, threshold: int = THRESHOLD, cell_rows: int = CELL_ROWS, measure: str = JOINED, batch_rows: int = BATCH_ROWS
+) -> DataFrame:
+    """The classes that the ordered elimination keeps; ``classes`` is a written table.
+
+    A kept class is final once its batch is judged, as only earlier ones can remove it.
+    """
+    similar = similar_by_mean if measure == MEAN else similar_pairs
+    numbered, last = in_batches(classes, batch_rows)
+    kept = None
+    for batch in range(last + 1):
+        own = numbered.filter(F.col("batch") == batch).drop("batch")
+        if kept is not None:
+            met = similar(own, threshold, cell_rows, kept).select(F.col("hi").alias("id")).distinct()
+            own = settle(own.join(met, "id", "left_anti"), "open")
+        edges = similar(own, threshold, cell_rows)
+        if "place" in classes.columns:
+            edges = in_order(edges, own)
+        stays = own.join(eliminate(edges), "id", "left_anti")
+        kept = settle(stays if kept is None else kept.unionByName(stays), "kept")
+    return kept
+
+
 def deduplicate(
     df: DataFrame,
     id_col: str = "id",
@@ -439,6 +495,7 @@ def deduplicate(
     cell_rows: int = CELL_ROWS,
     measure: str = JOINED,
     prefer: Column | None = None,
+    batch_rows: int = BATCH_ROWS,
 ) -> Deduplicated:
     """Drop near-duplicates; ``id_col`` must be unique and not null.
 
@@ -446,19 +503,14 @@ def deduplicate(
     """
     keys = keyed(df, id_col, title, author, measure, prefer)
     classes = settle(key_classes(keys), "classes")
-    edges = (similar_by_mean if measure == MEAN else similar_pairs)(classes, threshold, cell_rows)
-    if prefer is not None:
-        edges = in_order(edges, classes)
-    losers = eliminate(edges)
-    leaders = classes.join(losers.withColumn("lost", F.lit(True)), "id", "left")
-    ids = leaders.filter("lost is null").select(F.col("id").alias(id_col))
+    kept = kept_classes(classes, threshold, cell_rows, measure, batch_rows)
+    ids = kept.select(F.col("id").alias(id_col))
     survivors = df.join(ids, id_col, "left_semi")
     removed = df.select(id_col).join(ids, id_col, "left_anti")
-    totals = leaders.agg(
+    totals = classes.agg(
         F.coalesce(F.sum("copies"), F.lit(0)).cast("bigint").alias("records"),
         F.countDistinct("block").alias("blocks"),
-        F.count_if(F.col("lost").isNull()).alias("kept"),
-    )
+    ).crossJoin(kept.agg(F.count("*").alias("kept")))
     gone = F.col("records") - F.col("kept")
     blocks = F.when(F.col("records") < 2, F.lit(0)).otherwise(F.col("blocks")).cast("bigint")
     report = totals.select(

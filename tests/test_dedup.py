@@ -245,3 +245,26 @@ def test_mean_of_title_and_author(spark, threshold):
 def test_sorted_words(spark):
     rows = [(1, "Historia de la luna", "Ana Paz"), (2, "Historia luna de  la", "Paz Ana"), (3, "Historia del trueno", "Ana Paz"), (4, "Historia luna de las", "PAZ ANA")]
     assert removed_ids(spark, rows, measure=dedup.SORTED)[0] == {2, 4} and 2 not in removed_ids(spark, rows)[0]
+
+
+@pytest.mark.parametrize(("measure", "batch_rows"), [(dedup.JOINED, 24), (dedup.MEAN, 24)])
+def test_batches_keep_what_one_batch_keeps(spark, measure, batch_rows):
+    df = spark.createDataFrame(dirty(120, 11), "id bigint, title string, author string")
+    prefer = F.pmod(F.col("id"), F.lit(3))
+    found = [dedup.deduplicate(df, measure=measure, prefer=prefer, batch_rows=n) for n in (batch_rows, 1000)]
+    ids, whole = ([r.id for r in f.survivors.select("id").orderBy("id").collect()] for f in found)
+    assert ids == whole and len(ids) < 120
+    assert found[0].report.collect() == found[1].report.collect()
+
+
+def test_pairs_follow_kept_records(spark, monkeypatch):
+    # Many likenesses of few records: the edges of all pairs would be some 400.
+    words = ["casa del sol amarillo", "casa verde junto al rio grande", "casa blanca con muchas ventanas altas"]
+    rows = [(i, f"{words[i % 3]} {i:03d}", "ana maria lopez") for i in range(50)]
+    df = spark.createDataFrame(rows, "id bigint, title string, author string")
+    seen = []
+    walk = dedup.eliminate
+    monkeypatch.setattr(dedup, "eliminate", lambda edges, *rest: seen.append(edges.count()) or walk(edges, *rest))
+    found = dedup.deduplicate(df, batch_rows=10)
+    assert {r.id for r in found.survivors.collect()} == {0, 1, 2}
+    assert len(seen) > 1 and sum(seen) < 100
