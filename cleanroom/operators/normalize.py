@@ -34,6 +34,11 @@ RETURNED = "DEVUELTO"
 LOAN_CHUNK_BITS = 16
 
 
+def dealt(raw: DataFrame) -> DataFrame:
+    """Raw rows over as many tasks as a shuffle has: cleaning is heavy on few bytes, and files of few bytes are few splits."""
+    return raw.repartition(int(raw.sparkSession.conf.get("spark.sql.shuffle.partitions")), "ordinal")
+
+
 def day(value) -> Column:
     """A date literal; columns pass through."""
     return value if isinstance(value, Column) else F.lit(value).cast("date")
@@ -292,7 +297,7 @@ class Normalizer:
 
     @cached_property
     def catalog_cleaned(self) -> DataFrame:
-        return self.keep(clean_catalog(self.raw["catalog"], self.as_of), "catalog")
+        return self.keep(clean_catalog(dealt(self.raw["catalog"]), self.as_of), "catalog")
 
     @cached_property
     def catalog_rows(self) -> DataFrame:
@@ -342,7 +347,7 @@ class Normalizer:
 
     @cached_property
     def loan_rows(self) -> DataFrame:
-        return self.keep(clean_loans(self.raw["loans"], self.as_of), "loan_rows")
+        return self.keep(clean_loans(dealt(self.raw["loans"]), self.as_of), "loan_rows")
 
     @cached_property
     def bound_names(self) -> DataFrame:
@@ -366,7 +371,7 @@ class Normalizer:
 
     @cached_property
     def stock_rows(self) -> DataFrame:
-        return self.keep(clean_stock(self.raw["stock"]), "stock_rows")
+        return self.keep(clean_stock(dealt(self.raw["stock"])), "stock_rows")
 
     @cached_property
     def branches(self) -> DataFrame:
@@ -385,7 +390,7 @@ class Normalizer:
 
     @cached_property
     def review_rows(self) -> DataFrame:
-        return clean_reviews(self.raw["reviews"])
+        return clean_reviews(dealt(self.raw["reviews"]))
 
     @cached_property
     def unique_reviews(self) -> DataFrame:

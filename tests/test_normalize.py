@@ -4,6 +4,7 @@ import datetime
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from cleanroom.operators import constraints, documents, maintain, merge, normalize, reports, skew
 
@@ -305,3 +306,13 @@ def test_hot_keys_are_spread(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_cleaning_is_dealt_to_all_tasks(spark):
+    """Raw rows of one split are cleaned by as many tasks as a shuffle has."""
+    columns = ["title", "author", "category_and_description", "publisher", "published"]
+    one = spark.range(40).coalesce(1).select(F.col("id").alias("ordinal"), *[F.concat(F.lit("w"), F.col("id")).alias(c) for c in columns])
+    parts = []
+    keep = lambda df, label: parts.append(df.rdd.getNumPartitions()) or df
+    assert normalize.Normalizer({"catalog": one}, "2024-06-01", keep).catalog_cleaned.count() == 40
+    assert parts == [int(spark.conf.get("spark.sql.shuffle.partitions"))]
