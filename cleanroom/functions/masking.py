@@ -18,8 +18,10 @@ MIN_STARS = 3
 # --------------------------------------------------------------------------
 
 
-#: Addresses inside running text.
-ADDRESS = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+_LOCAL = "[A-Za-z0-9._%+-]"
+#: Addresses inside running text: each starts where a run of its characters does, or where the one before
+#: it ends, so that a run is read once.
+ADDRESS = rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9.-]+\.[A-Za-z]{{2,}}"
 
 
 def hash_text(c: Column) -> Column:
@@ -55,8 +57,9 @@ def mask_emails_in(c: Column, mode: str = "partial") -> Column:
     """Mask every address found in a text; the rest of the text stays."""
     rest = F.split(c, ADDRESS, -1)
     found = F.regexp_extract_all(c, F.lit(ADDRESS), F.lit(0))
-    masked = F.transform(found, lambda a, i: F.concat(mask_email(a, mode), F.element_at(rest, i + 2)))
-    return F.concat(F.element_at(rest, 1), F.array_join(masked, ""))
+    masked = F.zip_with(found, F.slice(rest, 2, F.size(found)), lambda a, after: F.concat(mask_email(a, mode), after))
+    # Few texts hold an address; most are not searched by the pattern.
+    return F.when(~F.contains(c, F.lit("@")), c).otherwise(F.concat(F.element_at(rest, 1), F.array_join(masked, "")))
 
 
 def mask_digits(c: Column, shown: int = 4) -> Column:

@@ -201,3 +201,14 @@ def test_export_values(spark):
         "02/01/2024", "02/01/2024 08:30:45", "02/01/2024",
         hashlib.sha256(b"user@email.com").hexdigest(), None, 1,
     )
+
+
+def test_masking_reads_a_run_once_and_keeps_what_follows_an_address(spark):
+    from time import monotonic
+
+    texts = ["ana@b.com_c@d.org", "x@y.io ana.b@c.com", "@b.com a@b", "", None, "x." * 50_000 + " luis@b.com"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "n int, s string")
+    start = monotonic()
+    masked = [r.m for r in rows.select("n", masking.mask_emails_in(F.col("s")).alias("m")).orderBy("n").collect()]
+    assert monotonic() - start < 30
+    assert masked == ["a*a@b.com_***@d.org", "x***@y.io a***b@c.com", "@b.com a@b", "", None, "x." * 50_000 + " l**s@b.com"]
