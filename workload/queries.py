@@ -962,9 +962,11 @@ def delete_by_graph(spark, sf_dir):
     """Delete every third part through a declared graph: lines go with their part, returns go with
     their line, and a part with a claim against one of its lines, or with a label, stays."""
     line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    lines = table(spark, sf_dir, "lineitem").groupBy(line.alias("line_id")).agg(
+    # Line ids are all but unique: they are dealt first, so that no file split is sorted whole.
+    lines = table(spark, sf_dir, "lineitem").withColumn("line_id", line).repartition("line_id").groupBy("line_id").agg(
         F.min("l_partkey").alias("part_id"), F.max("l_returnflag").alias("flag"), F.max("l_quantity").alias("quantity")
     )
+    lines = settle(lines, "lines")
     tables = {
         "parts": table(spark, sf_dir, "part").select(F.col("p_partkey").alias("part_id"), "p_name"),
         "lines": lines.select("line_id", "part_id"),
