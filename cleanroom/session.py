@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     # A hot join key is split over tasks even where that costs one more shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM interprets methods beyond 8000 bytes of code: long projections are split instead of fused.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -1,5 +1,9 @@
+import datetime
+import re
+
 from pyspark.sql import functions as F
 
+from cleanroom.operators import normalize
 from cleanroom.session import configure
 
 
@@ -17,3 +21,14 @@ def test_shuffled_rows_stay_in_small_partitions(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_long_projections_stay_within_what_the_jvm_compiles(spark):
+    """Cleaning loans makes one fused method of over 8000 bytes, which would be interpreted."""
+    configure(spark)
+    raw = spark.createDataFrame([], "ordinal long, user_name string, email string, borrowed string, checkout string, status string")
+    plan = normalize.clean_loans(raw, datetime.date(2024, 6, 1))._jdf.queryExecution().executedPlan()
+    debug = spark._jvm.org.apache.spark.sql.execution.debug
+    code = getattr(getattr(debug, "package$"), "MODULE$").codegenString(plan)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and all(n <= 8000 or n > int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) for n in sizes)
