@@ -458,22 +458,20 @@ def repeated(
     def of(ranges: DataFrame, kind: int) -> DataFrame:
         return ranges.where(F.col("kind") == kind)
 
-    def sizes(ranges: DataFrame) -> dict[int, int]:
-        """Symbols by kind: three rows at most."""
-        total = F.sum(F.col("hi") - F.col("lo") + window)
-        return {r.kind: r.n for r in ranges.groupBy("kind").agg(total.alias("n")).collect()}
+    def sizes(ranges: DataFrame) -> dict[int, tuple[int, int]]:
+        """Symbols by kind, as runs and as blocks: three rows at most."""
+        blocks = F.expr(f"floor((place - lo) / {block}) - floor((place - hi) / {block}) + 1")
+        totals = F.sum(F.col("hi") - F.col("lo") + window), F.sum(blocks * (block - 1 + window))
+        return {r[0]: (r[1], r[2]) for r in ranges.groupBy("kind").agg(*totals).collect()}
 
     runs = settle(resolve(parse(docs, symbols_of, window, gram, crowd), crowd), "ranges")
     size = sizes(runs)
     found = of(runs, REPEATED)
     if OPEN in size:
-        found = found.union(shards(of(runs, OPEN), at_trigger(gram), size[OPEN]))
+        found = found.union(shards(of(runs, OPEN), at_trigger(gram), size[OPEN][0]))
     if CROWDED in size:
-        blocks = settle(resolve(level(docs, of(runs, CROWDED), symbols_of, window, _blocks, block, crowd), crowd), "blocks")
-        size = sizes(blocks)
-        found = found.union(of(blocks, REPEATED))
-        if OPEN in size:
-            found = found.union(shards(of(blocks, OPEN), _blocks, size[OPEN]))
-        if CROWDED in size:
-            found = found.union(of(resolve(level(docs, of(blocks, CROWDED), symbols_of, window, single)), REPEATED))
+        # Blocks stay in the plan of what reads the result: written by themselves they would move all texts once more.
+        blocks = resolve(level(docs, of(runs, CROWDED), symbols_of, window, _blocks, block, crowd), crowd)
+        found = found.union(of(blocks, REPEATED)).union(shards(of(blocks, OPEN), _blocks, size[CROWDED][1]))
+        found = found.union(of(resolve(level(docs, of(blocks, CROWDED), symbols_of, window, single)), REPEATED))
     return found

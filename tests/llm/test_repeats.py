@@ -4,6 +4,7 @@ import random
 
 import plain
 import pytest
+from pyspark.sql import functions as F
 
 from cleanroom.llm import fm_index, prefix_free, repeats
 
@@ -154,6 +155,19 @@ def test_crowded_triggers(documents, corpus, crowd):
     assert got == {i: sum(m) for i, (_, m) in plain.removed(rows, lambda t: plain.WORD.findall(t or ""), 9).items()}
 
 
+def test_texts_move_once(spark, documents):
+    """With crowded triggers too, a text is read twice: to be parsed, and to be moved to its ranges."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def read(text):
+        reads.add(1)
+        return text
+
+    counted = documents.withColumn("text", F.udf(read, "string").asNondeterministic()("text"))
+    prefix_free.cut_repeats(counted, crowd=2).write.format("noop").mode("overwrite").save()
+    assert reads.value == 2 * documents.count()
+
+
 def test_long_texts_in_parts():
     import numpy as np
 
