@@ -27,6 +27,8 @@ _CASED = r"a-zA-Z\p{IsUppercase}\p{IsLowercase}\p{Lt}"
 _SEAM = "\x01\x02 "
 # The look-ahead settles ordinary characters with one range test.
 _SPACES = r"(?![!-~])" + WHITESPACE_CLASS + "+"
+# Runs that are not one space already; only ordinary characters are looked for behind one.
+_UNEVEN_SPACES = r"(?! [!-~])" + _SPACES
 # Anything but a blank or a null word.
 _FILLED = r"(?s)^(?!(?i:" + "|".join(NULL_WORDS) + r")\z).+\z"
 
@@ -54,7 +56,7 @@ def strip(c: Column) -> Column:
 
 def collapse_spaces(c: Column) -> Column:
     """Turn each run of white space into one space and trim the ends."""
-    return F.trim(F.regexp_replace(c, _SPACES, " "))
+    return F.trim(F.regexp_replace(c, _UNEVEN_SPACES, " "))
 
 
 def title_case(c: Column) -> Column:

@@ -172,20 +172,26 @@ def plain_join(rows: DataFrame, unique: DataFrame, key: str) -> DataFrame:
     return rows.join(unique, key)
 
 
-def build_loans(loans: DataFrame, bound: DataFrame, users: DataFrame, items: DataFrame, join=plain_join) -> DataFrame:
-    """Loans of known titles by bound users, one per (user, item, checkout, status).
+LOAN = ("user_id", "item_id", "checkout", "status")
 
-    ``(ordinal, position)`` is where each of them first appears.
-    """
+
+def loan_lines(loans: DataFrame, bound: DataFrame, users: DataFrame, items: DataFrame, join=plain_join) -> DataFrame:
+    """Borrowed titles that are known, of bound users: ``(ordinal, position)`` and the columns of ``LOAN``, repeats included."""
     people = bound.join(users.select("user_id", "email"), "email").select(
         "name_key", "user_id", F.col("ordinal").alias("bound_at")
     )
     needed = evaluated_once(loans.select("ordinal", "name_key", "borrowed", "checkout", "status"))
     titled = join(explode_borrowed(needed), items.select("item_id", "title"), "title")
-    rows = join(titled, people, "name_key").filter(F.col("ordinal") >= F.col("bound_at"))
+    return join(titled, people, "name_key").filter(F.col("ordinal") >= F.col("bound_at")).select("ordinal", "position", *LOAN)
+
+
+def build_loans(loans: DataFrame, bound: DataFrame, users: DataFrame, items: DataFrame, join=plain_join) -> DataFrame:
+    """Loans of known titles by bound users, one per (user, item, checkout, status).
+
+    ``(ordinal, position)`` is where each of them first appears.
+    """
     place = F.min(F.struct("ordinal", "position")).alias("place")
-    unique = rows.groupBy("user_id", "item_id", "checkout", "status").agg(place)
-    unique = unique.select("user_id", "item_id", "checkout", "status", "place.*")
+    unique = loan_lines(loans, bound, users, items, join).groupBy(*LOAN).agg(place).select(*LOAN, "place.*")
     returned = F.when(F.col("status") == RETURNED, F.date_add("checkout", LOAN_DAYS))
     return unique.withColumn("returned", returned)
 
@@ -228,15 +234,16 @@ def build_stock(stock_rows: DataFrame, branches: DataFrame, items: DataFrame, jo
 # -- reviews -------------------------------------------------------------------
 
 
-def clean_reviews(raw: DataFrame) -> DataFrame:
-    cleaned = raw.select(
-        "ordinal",
-        coerce.user_position(F.col("user_ref")).alias("position"),
-        text.clean_text(F.col("title")).alias("title"),
-        text.clean_text(F.col("comment"), NO_COMMENT).alias("comment"),
-        coerce.rating(F.col("rating")).alias("rating"),
-    )
-    return evaluated_once(cleaned)
+def clean_reviews(raw: DataFrame, *only: str) -> DataFrame:
+    """Cleaned reviews; ``only`` the columns that are named, as Spark prunes none of them later."""
+    cleaned = {
+        "ordinal": F.col("ordinal"),
+        "position": coerce.user_position(F.col("user_ref")),
+        "title": text.clean_text(F.col("title")),
+        "comment": text.clean_text(F.col("comment"), NO_COMMENT),
+        "rating": coerce.rating(F.col("rating")),
+    }
+    return evaluated_once(raw.select(*[cleaned[name].alias(name) for name in only or cleaned]))
 
 
 def storable_reviews(review_rows: DataFrame, users: DataFrame, items: DataFrame, join=plain_join) -> DataFrame:
@@ -403,19 +410,39 @@ class Normalizer:
             day(self.as_of).cast("timestamp").alias("created"),
         )
 
+    def _built(self, name: str) -> bool:
+        return name in self.__dict__
+
     def counters(self) -> DataFrame:
-        """``(entity, rows)``: accepted attempts.
+        """``(entity, rows)``: accepted attempts; raw tables are scanned and cleaned once.
 
-        They are counted in the aggregates that collapse them, so this reads one narrow
-        column of tables that are there anyway; raw tables are scanned and cleaned once.
+        Where a table was built, the counts that its aggregate took are read.  Otherwise its
+        rows are counted as they pass: no value is chosen, nothing but names is written.
         """
-        one = F.count(F.lit(1))
+        one = F.count(F.lit(1)).alias("rows")
+        attempts = F.coalesce(F.sum("attempts"), F.lit(0)).alias("rows")
+        if self._built("unique_loans"):
+            loans = self.unique_loans.agg(one)
+        else:
+            rows = self.loan_rows, self.bound_names, self.users, self.titles, self.join
+            loans = loan_lines(*rows).select(*LOAN).distinct().agg(one)
+        if self._built("unique_stock"):
+            stock = self.unique_stock.agg(attempts)
+        else:
+            # A branch of a cleaned row is a branch: only titles are looked up.
+            rows = self.stock_rows if self._built("stock_rows") else clean_stock(dealt(self.raw["stock"]))
+            stock = storable_stock(rows, self.titles, self.join).agg(one)
+        if self._built("unique_reviews"):
+            reviews = self.unique_reviews.agg(attempts)
+        else:
+            rows = clean_reviews(dealt(self.raw["reviews"]), "position", "title", "comment")
+            reviews = storable_reviews(rows, self.users, self.titles, self.join).agg(one)
         found = {
             "books": self.catalog_cleaned.agg(F.count_if(F.col("reject_reason").isNull()).alias("rows")),
-            "users": self.bound_names.agg(one.alias("rows")),
-            "loans": self.unique_loans.agg(one.alias("rows")),
-            "inventory": self.unique_stock.agg(F.coalesce(F.sum("attempts"), F.lit(0)).alias("rows")),
-            "reviews": self.unique_reviews.agg(F.coalesce(F.sum("attempts"), F.lit(0)).alias("rows")),
+            "users": self.bound_names.agg(one),
+            "loans": loans,
+            "inventory": stock,
+            "reviews": reviews,
         }
         parts = [df.select(F.lit(name).alias("entity"), F.col("rows").cast("bigint").alias("rows")) for name, df in found.items()]
         return reduce(DataFrame.unionByName, parts)

@@ -177,6 +177,22 @@ def test_literal_rows(spark):
     assert rows(n.stock, "quantity") == [(0,), (0,)]
 
 
+def test_counters_build_no_table(spark):
+    """Counted by themselves: no table is built, ordered or written for it; the same counts as beside the tables."""
+    raw, kept = dirty(3), []
+
+    def keep(df, label):
+        kept.append(label)
+        return df
+
+    counted = rows(normalize.Normalizer(frames(spark, raw), AS_OF, keep=keep).counters(), "entity", "rows")
+    assert not {"loans", "stock_rows", "stock", "reviews"} & set(kept)
+    beside = built(spark, raw)
+    assert len(beside.tables()) == 10
+    assert counted == rows(beside.counters(), "entity", "rows")
+    assert dict(counted)["loans"] > 0 < dict(counted)["reviews"]
+
+
 def test_empty_tables(spark):
     assert all(r.rows == 0 for r in built(spark, {}).counters().collect())
 
