@@ -82,7 +82,8 @@ def links(distinct: DataFrame, segments: int = SEGMENTS) -> DataFrame:
     left = points.select(F.col("fp").alias("a"), F.explode(down).alias("key"))
     right = points.select(F.col("fp").alias("b"), F.explode(every).alias("key"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MOST_BITS
-    return left.join(right, "key").where((F.col("a") != F.col("b")) & near).select("a", "b")
+    # Spark sizes what an explode gives by the rows before it, and would broadcast some 31 rows a fingerprint.
+    return left.join(right.hint("merge"), "key").where((F.col("a") != F.col("b")) & near).select("a", "b")
 
 
 def _labelled(prints: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cleanroom.llm import binary_packing, divergence, factorisation, metric_join, mixture, popcount_grid, tag_ratio, warc
-from cleanroom.llm.common import ready
+from cleanroom.llm.common import ready, settle
 
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
@@ -34,6 +34,18 @@ def test_links_of_all_near_fingerprints(spark):
         assert got == {frozenset((a, b)) for a in signed for b in signed if a != b and ((a ^ b) & mask).bit_count() <= 2}
 
 
+def test_exploded_grid_points_are_not_broadcast(spark):
+    """Both sides of the join have many rows for each of the table that Spark knows the size of."""
+    ready(spark)
+    rows = settle(spark.range(3000).select(F.xxhash64("id").alias("fp")), "distinct")
+    twin = rows.select(F.col("fp").bitwiseXOR(F.lit(5)).alias("fp"))
+    found = popcount_grid.links(settle(rows.union(twin), "distinct"))
+    got = {frozenset((r.a, r.b)) for r in found.collect()}
+    assert got == {frozenset((r.fp, r.fp ^ 5)) for r in rows.collect()}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "Broadcast" not in plan
+
+
 def test_one_per_group(spark):
     ready(spark)
     text = "a few words that are repeated in every one of these rows"
